@@ -89,6 +89,13 @@ def cells(df: DataFrame, columns: Iterable[str], data_type: str) -> DataFrame:
     return typed.unpivot([], [quoted(c) for c in names], "column_name", "value")
 
 
+def stacked(totals: DataFrame, fields: str, rows: Iterable[tuple[str, ...]]) -> DataFrame:
+    """Turn a one-row aggregate into one row per column; rows are SQL expressions."""
+    rows = list(rows)
+    flat = ", ".join(e for row in rows for e in row)
+    return totals.selectExpr(f"stack({len(rows)}, {flat}) as ({fields})")
+
+
 def local_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     """A driver-side relation of O(columns) rows."""
     struct = T.StructType.fromDDL(schema)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.dates import is_date
 from ..functions.text import literal, matches, spelling, strip, to_number
-from .columns import cells, column_frame, local_rows, present, typed_groups
+from .columns import cells, column_frame, local_rows, present, stacked, typed_groups
 from .frequency import HEAD, text_frequencies
 
 # Tests on a trimmed text value, and the count each one feeds.
@@ -51,8 +51,11 @@ def _bit(word: str) -> int:
 def word_bits(value: str) -> str:
     """The spelling bit of a text value, 0 for NULL."""
     cases = " ".join(f"when {literal(w)} then {_bit(w)}L" for w in _WORDS)
+    longest = max(map(len, _WORDS))
     return (
-        f"if({value} is null, 0L, case {spelling(value)} {cases} else {_OTHER_WORD}L end)"
+        f"case when {value} is null then 0L"
+        f" when length({strip(value)}) > {longest} then {_OTHER_WORD}L"
+        f" else case {spelling(value)} {cases} else {_OTHER_WORD}L end end"
     )
 
 
@@ -123,9 +126,10 @@ def present_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataF
     names = list(columns) if columns is not None else df.columns
     counted = [f"count({present(df, c)}) as c{i}" for i, c in enumerate(names)]
     totals = df.selectExpr("count(*) as n_rows", *counted)
-    pairs = [f"struct({literal(c)}, n_rows, c{i})" for i, c in enumerate(names)]
-    return totals.selectExpr(f"inline(array({', '.join(pairs)}))").toDF(
-        "column_name", "n_rows", "n_present"
+    return stacked(
+        totals,
+        "column_name, n_rows, n_present",
+        [(literal(c), "n_rows", f"c{i}") for i, c in enumerate(names)],
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import literal, matches, quoted, strip
-from .columns import columns_of
+from .columns import columns_of, stacked
 from .facts import only_words
 
 
@@ -89,6 +89,16 @@ def classify(facts: DataFrame) -> DataFrame:
     )
 
 
+def profile_of(facts: DataFrame) -> dict[str, dict]:
+    """column -> its classification, as the cleaning and checking steps take it."""
+    wanted = (
+        "column_name", "kind", "inferred_type", "semantic_type", "expected_type",
+        "date_formats", "n_present", "n_unique",
+    )
+    rows = classify(facts).orderBy("position").select(*wanted).collect()
+    return {r["column_name"]: r.asDict() for r in rows}
+
+
 def match_ratios(facts: DataFrame) -> DataFrame:
     """Share of a column's values matching each pattern (0 without values)."""
     names = ("email", "phone", "postcode", "person_name", "numeric_like")
@@ -147,9 +157,8 @@ def kind_examples(df: DataFrame, columns: list[str]) -> DataFrame:
         )
         aggregates.append(f"min(if({number}, {column}, null)) as n{i}")
         aggregates.append(f"min(if({number}, null, {column})) as s{i}")
-    rows = ", ".join(
-        f"struct({literal(name)}, n{i}, s{i})" for i, name in enumerate(columns)
-    )
-    return df.selectExpr(*aggregates).selectExpr(f"inline(array({rows}))").toDF(
-        "column_name", "number", "string"
+    return stacked(
+        df.selectExpr(*aggregates),
+        "column_name, number, string",
+        [(literal(name), f"n{i}", f"s{i}") for i, name in enumerate(columns)],
     )
