@@ -8,6 +8,7 @@ exact quantile of all scores.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ from .quantiles import exact_quantiles
 
 SCORE = "anomaly_score"
 _NODES = "tree int, node int, feature int, cut double, left int, right int, depth double"
+_NODE_NAMES = ["tree", "node", "feature", "cut", "left", "right", "depth"]
 
 
 def _average_path(n: float) -> float:
@@ -66,7 +68,7 @@ def _samples(data: DataFrame, n: int, trees: int, sample: int, seed: int) -> Dat
     if n > wanted:
         pool, n = data.sample(fraction=wanted / n, seed=seed), int(wanted)
     copies = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    copies = copies.withColumn("pick", F.rand(seed)).filter(F.col("pick") < min(1.0, 4.0 * sample / n))
+    copies = copies.withColumn("pick", F.rand(seed + 1)).filter(F.col("pick") < min(1.0, 4.0 * sample / n))
     order = W.partitionBy("tree").orderBy("pick")
     return (
         copies.withColumn("place", F.row_number().over(order))
@@ -97,7 +99,7 @@ def fit_forest(
     size = min(sample, n)
     limit = int(np.ceil(np.log2(max(size, 2))))
 
-    def grow_tree(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow_tree(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         points = pdf.sort_values("pick")[values].to_numpy()
         nodes = _grow(points, limit, np.random.default_rng([seed, tree]))
@@ -118,9 +120,6 @@ def fit_forest(
     return forest
 
 
-_NODE_NAMES = ["tree", "node", "feature", "cut", "left", "right", "depth"]
-
-
 def score_rows(df: DataFrame, columns: list[str], forest: dict) -> DataFrame:
     """``df`` with an anomaly score per row, near 1 for isolated rows."""
     shared = df.sparkSession.sparkContext.broadcast(forest)

@@ -166,3 +166,15 @@ def outliers_iqr(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
         counts.append(f"count_if({v} < {_number(lower)} or {v} > {_number(upper)}) as out{i}")
         rows.append((literal(name), _number(lower), _number(upper), f"out{i}"))
     return stacked(df.selectExpr(*counts), "column_name, lower, upper, outliers", rows)
+
+
+def rows_within_fences(df: DataFrame, columns: Iterable[str] | None = None) -> float | None:
+    """Share of rows with no numeric value beyond its column's fences."""
+    fences = _fences(df, columns)
+    if not fences:
+        return None
+    beyond = " or ".join(
+        f"coalesce(cast({present(df, c)} as double) not between {_number(lower)} and {_number(upper)}, false)"
+        for c, (_, _, _, lower, upper) in fences.items()
+    )
+    return df.selectExpr(f"1 - count_if({beyond}) / count(*)").first()[0]

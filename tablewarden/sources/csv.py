@@ -6,12 +6,13 @@ the columns whose values all do.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
-from ..functions.text import matches, null_if_na, quoted
+from ..functions.text import matches, null_if_na, one_of, quoted
+from ..operators.columns import cells
 
 _INTEGER = r"^[+-]?\d+$"
 _TRUTH = ("True", "TRUE", "true", "False", "FALSE", "false")
@@ -33,56 +34,51 @@ def _text_columns(df: DataFrame) -> list[str]:
 def mark_missing(df: DataFrame) -> DataFrame:
     """Replace the missing-value tokens of all text columns by NULL."""
     text = set(_text_columns(df))
-    return df.select(
+    return df.selectExpr(
         *[
-            null_if_na(quoted(c)).alias(c) if c in text else quoted(c)
+            f"{null_if_na(quoted(c)) if c in text else quoted(c)} as {quoted(c)}"
             for c in df.columns
         ]
     )
 
 
-def _as_integer(value: Column) -> Column:
-    return F.when(matches(value, _INTEGER), value.try_cast("bigint"))
+def _as_integer(value: str) -> str:
+    return f"if({matches(value, _INTEGER)}, try_cast({value} as bigint), null)"
 
 
-def _as_double(value: Column) -> Column:
-    return F.when(matches(value, fixed.PLAIN_NUMBER), value.try_cast("double"))
+def _as_double(value: str) -> str:
+    return f"if({matches(value, fixed.PLAIN_NUMBER)}, try_cast({value} as double), null)"
 
 
 def promote_types(df: DataFrame) -> DataFrame:
     """Cast each text column to bigint, double or boolean if all its values allow it."""
     text = _text_columns(df)
-    if not text:
-        return df
-    cells = df.select(*[quoted(c) for c in text]).unpivot(
-        [], [quoted(c) for c in text], "column_name", "value"
-    )
-    value = F.col("value")
     counts = {
         r["column_name"]: r
-        for r in cells.groupBy("column_name")
+        for r in cells(df, text, "string")
+        .groupBy("column_name")
         .agg(
             F.count("value").alias("present"),
-            F.count(_as_integer(value)).alias("integers"),
-            F.count(_as_double(value)).alias("doubles"),
-            F.count_if(value.isin(*_TRUTH)).alias("truths"),
+            F.expr(f"count({_as_integer('value')}) as integers"),
+            F.expr(f"count({_as_double('value')}) as doubles"),
+            F.expr(f"count_if({one_of('value', _TRUTH)}) as truths"),
         )
         .collect()
     }
 
-    def promoted(name: str) -> Column:
+    def promoted(name: str) -> str:
         column, row = quoted(name), counts.get(name)
         if row is None or row["present"] == 0:
             return column
         if row["integers"] == row["present"]:
-            return _as_integer(column).alias(name)
+            return _as_integer(column)
         if row["doubles"] == row["present"]:
-            return _as_double(column).alias(name)
+            return _as_double(column)
         if row["truths"] == row["present"]:
-            return (F.lower(column) == "true").alias(name)
+            return f"lower({column}) = 'true'"
         return column
 
-    return df.select(*[promoted(c) if c in text else quoted(c) for c in df.columns])
+    return df.selectExpr(*[f"{promoted(c)} as {quoted(c)}" for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -20,6 +20,11 @@ def _two(number: Column) -> Column:
 
 
 def dirty_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return plant_faults(read_table(spark, folder, "customer"))
+
+
+def plant_faults(customers: DataFrame) -> DataFrame:
+    """14 columns and, for some customers, a second copy of the row."""
     k = F.col("c_custkey")
     year = (20 + k % 6).cast("string")
     month, day = _two(1 + k % 12), _two(1 + k % 28)
@@ -33,8 +38,7 @@ def dirty_customers(spark: SparkSession, folder: str) -> DataFrame:
     charge = F.concat((29 + k % 36).cast("string"), F.lit("."), _two(k % 100))
     null = F.lit(None)
 
-    source = read_table(spark, folder, "customer")
-    table = source.select(
+    table = customers.select(
         (k + 10000).alias("customer_id"),
         F.concat(
             _pick(k % 5, "James", "Olivia", "Harry", "Isla", "Noah"),
