@@ -14,20 +14,17 @@ OTHER_FORMATS = (
 )
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
 FULL_MONTH_YEAR = r"^[A-Za-z]{4,9} \d{4}$"
-_MAYBE_DATE = r"^[\dA-Za-z]{1,9}[-/. ]"
+# No format is longer; ends at once on a long text.
+SHORT = r"(?s)^.{6,26}$"
 
 
 def _day(text: str, fmt: str) -> str:
     return f"cast(try_to_date({text}, '{fmt}') as timestamp_ntz)"
 
 
-def clean_date(value: str) -> str:
-    """The day a date text names, NULL where it names none.
-
-    Each shape is read by its own format only, so a slash date is always day
-    first and an ISO date never is.
-    """
-    text = strip(value)
+def _parsed(text: str) -> str:
+    """The day a trimmed text names. Each shape is read by its own format only, so
+    a slash date is always day first and an ISO date never is."""
     slashed = f"translate({text}, '-.', '//')"
     branches = [
         (fixed.ISO_DATE, _day(text, "yyyy-MM-dd")),
@@ -40,9 +37,12 @@ def clean_date(value: str) -> str:
     return f"case {cases} end"
 
 
+def clean_date(value: str) -> str:
+    """The day a date text names, NULL where it names none."""
+    return _parsed(strip(value))
+
+
 def is_date(text: str) -> str:
     """Whether any known format reads the trimmed text; full month names count here."""
     full = f"if({matches(text, FULL_MONTH_YEAR)}, {_day(text, 'MMMM yyyy')}, null)"
-    return (
-        f"({matches(text, _MAYBE_DATE)} and coalesce({clean_date(text)}, {full}) is not null)"
-    )
+    return f"({matches(text, SHORT)} and coalesce({_parsed(text)}, {full}) is not null)"

@@ -34,21 +34,32 @@ def strip(value: str) -> str:
     return f"btrim({value}, {literal(fixed.WHITESPACE)})"
 
 
+def strip_if_word(value: str, longest: int) -> str:
+    """Trimmed where that may leave at most ``longest`` characters, else as it is.
+
+    Only the beginning is looked at, so long texts cost nothing.
+    """
+    maybe = matches(f"substring({value}, 1, 64)", rf"(?s)^(?:[WS].*|[^WS]{{1,{longest}}}[WS]*)$")
+    return f"if({maybe}, {strip(value)}, {value})"
+
+
 def to_number(value: str, removed: str) -> str:
     """Text without the ``removed`` characters and whitespace, as a double.
 
     The pattern keeps out forms only Spark's cast would accept, such as ``1d``.
+    A first test ends at the first character no number has, so long texts are
+    not rewritten in vain.
     """
+    possible = matches(value, rf"^[\d.eE+\-WS{removed}]+$")
     bare = f"translate({value}, {literal(removed + fixed.WHITESPACE)}, '')"
-    return f"if({matches(bare, fixed.PLAIN_NUMBER)}, try_cast({bare} as double), null)"
-
-
-def spelling(value: str) -> str:
-    return f"lower({strip(value)})"
+    return (
+        f"if({possible} and {matches(bare, fixed.PLAIN_NUMBER)},"
+        f" try_cast({bare} as double), null)"
+    )
 
 
 def unify_yes_no(value: str) -> str:
-    word = spelling(value)
+    word = f"lower({strip(value)})"
     return (
         f"case when {one_of(word, fixed.YES_SPELLINGS)} then {literal(fixed.YES_LABEL)}"
         f" when {one_of(word, fixed.NO_SPELLINGS)} then {literal(fixed.NO_LABEL)}"

@@ -22,6 +22,7 @@ from .columns import numeric_columns, present
 from .quantiles import exact_quantiles
 
 SCORE = "anomaly_score"
+SMALL_TABLE = 5_000_000
 _NODES = "tree int, node int, feature int, cut double, left int, right int, depth double"
 _NODE_NAMES = ["tree", "node", "feature", "cut", "left", "right", "depth"]
 
@@ -115,7 +116,11 @@ def fit_forest(
         array = np.zeros((trees, width), dtype=kind)
         array[nodes["tree"], nodes["node"]] = nodes[name]
         forest[name] = array
+    # Children of node i at 2 i and 2 i + 1; leaves lead to themselves.
+    forest["child"] = np.stack([forest.pop("left"), forest.pop("right")], axis=2).reshape(trees, -1)
+    forest["feature"] = np.maximum(forest["feature"], 0)
     forest["limit"] = limit
+    forest["rows"] = n
     forest["norm"] = max(_average_path(size), 1e-12)
     return forest
 
@@ -127,16 +132,15 @@ def score_rows(df: DataFrame, columns: list[str], forest: dict) -> DataFrame:
     def score(*series: pd.Series) -> pd.Series:
         model = shared.value
         points = np.column_stack([s.to_numpy(dtype=float) for s in series])
-        at_row = np.arange(len(points))
+        flat, row_start = points.ravel(), np.arange(len(points)) * len(columns)
         depth = np.zeros(len(points))
         for tree in range(len(model["cut"])):
-            feature, cut = model["feature"][tree], model["cut"][tree]
-            left, right = model["left"][tree], model["right"][tree]
+            feature, cut, child = model["feature"][tree], model["cut"][tree], model["child"][tree]
             node = np.zeros(len(points), dtype=np.int64)
             for _ in range(model["limit"]):
-                under = points[at_row, feature[node]] <= cut[node]
-                node = np.where(under, left[node], right[node])
-            depth += model["depth"][tree][node]
+                over = flat.take(row_start + feature.take(node)) > cut.take(node)
+                node = child.take(2 * node + over)
+            depth += model["depth"][tree].take(node)
         return pd.Series(2.0 ** (-depth / len(model["cut"]) / model["norm"]))
 
     scored = F.pandas_udf(score, "double")
@@ -159,7 +163,11 @@ def detect_anomalies(
     if forest is None:
         empty = df.filter("false").withColumn(SCORE, F.lit(None).cast("double"))
         return empty.withColumn("is_anomaly", F.lit(None).cast("boolean")), None
-    scored = stage(score_rows(complete_rows(df, columns), columns, forest), "scores")
+    rows = complete_rows(df, columns)
+    if forest["rows"] <= SMALL_TABLE:
+        # A small table may be one file; scoring is worth spreading over all cores.
+        rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    scored = stage(score_rows(rows, columns, forest), "scores")
     threshold = exact_quantiles(scored, [SCORE], (1.0 - contamination,))[SCORE][0]
     return scored.withColumn("is_anomaly", F.col(SCORE) > F.lit(threshold)), threshold
 

@@ -76,36 +76,48 @@ def format_checks(df: DataFrame, profile: dict) -> list[Check]:
 
 
 def numeric_bounds(df: DataFrame, columns: Iterable[str] | None = None) -> dict[str, tuple]:
-    """column -> (min, max) of the numeric columns with values; O(columns) rows."""
+    """column -> (min, max, values, negative values) of the numeric columns with
+    values: one aggregation, one row."""
     names = list(columns) if columns is not None else numeric_columns(df)
     if not names:
         return {}
     ends = []
     for i, c in enumerate(names):
         value = f"cast({present(df, c)} as double)"
-        ends += [f"min({value}) as lo{i}", f"max({value}) as hi{i}"]
+        ends += [
+            f"min({value}) as lo{i}", f"max({value}) as hi{i}",
+            f"count({value}) as n{i}", f"count_if({value} < 0) as neg{i}",
+        ]
     row = df.selectExpr(*ends).first()
     return {
-        c: (row[f"lo{i}"], row[f"hi{i}"])
+        c: (row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"], row[f"neg{i}"])
         for i, c in enumerate(names)
         if row[f"lo{i}"] is not None
     }
 
 
-def range_checks(df: DataFrame, bounds: dict[str, tuple]) -> list[Check]:
+def range_checks(
+    df: DataFrame, bounds: dict[str, tuple], own: dict[str, tuple] | None = None
+) -> list[Check]:
     """Numeric columns against the bounds seen before cleaning. A column that was
     not numeric then is held to its own present range."""
     names = numeric_columns(df)
-    own = numeric_bounds(df, [c for c in names if c not in bounds])
+    if own is None:
+        own = numeric_bounds(df, [c for c in names if c not in bounds])
     known = {**own, **bounds}
-    return [Check(c, "range", *known[c]) for c in names if c in known]
+    return [Check(c, "range", known[c][0], known[c][1]) for c in names if c in known]
 
 
-def negative_checks(df: DataFrame, share: float = fixed.NEGATIVE_MINORITY) -> list[Check]:
+def negative_checks(
+    df: DataFrame, own: dict[str, tuple] | None = None, share: float = fixed.NEGATIVE_MINORITY
+) -> list[Check]:
     """Numeric columns where negatives are a small minority."""
-    counted = run_checks(df, [Check(c, "negatives") for c in numeric_columns(df)])
-    rows = counted.filter(f"invalid > 0 and invalid <= {share}D * checked").collect()
-    return [Check(r["column_name"], "negatives") for r in rows]
+    own = numeric_bounds(df) if own is None else own
+    return [
+        Check(c, "negatives")
+        for c, (_, _, values, negatives) in own.items()
+        if 0 < negatives <= share * values
+    ]
 
 
 def low_cardinality(profile: dict, limit: int = MAX_ALLOWED_VALUES) -> list[str]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.dates import is_date
-from ..functions.text import literal, matches, spelling, strip, to_number
+from ..functions.text import literal, matches, strip, to_number
 from .columns import cells, column_frame, local_rows, present, stacked, typed_groups
 from .frequency import HEAD, text_frequencies
 
@@ -42,20 +42,26 @@ _WORDS = fixed.BOOLEAN_SPELLINGS
 _OTHER_WORD = 1 << len(_WORDS)
 _SHIFT = len(_WORDS) + 1
 _WORD_MASK = (1 << _SHIFT) - 1
+LONGEST_WORD = max(map(len, _WORDS))
+
+# What the first characters of a long value look like if any test can hold for
+# it once trimmed: one word, letters digits and spaces, or number characters.
+_POSSIBLE = (
+    r"(?s)^(?:[WS].*|[^WS]++[WS]*+|[A-Za-z\dWS]++|[\d+\-.,£$€%eEWS]++)$"
+)
 
 
 def _bit(word: str) -> int:
     return 1 << _WORDS.index(word)
 
 
-def word_bits(value: str) -> str:
-    """The spelling bit of a text value, 0 for NULL."""
+def word_bits(text: str) -> str:
+    """The spelling bit of a trimmed text value, 0 for NULL."""
     cases = " ".join(f"when {literal(w)} then {_bit(w)}L" for w in _WORDS)
-    longest = max(map(len, _WORDS))
     return (
-        f"case when {value} is null then 0L"
-        f" when length({strip(value)}) > {longest} then {_OTHER_WORD}L"
-        f" else case {spelling(value)} {cases} else {_OTHER_WORD}L end end"
+        f"case when {text} is null then 0L"
+        f" when octet_length({text}) > {LONGEST_WORD} then {_OTHER_WORD}L"
+        f" else case lower({text}) {cases} else {_OTHER_WORD}L end end"
     )
 
 
@@ -82,11 +88,15 @@ _BASE_COUNTS = (
 
 def _text_facts(df: DataFrame, names: list[str]) -> DataFrame:
     # Long values do not pass the first shuffle whole, so they are tested before
-    # it; short ones after it, once per distinct value.
+    # it; short ones after it, once per distinct value. Most long values fail all
+    # tests by their beginning; only the others are read in full.
+    long = f"length(value) > {HEAD}"
+    possible = matches(f"substring(value, 1, {HEAD})", _POSSIBLE)
     long_form = cells(df, names, "string").selectExpr(
-        "*", f"if(length(value) > {HEAD}, {strip('value')}, null) as text"
+        "*", f"if({long} and {possible}, {strip('value')}, null) as text"
     )
-    distinct = text_frequencies(long_form, F.expr(_flags()).alias("long_flags")).selectExpr(
+    long_flags = F.expr(f"if({long} and text is null, {_OTHER_WORD}L, {_flags()})")
+    distinct = text_frequencies(long_form, long_flags.alias("long_flags")).selectExpr(
         "column_name", "head as value", "n", "long_flags",
         f"if(digest is null, {strip('head')}, null) as text",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import literal, matches, quoted, strip
-from .columns import columns_of, stacked
+from .columns import stacked
 from .facts import only_words
 
 
@@ -127,19 +127,21 @@ def column_metadata(facts: DataFrame) -> DataFrame:
 
 
 def mixed_types(df: DataFrame, facts: DataFrame) -> DataFrame:
-    """is_mixed, kinds, and for mixed columns the smallest value of each kind."""
+    """is_mixed, kinds, and for mixed columns the smallest value of each kind.
+
+    Give it collected facts: they also tell which columns to search.
+    """
     rows = classify(facts).selectExpr(
         "column_name", "is_mixed", "array_join(value_kinds, '|') as kinds"
     )
-    text = columns_of(df, "text")
-    if not text:
+    mixed = [r["column_name"] for r in rows.filter("is_mixed").collect()]
+    if not mixed:
         return rows.selectExpr(
             "*", "cast(null as string) as example_number", "cast(null as string) as example_string"
         )
-    return rows.join(F.broadcast(kind_examples(df, text)), "column_name", "left").selectExpr(
+    return rows.join(F.broadcast(kind_examples(df, mixed)), "column_name", "left").selectExpr(
         "column_name", "is_mixed", "kinds",
-        "if(is_mixed, number, null) as example_number",
-        "if(is_mixed, string, null) as example_string",
+        "number as example_number", "string as example_string",
     )
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.dates import clean_date
-from ..functions.text import literal, matches, one_of, quoted, strip, to_number, unify_yes_no
+from ..functions.text import literal, matches, one_of, quoted, strip_if_word, to_number, unify_yes_no
 from .columns import cells, kinds, local_rows
-from .facts import only_words, word_bits
+from .facts import LONGEST_WORD, only_words, word_bits
 
 LOG_SCHEMA = "column_name string, action string, affected bigint"
 
@@ -39,17 +39,17 @@ def normalise(df: DataFrame, profile: dict | None = None) -> tuple[DataFrame, Da
     phones = [c for c in text if profile.get(c, {}).get("semantic_type") == "phone"]
     # Only the phone columns are tested against the phone pattern.
     is_phone = one_of("column_name", phones) if phones else "false"
-    unified = unify_yes_no("value")
-    longest = max(map(len, fixed.YES_SPELLINGS + fixed.NO_SPELLINGS))
+    respelt = f"octet_length(text) <= {LONGEST_WORD} and {unify_yes_no('value')} != value"
     found = {
         r["column_name"]: r
         for r in cells(df, text, "string")
+        .selectExpr("*", f"{strip_if_word('value', LONGEST_WORD)} as text")
         .groupBy("column_name")
         .agg(
             F.count("value").alias("present"),
-            F.expr(f"bit_or({word_bits('value')}) as words"),
+            F.expr(f"bit_or({word_bits('text')}) as words"),
             F.expr(f"count_if({is_phone} and {invalid_phone('value')}) as bad_phones"),
-            F.expr(f"count_if(length({strip('value')}) <= {longest} and {unified} != value) as respelt"),
+            F.expr(f"count_if({respelt}) as respelt"),
         )
         .selectExpr(
             "*",

@@ -91,7 +91,8 @@ def cardinality_approx(df: DataFrame, rsd: float = 0.02) -> DataFrame:
 
 
 def numeric_moments(df: DataFrame, columns: Iterable[str] | None = None) -> list:
-    """Rows (column_name, n, lo, hi, mean, std, skew), one per column with values.
+    """Rows (column_name, rows, n, lo, hi, mean, std, skew), one per column with
+    values; ``rows`` counts the table, ``n`` the values.
 
     One aggregation per group of columns; no shuffle beyond one row per task.
     """
@@ -103,7 +104,7 @@ def numeric_moments(df: DataFrame, columns: Iterable[str] | None = None) -> list
             *[f"cast({present(df, c)} as double) as v{i}" for i, c in enumerate(chunk)]
         )
         parts = [
-            f"struct({literal(c)} as column_name, count(v{i}) as n, min(v{i}) as lo,"
+            f"struct({literal(c)} as column_name, count(*) as rows, count(v{i}) as n, min(v{i}) as lo,"
             f" max(v{i}) as hi, avg(v{i}) as mean, stddev_samp(v{i}) as std,"
             f" skewness(v{i}) as skew) as s{i}"
             for i, c in enumerate(chunk)
@@ -157,16 +158,16 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str] | None = None) -> D
     known = {m["column_name"]: m for m in numeric_moments(df, names)}
     used = [c for c in names if c in known]
     centred = df.selectExpr(
-        "1L as one",
         *[
             f"cast({present(df, c)} as double) - ({known[c]['mean']!r}D) as v{i}"
             for i, c in enumerate(used)
         ],
     )
+    complete = {i for i, c in enumerate(used) if known[c]["n"] == known[c]["rows"]}
     result: dict[tuple[str, str], float | None] = {}
     pairs = list(combinations(range(len(used)), 2))
     for start in range(0, len(pairs), _PAIR_CHUNK):
-        result.update(_pair_sums(centred, used, pairs[start:start + _PAIR_CHUNK]))
+        result.update(_pair_sums(centred, used, complete, pairs[start:start + _PAIR_CHUNK]))
     rows = []
     for x in names:
         for y in names:
@@ -180,11 +181,7 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str] | None = None) -> D
     )
 
 
-def _pair_sums(centred: DataFrame, names: list[str], pairs) -> dict:
-    counts = centred.selectExpr(
-        "count(*) as n", *[f"count(v{i}) as c{i}" for i in range(len(names))]
-    ).first()
-    complete = {i for i in range(len(names)) if counts[f"c{i}"] == counts["n"]}
+def _pair_sums(centred: DataFrame, names: list[str], complete: set[int], pairs) -> dict:
     wanted: dict[str, str] = {}
 
     def total(expression: str) -> str:

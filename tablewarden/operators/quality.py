@@ -15,6 +15,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{present(df, c)} as {quoted(c)}" for c in df.columns])
 
 
+def _null_cells(df: DataFrame) -> str:
+    return " + ".join(f"if({present(df, c)} is null, 1, 0)" for c in df.columns)
+
+
 def _row_groups(df: DataFrame, extra: list[str]) -> DataFrame:
     """One row per distinct row: null_cells, the ``extra`` expressions, n.
 
@@ -30,27 +34,36 @@ def _row_groups(df: DataFrame, extra: list[str]) -> DataFrame:
             keys.append(f"if(length({value}) > {HEAD}, sha2({value}, 256), null) as d{i}")
         else:
             keys.append(f"{value} as k{i}")
-    gaps = " + ".join(f"if({present(df, c)} is null, 1, 0)" for c in df.columns)
-    keyed = df.selectExpr(*keys, f"{gaps} as null_cells", *extra)
+    keyed = df.selectExpr(*keys, f"{_null_cells(df)} as null_cells", *extra)
     return keyed.groupBy(*keyed.columns).count().withColumnRenamed("count", "n")
 
 
-def quality_score(df: DataFrame, profile: dict | None = None) -> DataFrame:
+def quality_score(
+    df: DataFrame, profile: dict | None = None, distinct_rows: int | None = None
+) -> DataFrame:
     """0-100 score of completeness and uniqueness and, given the column profile,
-    of format validity of the email and phone columns."""
+    of format validity of the email and phone columns.
+
+    With the number of distinct rows known, nothing is grouped or shuffled.
+    """
     scored = []
     for name, column in (profile or {}).items():
         pattern = SCORED_PATTERNS.get(column["semantic_type"])
         if pattern and name in df.columns:
             scored.append(matches(f"cast({quoted(name)} as string)", pattern))
-    groups = _row_groups(df, [f"{test} as m{i}" for i, test in enumerate(scored)])
+    tests = [f"{test} as m{i}" for i, test in enumerate(scored)]
+    if distinct_rows is None:
+        groups, distinct = _row_groups(df, tests), "count(*)"
+    else:
+        groups = df.selectExpr(f"{_null_cells(df)} as null_cells", *tests, "1L as n")
+        distinct = f"{distinct_rows}L"
     shares = [
         f"try_divide(sum(if(m{i}, n, 0L)), sum(if(m{i} is null, 0L, n)))"
         for i in range(len(scored))
     ]
     total = groups.selectExpr(
         f"1 - try_divide(sum(null_cells * n), sum(n) * {len(df.columns)}) as completeness",
-        "1 - try_divide(sum(n - 1), sum(n)) as uniqueness",
+        f"1 - try_divide(sum(n) - {distinct}, sum(n)) as uniqueness",
         f"array_compact(array({', '.join(shares)})) as shares" if shares
         else "cast(array() as array<double>) as shares",
     ).selectExpr(
@@ -78,7 +91,16 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return nan_to_null(df).dropDuplicates()
 
 
-def dedup_log(df: DataFrame) -> DataFrame:
+def dedup_log(df: DataFrame, unique: DataFrame | None = None) -> DataFrame:
+    """Removed, before and after; only counts where the distinct rows are at hand."""
+    if unique is not None:
+        before = df.selectExpr("count(*) as before", "0L as after")
+        after = unique.selectExpr("0L", "count(*)")
+        return before.union(after).selectExpr(
+            "sum(before) - sum(after) as exact_duplicates_removed",
+            "sum(before) as rows_before",
+            "sum(after) as rows_after",
+        )
     return _row_groups(df, []).selectExpr(
         "coalesce(sum(n - 1), 0L) as exact_duplicates_removed",
         "coalesce(sum(n), 0L) as rows_before",

@@ -24,7 +24,7 @@ from ..streaming.gate import check_stream, stream_results
 from .clean import clean_scores, clean_table
 from .gate import gate_summary
 from .profile import report_digest
-from .validate import build_contract
+from .validate import anomaly_summary, build_contract
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,7 +55,7 @@ def _profiled(df: DataFrame) -> dict:
 
 
 def _mixed_types(df: DataFrame) -> DataFrame:
-    return metadata.mixed_types(df, column_facts(df))
+    return metadata.mixed_types(df, collect_facts(df))
 
 
 def _formats(df: DataFrame) -> dict[str, str]:
@@ -98,7 +98,7 @@ def _clean(df: DataFrame) -> DataFrame:
 
 def _clean_scores(df: DataFrame) -> DataFrame:
     known = _profiled(df)
-    return clean_scores(df, clean_table(df, known).table, known)
+    return clean_scores(df, clean_table(df, known), known)
 
 
 def _check_formats(df: DataFrame) -> DataFrame:
@@ -149,9 +149,7 @@ def _health_by_fences(df: DataFrame) -> DataFrame:
 
 def _health_by_forest(df: DataFrame) -> DataFrame:
     cleaned, contract = _contract(df)
-    flagged, _ = anomalies.detect_anomalies(cleaned)
-    row = anomalies.anomaly_counts(flagged).first()
-    free = 1.0 - row["anomalies"] / row["rows_scored"] if row["rows_scored"] else None
+    _, free = anomaly_summary(cleaned)
     return health.health_score(checks.run_checks(cleaned, contract), free)
 
 

@@ -14,6 +14,7 @@ from ..storage import stage
 @dataclass
 class Cleaned:
     table: DataFrame
+    unique: DataFrame
     dedup_log: DataFrame
     normalise_log: DataFrame
     impute_log: DataFrame
@@ -28,13 +29,16 @@ def clean_table(df: DataFrame, profile: dict) -> Cleaned:
     unique = stage(drop_duplicates(df), "deduplicated")
     uniform, normalise_log = normalise(unique, profile)
     filled, impute_log = impute(uniform, profile)
-    return Cleaned(filled, dedup_log(df), normalise_log, impute_log)
+    return Cleaned(filled, unique, dedup_log(df, unique), normalise_log, impute_log)
 
 
-def clean_scores(df: DataFrame, cleaned: DataFrame, profile: dict) -> DataFrame:
-    """quality_before, quality_after, quality_delta; both use the raw profile."""
-    before = quality_score(df, profile).selectExpr("score as before", "cast(null as double) as after")
-    after = quality_score(cleaned, profile).selectExpr("cast(null as double)", "score")
+def clean_scores(df: DataFrame, cleaned: Cleaned, profile: dict) -> DataFrame:
+    """quality_before, quality_after, quality_delta; both use the raw profile.
+
+    Normalising may make rows equal, so the cleaned table is compared anew.
+    """
+    before = quality_score(df, profile, cleaned.unique.count()).selectExpr("score as before", "cast(null as double) as after")
+    after = quality_score(cleaned.table, profile).selectExpr("cast(null as double)", "score")
     return before.union(after).selectExpr(
         "max(before) as quality_before",
         "max(after) as quality_after",

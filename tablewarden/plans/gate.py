@@ -7,6 +7,7 @@ from ..operators.checks import numeric_bounds
 from ..operators.facts import collect_facts
 from ..operators.metadata import profile_of
 from ..operators.profile import missing_overall
+from ..storage import stage
 from .clean import clean_scores, clean_table
 from .validate import validate_table
 
@@ -15,6 +16,8 @@ def gate_summary(df: DataFrame) -> DataFrame:
     """One row: rows, duplicates, missing cells, quality and health."""
     profile = profile_of(collect_facts(df))
     cleaned = clean_table(df, profile)
+    # Read by every later step; the steps up to here are projections on one read.
+    cleaned.table = stage(cleaned.table, "cleaned")
     validation = validate_table(cleaned.table, profile, numeric_bounds(df))
     return summarise(df, cleaned, validation, profile)
 
@@ -22,7 +25,7 @@ def gate_summary(df: DataFrame) -> DataFrame:
 def summarise(df: DataFrame, cleaned, validation, profile: dict) -> DataFrame:
     before = missing_overall(df).selectExpr("total_missing_cells as missing_before")
     after = missing_overall(cleaned.table).selectExpr("total_missing_cells as missing_after")
-    scores = clean_scores(df, cleaned.table, profile)
+    scores = clean_scores(df, cleaned, profile)
     health = validation.health
     # Five relations of exactly one row each.
     parts = [cleaned.dedup_log, before, after, scores, health]

@@ -5,8 +5,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..functions.text import quoted
 from ..operators import checks
 from ..operators.anomalies import anomaly_counts, detect_anomalies
+from ..operators.columns import numeric_columns
 from ..operators.health import health_score
 
 
@@ -21,12 +23,13 @@ class Validation:
 def build_contract(cleaned: DataFrame, profile: dict, bounds: dict) -> list[checks.Check]:
     """All checks that apply: formats and categories by the raw profile, ranges by
     the raw bounds, signs by the cleaned data."""
+    own = checks.numeric_bounds(cleaned)
     listed = [c for c in checks.low_cardinality(profile) if c in cleaned.columns]
     text = [f.name for f in cleaned.schema if f.dataType.typeName() == "string"]
     return [
         *checks.format_checks(cleaned, profile),
-        *checks.range_checks(cleaned, bounds),
-        *checks.negative_checks(cleaned),
+        *checks.range_checks(cleaned, bounds, own),
+        *checks.negative_checks(cleaned, own),
         *checks.membership_checks(
             checks.allowed_values(cleaned, [c for c in listed if c in text])
         ),
@@ -36,8 +39,14 @@ def build_contract(cleaned: DataFrame, profile: dict, bounds: dict) -> list[chec
 def validate_table(cleaned: DataFrame, profile: dict, bounds: dict) -> Validation:
     contract = build_contract(cleaned, profile, bounds)
     results = checks.run_checks(cleaned, contract)
-    flagged, _ = detect_anomalies(cleaned)
+    counts, free = anomaly_summary(cleaned)
+    return Validation(results, contract, counts, health_score(results, free))
+
+
+def anomaly_summary(df: DataFrame) -> tuple[DataFrame, float | None]:
+    """Anomaly counts and the share of scored rows without one. Reads and writes
+    the numeric columns only."""
+    flagged, _ = detect_anomalies(df.select(*[quoted(c) for c in numeric_columns(df)]))
     counts = anomaly_counts(flagged)
     row = counts.first()
-    free = 1.0 - row["anomalies"] / row["rows_scored"] if row["rows_scored"] else None
-    return Validation(results, contract, counts, health_score(results, free))
+    return counts, 1.0 - row["anomalies"] / row["rows_scored"] if row["rows_scored"] else None

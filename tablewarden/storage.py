@@ -7,19 +7,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tablewarden-")
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The cluster's checkpoint folder; a temporary one on a local master only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tablewarden-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     return None
 
 
