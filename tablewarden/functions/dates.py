@@ -14,8 +14,6 @@ OTHER_FORMATS = (
 )
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
 FULL_MONTH_YEAR = r"^[A-Za-z]{4,9} \d{4}$"
-# No format is longer; ends at once on a long text.
-SHORT = r"(?s)^.{6,26}$"
 
 
 def _day(text: str, fmt: str) -> str:
@@ -45,4 +43,4 @@ def clean_date(value: str) -> str:
 def is_date(text: str) -> str:
     """Whether any known format reads the trimmed text; full month names count here."""
     full = f"if({matches(text, FULL_MONTH_YEAR)}, {_day(text, 'MMMM yyyy')}, null)"
-    return f"({matches(text, SHORT)} and coalesce({_parsed(text)}, {full}) is not null)"
+    return f"(coalesce({_parsed(text)}, {full}) is not null)"

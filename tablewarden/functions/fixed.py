@@ -13,7 +13,13 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Value patterns (WS stands for the whitespace characters above).
+# The same characters inside a regular-expression class; and the ASCII ones.
+WHITESPACE_CLASS = (
+    r"\s\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028-\u2029\u202f\u205f\u3000"
+)
+ASCII_WHITESPACE_CLASS = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f "
+
+# Value patterns (WS stands for the whitespace class above).
 EMAIL = r"^[^@WS]+@[^@WS]+\.[^@WS]+$"
 PHONE_LOOSE = r"^(0|\+44)\d{9,10}$"      # used when profiling
 PHONE_STRICT = r"^(0|\+44)\d{10}$"       # used when cleaning and validating

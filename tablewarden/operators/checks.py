@@ -36,10 +36,12 @@ class Check:
 
     def invalid(self) -> str:
         value = quoted(self.column)
+        # Later rows may bring text where a number was: then it is invalid.
+        number = f"try_cast({value} as double)"
         if self.check == "range":
-            return f"cast({value} as double) not between {self.lower!r}D and {self.upper!r}D"
+            return f"coalesce({number} not between {self.lower!r}D and {self.upper!r}D, true)"
         if self.check == "negatives":
-            return f"{value} < 0"
+            return f"coalesce({number} < 0, true)"
         if self.check == "membership":
             return f"not {one_of(f'cast({value} as string)', self.allowed)}"
         return f"not {matches(f'cast({value} as string)', CHECK_PATTERNS[self.check])}"

@@ -89,16 +89,24 @@ def classify(facts: DataFrame) -> DataFrame:
     )
 
 
-def profile_of(facts: DataFrame) -> dict[str, dict]:
-    """column -> its classification, as the cleaning and checking steps take it."""
-    wanted = (
-        "column_name", "kind", "inferred_type", "semantic_type", "expected_type",
-        "date_formats", "n_present", "n_unique",
+def column_profile(facts: DataFrame) -> DataFrame:
+    """What the cleaning and checking steps need to know of each column."""
+    return classify(facts).select(
+        "position", "column_name", "kind", "inferred_type", "semantic_type", "expected_type",
+        "date_formats", "n_rows", "n_present", "n_unique",
     )
-    rows = classify(facts).orderBy("position").select(*wanted).collect()
+
+
+def as_profile(table: DataFrame) -> dict[str, dict]:
+    """A column profile table, just made or read back, as column -> its row."""
+    rows = sorted(table.collect(), key=lambda r: r["position"])
     return {r["column_name"]: r.asDict() for r in rows}
 
 
+def profile_of(facts: DataFrame) -> dict[str, dict]:
+    return as_profile(column_profile(facts))
+
+
 def match_ratios(facts: DataFrame) -> DataFrame:
     """Share of a column's values matching each pattern (0 without values)."""
     names = ("email", "phone", "postcode", "person_name", "numeric_like")

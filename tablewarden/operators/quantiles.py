@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .columns import cells, local_rows
+from .columns import cells, local_rows, present
 
 BINS = 1024
 _LARGEST = 1.7976931348623157e308
+_CHUNK = 12   # columns per read, to stay inside generated code
 
 
 @dataclass(frozen=True)
@@ -33,21 +34,32 @@ class _Range:
     below: int
     log: bool = False
 
+    def bin_of(self, v: str) -> str:
+        """Bin 0..BINS-1 of a value in the range, rising with the value.
 
-def _log_position(x: float) -> float:
+        Even in the value, or in its magnitude where the values are spread over
+        many of those. The ends always get the first and the last bin.
+        """
+        start, end = _magnitude(self.lo), _magnitude(self.hi)
+        place = f"if({v} = 0, 0D, signum({v}) * (ln(abs({v})) + 746D))"
+        if not math.isinf(self.hi - self.lo) and not (self.log and end - start > 1e-9):
+            start, end, place = self.lo, self.hi, v
+        scaled = f"floor(({place} - {start!r}D) / {end - start!r}D * {BINS})"
+        return f"least(greatest({scaled}, 0L), {BINS - 1}L)"
+
+
+def _magnitude(x: float) -> float:
     return math.copysign(math.log(abs(x)) + 746.0, x) if x else 0.0
 
 
-# Monotone in v and finite: even splits by magnitude, for skewed ranges.
-_LOG_POSITION = "if(v = 0, 0D, signum(v) * (ln(abs(v)) + 746D))"
+def _finite(value: str) -> str:
+    return f"greatest(least({value}, {_LARGEST}D), -{_LARGEST}D)"
 
 
 def numeric_cells(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Long form (column_name, v double) of the values present."""
     long_form = cells(df, columns, "double").filter("value is not null")
-    return long_form.selectExpr(
-        "column_name", f"greatest(least(value, {_LARGEST}D), -{_LARGEST}D) as v"
-    )
+    return long_form.selectExpr("column_name", f"{_finite('value')} as v")
 
 
 def exact_quantiles(
@@ -62,9 +74,9 @@ def exact_quantiles(
     Columns without values are absent from the result.
     """
     columns, probabilities = list(columns), list(probabilities)
-    values = numeric_cells(df, columns)
     if extent is None:
-        rows = values.groupBy("column_name").agg(F.count("v"), F.min("v"), F.max("v")).collect()
+        ends = numeric_cells(df, columns).groupBy("column_name")
+        rows = ends.agg(F.count("v"), F.min("v"), F.max("v")).collect()
         extent = {r[0]: (r[1], r[2], r[3]) for r in rows}
     extent = {c: extent[c] for c in columns if c in extent and extent[c][0]}
 
@@ -74,7 +86,7 @@ def exact_quantiles(
         for p in probabilities
         for edge in (math.floor, math.ceil)
     }
-    found = _select(values, extent, ranks)
+    found = _select(df, extent, ranks)
 
     def at(column: str, p: float) -> float:
         place = p * (extent[column][0] - 1)
@@ -84,70 +96,77 @@ def exact_quantiles(
     return {c: [at(c, p) for p in probabilities] for c in extent}
 
 
-def _select(values: DataFrame, extent, ranks) -> dict[tuple[str, int], float]:
+def _select(df: DataFrame, extent, ranks) -> dict[tuple[str, int], float]:
     """(column, 0-based rank) -> value at that rank."""
-    clamp = lambda x: max(-_LARGEST, min(_LARGEST, float(x)))
-    open_ranks = {
-        (c, r): _Range(c, clamp(extent[c][1]), clamp(extent[c][2]), 0) for c, r in ranks
-    }
+    def clamp(x: float) -> float:
+        return max(-_LARGEST, min(_LARGEST, float(x)))
+
+    sought = {(c, r): _Range(c, clamp(extent[c][1]), clamp(extent[c][2]), 0) for c, r in ranks}
     found: dict[tuple[str, int], float] = {}
     while True:
-        for key, part in list(open_ranks.items()):
+        for key, part in list(sought.items()):
             if part.lo == part.hi:
-                found[key] = open_ranks.pop(key).lo
-        if not open_ranks:
+                found[key] = sought.pop(key).lo
+        if not sought:
             return found
-        parts = sorted(set(open_ranks.values()), key=lambda p: (p.column, p.below, p.lo))
-        index = {part: i for i, part in enumerate(parts)}
-        wanted = [(index[part], rank) for (_, rank), part in open_ranks.items()]
-        narrowed = {
-            (r["part"], r["rank"]): r for r in _narrow(values, parts, sorted(set(wanted)))
-        }
-        for (column, rank), part in list(open_ranks.items()):
-            r = narrowed[index[part], rank]
-            # A bin that kept a large share means an uneven spread: switch scale.
-            log = part.log != (r["n"] * 16 > r["total"])
-            open_ranks[column, rank] = _Range(column, r["lo"], r["hi"], r["below"], log)
-
-
-def _narrow(values: DataFrame, parts: list[_Range], wanted: list[tuple[int, int]]):
-    """For each wanted rank, the bin of its range that holds it."""
-    spark = values.sparkSession
-    rows = []
-    for i, part in enumerate(parts):
-        start, end = _log_position(part.lo), _log_position(part.hi)
-        log = (part.log and end - start > 1e-9) or math.isinf(part.hi - part.lo)
-        if not log:
-            start, end = part.lo, part.hi
-        rows.append((i, part.column, part.lo, part.hi, part.below, log, start, end - start))
-    ranges = local_rows(
-        spark,
-        "part int, column_name string, first double, last double, before bigint, log boolean,"
-        " start double, width double",
-        rows,
+        names = list(dict.fromkeys(c for c, _ in sought))
+        for start in range(0, len(names), _CHUNK):
+            chunk = names[start:start + _CHUNK]
+            sought.update(_narrow(df, {k: p for k, p in sought.items() if k[0] in chunk}))
+
+
+def _narrow(df: DataFrame, sought: dict[tuple[str, int], _Range]) -> dict:
+    """One read: for each sought rank, the bin of its range that holds it."""
+    parts = sorted(set(sought.values()), key=lambda p: (p.column, p.lo))
+    names = list(dict.fromkeys(p.column for p in parts))
+    values = df.selectExpr(
+        *[f"{_finite(f'cast({present(df, c)} as double)')} as v{i}" for i, c in enumerate(names)]
     )
-    # Both small relations have a fixed number of rows per column and quantile.
-    binned = (
-        values.join(F.broadcast(ranges), "column_name")
-        .filter("v between first and last")
-        .selectExpr(
-            "part", "before", "v",
-            f"cast(least(greatest(floor((if(log, {_LOG_POSITION}, v) - start) / width * {BINS}), 0),"
-            f" {BINS - 1}) as int) as bin",
+    # Ranges of one column do not overlap; range and bin make one number.
+    codes = []
+    for i, name in enumerate(names):
+        cases = " ".join(
+            f"when v{i} between {p.lo!r}D and {p.hi!r}D then {k * BINS}L + {p.bin_of(f'v{i}')}"
+            for k, p in enumerate(parts) if p.column == name
+        )
+        codes.append(f"case {cases} end as code{i}")
+    pairs = ", ".join(f"(code{i}, v{i})" for i in range(len(names)))
+    counted = (
+        df.sparkSession.sql(
+            f"select * from {{coded}} unpivot ((code, v) for name in ({pairs}))",
+            coded=values.selectExpr("*", *codes),
         )
+        .filter("code is not null")
+        .groupBy("code")
+        .agg(F.expr("count(*) as n"), F.expr("min(v) as lo"), F.expr("max(v) as hi"))
+        .selectExpr(f"cast(code div {BINS} as int) as part", "code", "n", "lo", "hi")
     )
-    counted = binned.groupBy("part", "before", "bin").agg(
-        F.expr("count(*) as n"), F.expr("min(v) as lo"), F.expr("max(v) as hi")
+    # At most BINS rows per range from here on.
+    before = local_rows(
+        df.sparkSession, "part int, before bigint", [(k, p.below) for k, p in enumerate(parts)]
     )
-    upto = W.partitionBy("part").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
-    stacked = counted.select(
+    upto = W.partitionBy("part").orderBy("code").rowsBetween(W.unboundedPreceding, 0)
+    stacked = counted.join(F.broadcast(before), "part").select(
         "part", "n", "lo", "hi",
         (F.col("before") + F.sum("n").over(upto) - F.col("n")).alias("below"),
         F.sum("n").over(W.partitionBy("part")).alias("total"),
     )
-    targets = local_rows(spark, "part int, rank bigint", wanted)
-    return (
+    index = {part: k for k, part in enumerate(parts)}
+    wanted = {key: index[part] for key, part in sought.items()}
+    targets = local_rows(
+        df.sparkSession, "part int, rank bigint",
+        sorted({(part, rank) for (_, rank), part in wanted.items()}),
+    )
+    rows = (
         stacked.join(F.broadcast(targets), "part")
         .filter("rank >= below and rank < below + n")
         .collect()
     )
+    held = {(r["part"], r["rank"]): r for r in rows}
+    narrowed = {}
+    for (column, rank), part in wanted.items():
+        r = held[part, rank]
+        # A bin that kept a large share means an uneven spread: switch scale.
+        log = parts[part].log != (r["n"] * 16 > r["total"])
+        narrowed[column, rank] = _Range(column, r["lo"], r["hi"], r["below"], log)
+    return narrowed

@@ -24,7 +24,8 @@ def build_report(df: DataFrame, *, charts: bool = True) -> Report:
     driver-side rows. The other tables run when they are written or shown."""
     facts = collect_facts(df)
     tables = {
-        "dataset": profile.dataset_summary(df),
+        "dataset": profile.dataset_summary(df).selectExpr("*", "current_timestamp() as generated_at"),
+        "columns": metadata.column_profile(facts),
         "metadata": metadata.column_metadata(facts),
         "mixed_types": metadata.mixed_types(df, facts),
         "missing_per_column": profile.missing_per_column(df),

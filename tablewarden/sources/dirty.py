@@ -5,18 +5,57 @@ source and any engine can derive the same rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .tables import read_table
 
 
-def _pick(index: Column, *values: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(index: str, *values: str) -> str:
+    return f"element_at(array({', '.join(repr(v) for v in values)}), cast({index} as int) + 1)"
 
 
-def _two(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+def _two(number: str) -> str:
+    return f"lpad(cast({number} as string), 2, '0')"
+
+
+_K = "c_custkey"
+_YEAR = f"cast(20 + {_K} % 6 as string)"
+_MONTH, _DAY = _two(f"1 + {_K} % 12"), _two(f"1 + {_K} % 28")
+_MONTH_NAME = f"case 1 + {_K} % 12 when 3 then 'Mar' when 7 then 'Jul' when 11 then 'Nov' else 'Jan' end"
+_CHARGE = f"concat(cast(29 + {_K} % 36 as string), '.', {_two(f'{_K} % 100')})"
+_POSTCODE = (
+    f"concat({_pick(f'{_K} % 4', 'OX', 'GL', 'SN', 'RG')}, 1 + {_K} % 49, ' ', 1 + {_K} % 9, 'AB')"
+)
+
+_FAULTY = {
+    "customer_id": f"{_K} + 10000",
+    "full_name": f"concat({_pick(f'{_K} % 5', 'James', 'Olivia', 'Harry', 'Isla', 'Noah')}, ' ',"
+    f" {_pick(f'{_K} % 3', 'Smith', 'Patel', 'Hall')})",
+    "email": f"case when {_K} % 17 = 3 then null"
+    f" when {_K} % 25 = 4 then {_pick(f'{_K} % 3', 'john.smith', 'no-at-sign.com', 'a@b')}"
+    f" else concat('user', {_K}, '@example.com') end",
+    "phone": f"case when {_K} % 33 = 5 then {_pick(f'{_K} % 2', '123', '07xx')}"
+    f" else concat('07', lpad(cast(({_K} * 7919) % 1000000000 as string), 9, '0')) end",
+    "postcode": f"case when {_K} % 20 = 7 then null"
+    f" when {_K} % 33 = 9 then {_pick(f'{_K} % 2', '12345', 'ABCDE')} else {_POSTCODE} end",
+    "region": f"case {_K} % 20 when 3 then 'wiltshire' when 4 then '  Wiltshire '"
+    " when 5 then 'HAMPSHIRE' else"
+    f" {_pick(f'{_K} % 4', 'Oxfordshire', 'Wiltshire', 'Hampshire', 'Berkshire')} end",
+    "payment_method": _pick(f"{_K} % 3", "Direct Debit", "Credit Card", "Bank Transfer"),
+    "monthly_charges": f"case when {_K} % 50 = 7 then '-10.00'"
+    f" when {_K} % 33 = 8 then concat('£', {_CHARGE}) else {_CHARGE} end",
+    "tenure_months": f"case when {_K} % 33 = 9 then null when {_K} % 50 = 11 then -5L"
+    f" else 1 + {_K} % 72 end",
+    "nps_score": f"case when {_K} % 25 = 6 then null when {_K} % 50 = 13 then 99L"
+    f" else {_K} % 11 end",
+    "install_date": f"case when {_K} % 20 = 1 then concat({_DAY}, '/', {_MONTH}, '/20', {_YEAR})"
+    f" when {_K} % 40 = 2 then concat({_MONTH_NAME}, ' 20', {_YEAR})"
+    f" else concat('20', {_YEAR}, '-', {_MONTH}, '-', {_DAY}) end",
+    "churn": f"case {_K} % 60 when 0 then 'yes' when 10 then 'Y' when 20 then '1' when 30 then 'no'"
+    f" when 40 then 'N' when 50 then '0' else if({_K} % 4 = 3, 'Yes', 'No') end",
+    "country": "'GB'",
+    "empty_col": "cast(null as string)",
+}
 
 
 def dirty_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,74 +64,7 @@ def dirty_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def plant_faults(customers: DataFrame) -> DataFrame:
     """14 columns and, for some customers, a second copy of the row."""
-    k = F.col("c_custkey")
-    year = (20 + k % 6).cast("string")
-    month, day = _two(1 + k % 12), _two(1 + k % 28)
-    iso = F.concat(F.lit("20"), year, F.lit("-"), month, F.lit("-"), day)
-    uk = F.concat(day, F.lit("/"), month, F.lit("/20"), year)
-    name = (
-        F.when(1 + k % 12 == 3, "Mar").when(1 + k % 12 == 7, "Jul")
-        .when(1 + k % 12 == 11, "Nov").otherwise("Jan")
-    )
-    month_year = F.concat(name, F.lit(" 20"), year)
-    charge = F.concat((29 + k % 36).cast("string"), F.lit("."), _two(k % 100))
-    null = F.lit(None)
-
-    table = customers.select(
-        (k + 10000).alias("customer_id"),
-        F.concat(
-            _pick(k % 5, "James", "Olivia", "Harry", "Isla", "Noah"),
-            F.lit(" "),
-            _pick(k % 3, "Smith", "Patel", "Hall"),
-        ).alias("full_name"),
-        F.when(k % 17 == 3, null.cast("string"))
-        .when(k % 25 == 4, _pick(k % 3, "john.smith", "no-at-sign.com", "a@b"))
-        .otherwise(F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")))
-        .alias("email"),
-        F.when(k % 33 == 5, _pick(k % 2, "123", "07xx"))
-        .otherwise(
-            F.concat(F.lit("07"), F.lpad(((k * 7919) % 1000000000).cast("string"), 9, "0"))
-        )
-        .alias("phone"),
-        F.when(k % 20 == 7, null.cast("string"))
-        .when(k % 33 == 9, _pick(k % 2, "12345", "ABCDE"))
-        .otherwise(
-            F.concat(
-                _pick(k % 4, "OX", "GL", "SN", "RG"),
-                (1 + k % 49).cast("string"),
-                F.lit(" "),
-                (1 + k % 9).cast("string"),
-                F.lit("AB"),
-            )
-        )
-        .alias("postcode"),
-        F.when(k % 20 == 3, "wiltshire")
-        .when(k % 20 == 4, "  Wiltshire ")
-        .when(k % 20 == 5, "HAMPSHIRE")
-        .otherwise(_pick(k % 4, "Oxfordshire", "Wiltshire", "Hampshire", "Berkshire"))
-        .alias("region"),
-        _pick(k % 3, "Direct Debit", "Credit Card", "Bank Transfer").alias("payment_method"),
-        F.when(k % 50 == 7, "-10.00")
-        .when(k % 33 == 8, F.concat(F.lit("£"), charge))
-        .otherwise(charge)
-        .alias("monthly_charges"),
-        F.when(k % 33 == 9, null.cast("bigint"))
-        .when(k % 50 == 11, F.lit(-5).cast("bigint"))
-        .otherwise(1 + k % 72)
-        .alias("tenure_months"),
-        F.when(k % 25 == 6, null.cast("bigint"))
-        .when(k % 50 == 13, F.lit(99).cast("bigint"))
-        .otherwise(k % 11)
-        .alias("nps_score"),
-        F.when(k % 20 == 1, uk).when(k % 40 == 2, month_year).otherwise(iso)
-        .alias("install_date"),
-        F.when(k % 60 == 0, "yes").when(k % 60 == 10, "Y").when(k % 60 == 20, "1")
-        .when(k % 60 == 30, "no").when(k % 60 == 40, "N").when(k % 60 == 50, "0")
-        .when(k % 4 == 3, "Yes").otherwise("No")
-        .alias("churn"),
-        F.lit("GB").alias("country"),
-        null.cast("string").alias("empty_col"),
-        F.explode(F.when(k % 37 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-        .alias("copy"),
-    )
-    return table.drop("copy")
+    return customers.selectExpr(
+        *[f"{expression} as {name}" for name, expression in _FAULTY.items()],
+        f"explode(sequence(1, if({_K} % 37 = 1, 2, 1))) as copy",
+    ).drop("copy")
