@@ -7,11 +7,13 @@ exact quantile of all scores.
 """
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +23,9 @@ from ..storage import stage
 from .columns import numeric_columns, present
 from .quantiles import exact_quantiles
 
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCORE = "anomaly_score"
 SMALL_TABLE = 5_000_000
 _NODES = "tree int, node int, feature int, cut double, left int, right int, depth double"

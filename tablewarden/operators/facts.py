@@ -46,16 +46,18 @@ TESTS = {
     f" and {to_number('text', fixed.CURRENCY_AND_PERCENT)} is not null",
 }
 
-# Spelling bits: one per boolean word, then one for any other value. The test
-# results of a value follow in the same number.
+# Spelling bits: one per boolean word, then one for any other value.
 _WORDS = fixed.BOOLEAN_SPELLINGS
 _OTHER_WORD = 1 << len(_WORDS)
-_SHIFT = len(_WORDS) + 1
-_WORD_MASK = (1 << _SHIFT) - 1
 LONGEST_WORD = max(map(len, _WORDS))
 
-# What the first characters of a long value look like if any test can hold for
-# it once trimmed: one word, letters digits and spaces, or number characters.
+# The tests a long trimmed value can pass, and what the first characters of a
+# value must look like for that: one word, letters digits and spaces, or number
+# characters.
+_LONG_TESTS = (
+    "n_email", "n_postcode", "n_person_name", "n_numeric_like", "n_plain_number",
+    "n_month_year", "n_number",
+)
 _POSSIBLE = (
     r"(?s)^(?:[WS].*|[^WS]++[WS]*+|[A-Za-z\dWS]++|[\d+\-.,£$€%eEWS]++)$"
 )
@@ -81,14 +83,6 @@ def only_words(bits: str, words: Iterable[str]) -> str:
     return f"({bits} > 0 and {bits} & {others}L = 0)"
 
 
-def _flags() -> str:
-    """Spelling bit and test bits of the value in column ``text``; 0 for NULL."""
-    bits = [
-        f"if({test}, {1 << (_SHIFT + i)}L, 0L)" for i, test in enumerate(TESTS.values())
-    ]
-    return " | ".join([word_bits("text"), *bits])
-
-
 _BASE_COUNTS = (
     "sum(n) as n_rows",
     "sum(if(value is not null, n, 0L)) as n_present",
@@ -99,24 +93,32 @@ _BASE_COUNTS = (
 def _text_facts(df: DataFrame, names: list[str]) -> DataFrame:
     # Long values do not pass the first shuffle whole, so they are tested before
     # it; short ones after it, once per distinct value. Most long values fail all
-    # tests by their beginning; only the others are read in full.
-    long = f"length(value) > {HEAD}"
+    # tests by their beginning; only the others are read in full. One that is
+    # short once trimmed goes along as ``padded``.
     possible = matches(f"substring(value, 1, {HEAD})", _POSSIBLE)
     long_form = cells(df, names, "string").selectExpr(
-        "*", f"if({long} and {possible}, {strip('value')}, null) as text"
+        "*", f"if(length(value) > {HEAD} and {possible}, {strip('value')}, null) as text"
+    )
+    bits = [f"if({TESTS[t]}, {1 << i}, 0)" for i, t in enumerate(_LONG_TESTS)]
+    distinct = text_frequencies(
+        long_form,
+        F.expr(f"if(length(text) <= {HEAD}, text, null) as padded"),
+        F.expr(f"if(length(text) > {HEAD}, {' | '.join(bits)}, 0) as passed"),
+    ).selectExpr(
+        "column_name", "head as value", "n", "passed",
+        f"if(digest is null, {strip('head')}, padded) as text",
     )
-    long_flags = F.expr(f"if({long} and text is null, {_OTHER_WORD}L, {_flags()})")
-    distinct = text_frequencies(long_form, long_flags.alias("long_flags")).selectExpr(
-        "column_name", "head as value", "n", "long_flags",
-        f"if(digest is null, {strip('head')}, null) as text",
+    # Each test stands in its own aggregate, which Spark compiles separately.
+    counts = []
+    for name, test in TESTS.items():
+        if name in _LONG_TESTS:
+            test = f"passed & {1 << _LONG_TESTS.index(name)} != 0 or {test}"
+        counts.append(f"sum(if({test}, n, 0L)) as {name}")
+    words = (
+        f"bit_or(case when value is null then 0L when text is null then {_OTHER_WORD}L"
+        f" else {word_bits('text')} end) as words"
     )
-    flagged = distinct.selectExpr("column_name", "value", "n", f"long_flags | {_flags()} as flags")
-    counts = [
-        f"sum(if(flags & {1 << (_SHIFT + i)}L != 0, n, 0L)) as {name}"
-        for i, name in enumerate(TESTS)
-    ]
-    totals = [*_BASE_COUNTS, f"bit_or(flags & {_WORD_MASK}L) as words", *counts]
-    return flagged.groupBy("column_name").agg(*map(F.expr, totals))
+    return distinct.groupBy("column_name").agg(*map(F.expr, [*_BASE_COUNTS, words, *counts]))
 
 
 def _native_facts(df: DataFrame, names: list[str], family: str) -> DataFrame:

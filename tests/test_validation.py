@@ -1,7 +1,11 @@
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from tablewarden.operators import checks
+from tablewarden.operators import anomalies, checks
 from tablewarden.operators.anomalies import anomaly_counts, detect_anomalies
 from tablewarden.operators.facts import column_facts
 from tablewarden.operators.health import health_score
@@ -93,6 +97,20 @@ def test_forest_is_reproducible(planted):
     assert first == second
 
 
+def test_forest_code_needs_no_package_on_executors(tmp_path):
+    code = cloudpickle.dumps(anomalies._grow)
+    (tmp_path / "grow.pkl").write_bytes(code)
+    check = (
+        "import sys, numpy as np; from pyspark import cloudpickle;"
+        "grow = cloudpickle.loads(open('grow.pkl', 'rb').read());"
+        "print(len(grow(np.arange(8.0).reshape(4, 2), 3, np.random.default_rng(0))));"
+        "assert 'tablewarden' not in sys.modules"
+    )
+    done = subprocess.run([sys.executable, "-c", check], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) == 7
+
+
 def test_forest_skips_incomplete_rows_and_tables(frame):
     df = frame({"x": [1.0, None, 2.0], "y": [1, 2, 3]}, "x double, y int")
     assert anomaly_counts(detect_anomalies(df)[0]).first()["rows_scored"] == 2
