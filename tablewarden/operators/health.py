@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions import fixed
+from ..functions.numbers import half_up
 
 
 def health_score(results: DataFrame, anomaly_free_rate: float | None) -> DataFrame:
@@ -19,5 +20,5 @@ def health_score(results: DataFrame, anomaly_free_rate: float | None) -> DataFra
     ).selectExpr(
         "round(pass_rate, 6) as pass_rate",
         f"round({free!r}D, 6) as anomaly_free_rate",
-        f"round(100D * ({rules}D * pass_rate + {anomalies}D * {free!r}D), 2) as health_score",
+        f"{half_up(f'100D * ({rules}D * pass_rate + {anomalies}D * {free!r}D)', 2)} as health_score",
     )

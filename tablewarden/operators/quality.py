@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions import fixed
+from ..functions.numbers import half_up
 from ..functions.text import matches, quoted
 from .columns import kinds, present
 from .frequency import HEAD
@@ -73,16 +74,17 @@ def quality_score(
     rounded = ["round(completeness, 6) as completeness", "round(uniqueness, 6) as uniqueness"]
     if profile is None:
         complete, unique = fixed.BASE_WEIGHTS
+        score = f"100D * ({complete}D * completeness + {unique}D * uniqueness)"
         return total.selectExpr(
             *rounded,
-            f"round(100D * ({complete}D * completeness + {unique}D * uniqueness), 2) as score",
+            f"{half_up(score, 2)} as score",
         )
     complete, unique, valid = fixed.PROFILE_WEIGHTS
+    score = f"100D * ({complete}D * completeness + {unique}D * uniqueness + {valid}D * validity)"
     return total.selectExpr(
         *rounded,
         "round(validity, 6) as validity",
-        f"round(100D * ({complete}D * completeness + {unique}D * uniqueness"
-        f" + {valid}D * validity), 2) as score",
+        f"{half_up(score, 2)} as score",
     )
 
 
