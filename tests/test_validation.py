@@ -71,6 +71,11 @@ def test_health_score(frame):
     assert health_score(table.filter("false"), None).first()["health_score"] == 100.0
 
 
+def test_scores_round_half_up_on_ties(frame):
+    table = frame({"invalid": [7], "checked": [400]}, "invalid bigint, checked bigint")
+    assert health_score(table, 0.96).first()["health_score"] == 97.58
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     normal = spark.range(2000).select(
