@@ -109,12 +109,11 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about ``limit`` bytes of its ``text``; a longer text stands alone."""
-    if "text" not in batch.schema.names:
-        yield batch
-        return
-    ends = np.cumsum(text_lengths(batch.column("text")))
+def slices(
+    batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``limit`` bytes of a column; a longer text stands alone."""
+    ends = np.cumsum(text_lengths(batch.column(column)))
     start = 0
     while start < len(ends):
         base = ends[start - 1] if start else 0

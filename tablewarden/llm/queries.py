@@ -6,8 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from public_tokenizers import path as tokenizer_path
+
+from .chat import format_conversations, read_back
 from .exact_dedup import exact_duplicates
 from .line_dedup import drop_repeated_lines
+from .packing import pack
+from .quality import score_quality
+from .secrets import find_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +22,41 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack(_table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.drop("row")
+
+
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    test = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn int, role string,"
+        " text string")
+    read = read_back(format_conversations(rows.unionByName(test)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.char_length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(
+        _table(spark, folder, "documents"), owner=F.col("source"),
+        repo=F.concat_ws("/", "source", "lang"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -27,11 +68,34 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_packing": op2_packing,
+    "op3_chat": op3_chat,
+    "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_chat": r"""
+        with rows as (
+          select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+          from conversations
+          union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                           (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        shown as (
+          select *, regexp_replace(regexp_replace(replace(text, chr(92), chr(92) || chr(92)),
+                      '<(/?s>)', '<\\\1', 'g'), '\[(/?INST\])', '[\\\1', 'g') as body
+          from rows)
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn))
+                 as turns_sha256,
+               coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint
+                 as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn)
+                               filter (where role = 'assistant'), '')) as loss_sha256,
+               sum(20 + length(role) + length(body))::bigint as formatted_chars
+        from shown group by conv_id""",
     "op5_exact_dedup": r"""
         with texts as (
           select doc_id,
