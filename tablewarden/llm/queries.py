@@ -14,6 +14,7 @@ from .line_dedup import drop_repeated_lines
 from .packing import pack
 from .quality import score_quality
 from .secrets import find_secrets
+from .vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +63,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = drop_repeated_lines(_table(spark, folder, "documents"), min_docs=10, min_chars=1)
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_vectors": op6_vectors,
     "op9_line_dedup": op9_line_dedup,
 }
 
