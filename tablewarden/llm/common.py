@@ -3,10 +3,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -237,5 +239,52 @@ def components(edges: DataFrame, label: str = "edges") -> DataFrame:
             F.count("*"), F.sum(hash64("a", "b").cast("decimal(38,0)")),
         ).first()
         if now == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            centres = edges.select("b").distinct()
+            return stars.union(centres.select("b", "b"))
         before = now
+
+
+#: Bits of a key filter: 16 MB, however many keys; more keys only let more rows pass.
+_FILTER_BITS = 27
+_PIECE = 1 << 18
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of 64-bit keys as bytes: each task fills one, pieces are merged apart."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << _FILTER_BITS >> 3, np.uint8)
+        for batch in batches:
+            spots = _spots(batch.column(0).to_numpy())
+            np.bitwise_or.at(bits, spots >> 3, np.left_shift(1, spots & 7).astype(np.uint8))
+        parts = [(i, bits[at:at + _PIECE]) for i, at in enumerate(range(0, len(bits), _PIECE))]
+        parts = [(i, zlib.compress(p.tobytes(), 1)) for i, p in parts if p.any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, _ in parts], pa.int32()),
+             pa.array([p for _, p in parts], pa.binary())], ["piece", "bits"])
+
+    def merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(_PIECE, np.uint8)
+        for part in parts:
+            for packed in part["bits"]:
+                bits |= np.frombuffer(zlib.decompress(packed), np.uint8)
+        yield pd.DataFrame({"piece": [key[0]], "bits": [zlib.compress(bits.tobytes(), 1)]})
+
+    filled = keys.select(column).mapInArrow(fill, "piece int, bits binary")
+    merged = filled.groupBy("piece").applyInPandas(merge, "piece int, bits binary").collect()
+    out = np.zeros(1 << _FILTER_BITS >> 3, np.uint8)
+    for piece, packed in merged:
+        out[piece * _PIECE:(piece + 1) * _PIECE] = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return out
+
+
+def _spots(keys: np.ndarray) -> np.ndarray:
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+
+
+def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False for keys that are surely not in a key filter."""
+    spots = _spots(keys)
+    return ((bits[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1).astype(bool)

@@ -11,6 +11,7 @@ from public_tokenizers import path as tokenizer_path
 from .chat import format_conversations, read_back
 from .exact_dedup import exact_duplicates
 from .line_dedup import drop_repeated_lines
+from .near_dup import near_duplicates
 from .packing import pack
 from .quality import score_quality
 from .secrets import find_secrets
@@ -67,6 +68,11 @@ def op6_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op7_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = drop_repeated_lines(_table(spark, folder, "documents"), min_docs=10, min_chars=1)
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_vectors": op6_vectors,
+    "op7_near_dup": op7_near_dup,
     "op9_line_dedup": op9_line_dedup,
 }
 

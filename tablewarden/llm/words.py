@@ -69,3 +69,29 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     np.cumsum(_VALUES[data] * _power("up", _BASE, len(data)), out=sums[1:])
     hashes = (sums[end] - sums[start]) * _power("down", _INVERSE, len(data))[start]
     return mix(hashes), start
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[np.ndarray]:
+    """Of every text the sorted, different hashes of its word shingles, A-Z in lower case.
+
+    A text with fewer words than ``size`` has its whole word sequence as one shingle, a text without
+    words none.
+    """
+    hashes, start = word_hashes(_LOWER[data], offsets)
+    cuts = np.searchsorted(start, offsets)
+    n = max(0, len(hashes) - size + 1)
+    rolled = np.full(n, np.uint64(size), np.uint64)
+    for k in range(size):
+        rolled = mix(rolled ^ hashes[k:k + n]) + np.uint64(k)
+    out = []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if b - a >= size:
+            out.append(np.unique(rolled[a:b - size + 1]))
+        elif b > a:
+            whole = np.uint64(b - a)
+            for h in hashes[a:b]:
+                whole = mix(np.array([whole ^ h], np.uint64))[0]
+            out.append(np.array([whole], np.uint64))
+        else:
+            out.append(np.empty(0, np.uint64))
+    return out
