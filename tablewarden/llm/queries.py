@@ -6,8 +6,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 
+from .byte_bpe import decode, encode
 from .chat import format_conversations, read_back
 from .exact_dedup import exact_duplicates
 from .line_dedup import drop_repeated_lines
@@ -15,6 +17,7 @@ from .near_dup import near_duplicates
 from .packing import pack
 from .quality import score_quality
 from .secrets import find_secrets
+from .token_counts import edited_counts
 from .vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,11 +76,26 @@ def op7_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document before and after three edits, without counting its rest again."""
+    counted = edited_counts(
+        _table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), PATTERN)
+    return counted.select("doc_id", "n_before", "n_after", "encoded", "n_chars")
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = drop_repeated_lines(_table(spark, folder, "documents"), min_docs=10, min_chars=1)
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    decoded = decode(encode(_table(spark, folder, "documents"), path, PATTERN), path)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -86,7 +104,9 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_vectors": op6_vectors,
     "op7_near_dup": op7_near_dup,
+    "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
