@@ -7,12 +7,12 @@ vote with their similarity as weight. Scoring is one pass over the texts without
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, hash64, slices, text_bytes
@@ -181,6 +181,20 @@ def train(
     return fit_space(counts.reshape(-1, TERMS), np.array([r.label for r in found], float))
 
 
+def scorer(space: Space, spark: SparkSession) -> Callable[[Column], Column]:
+    """A function from a text column without nulls to its scores; no row moves for it."""
+    shared = spark.sparkContext.broadcast(vars(space))
+
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Space(**shared.value)
+        for texts in batches:
+            parts = slices(pa.RecordBatch.from_arrays([texts], ["text"]))
+            counts = (term_counts(*text_bytes(part.column("text"))) for part in parts)
+            yield pa.array(np.concatenate([np.empty(0), *map(own.scores, counts)]), pa.float64())
+
+    return F.arrow_udf(scores, "double")
+
+
 def score_quality(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     threshold: float = THRESHOLD, per_label: int = SAMPLE_PER_LABEL,
@@ -192,19 +206,17 @@ def score_quality(
     is 0.5. An empty table gives no rows.
     """
     docs = documents(df, id_col, text_col)
-    shared = df.sparkSession.sparkContext.broadcast(vars(train(docs, labels, per_label)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = Space(**shared.value)
-        for batch in batches:
-            for part in slices(batch):
-                counts = term_counts(*text_bytes(part.column("text")))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_key"),
-                     pa.array(space.scores(counts), pa.float64())],
-                    ["doc_id", "text_key", "score"])
-
-    scored = docs.mapInArrow(run, "doc_id long, text_key long, score double")
+    score = scorer(train(docs, labels, per_label), df.sparkSession)
+    scored = docs.select("doc_id", "text_key", score("text").alias("score"))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"), "text_key")
+
+
+def keep_quality(
+    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    threshold: float = THRESHOLD, per_label: int = SAMPLE_PER_LABEL,
+) -> DataFrame:
+    """The rows of ``df`` that score at least ``threshold``, with all their columns."""
+    score = scorer(train(documents(df, id_col, text_col), labels, per_label), df.sparkSession)
+    return df.filter(score(F.coalesce(F.col(text_col), F.lit(""))) >= threshold)
