@@ -45,41 +45,44 @@ def first_per_column(rows: DataFrame, count: int, *order: Column) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= count)
 
 
+def first_values(
+    frequencies: DataFrame, text_cells: DataFrame, count: int, *order: Column
+) -> DataFrame:
+    """The first rows of each column by ``order``, then by the whole value; adds rank and value.
+
+    Beginnings rank as their values do, so all rows tied with the last wanted one at ``order`` and
+    head stay; whole texts are fetched for those only, and rank them.
+    """
+    window = W.partitionBy("column_name").orderBy(*order, F.asc("head"))
+    tied = frequencies.withColumn("place", F.rank().over(window)).filter(F.col("place") <= count)
+    whole = restore_values(tied.drop("place"), text_cells)
+    return first_per_column(whole, count, *order, F.asc("value"))
+
+
 def restore_values(picked: DataFrame, text_cells: DataFrame) -> DataFrame:
-    """Add ``value``, the whole text, to a few picked rows.
+    """Add ``value``, the whole text, to picked rows.
 
-    ``picked`` has a fixed number of rows per column, hence the broadcast. Only
-    the long ones need the texts again; with none of them the second read of the
-    texts is dropped at run time.
+    Only the long ones need the texts again. Their number has no bound, so the join is left to
+    adaptive execution, which broadcasts a small side at run time.
     """
     short = picked.filter(F.col("digest").isNull()).withColumn("value", F.col("head"))
     wanted = picked.filter(F.col("digest").isNotNull())
-    source = text_cells.filter(F.length("value") > HEAD).select(
-        "column_name", head_of(F.col("value")).alias("head"), "value"
-    )
-    long = (
-        source.join(F.broadcast(wanted), ["column_name", "head"])
-        .filter(F.sha2("value", 256) == F.col("digest"))
-        .select(*picked.columns, "value")
-        .distinct()
+    value = F.col("value")
+    source = text_cells.filter(F.length(value) > HEAD).select(
+        "column_name", head_of(value).alias("head"), digest_of(value).alias("digest"), "value"
     )
-    return short.unionByName(long)
+    long = source.join(wanted, ["column_name", "head", "digest"])
+    return short.unionByName(long.select(*picked.columns, "value").distinct())
 
 
 def top_values(
     df: DataFrame, columns: Iterable[str] | None = None, count: int = fixed.TOP_VALUES
 ) -> DataFrame:
-    """Most frequent values of the non-numeric columns: rank, value, n.
-
-    Equal counts are ordered by value; long values that share their beginning
-    by digest.
-    """
+    """Most frequent values of the non-numeric columns: rank, value, n; equal counts by value."""
     names = list(columns) if columns is not None else columns_of(df, "text", "boolean", "temporal")
     text_cells = cells(df, names, "string").filter(F.col("value").isNotNull())
-    picked = first_per_column(
-        text_frequencies(text_cells), count, F.desc("n"), F.asc("head"), F.asc_nulls_first("digest")
-    )
-    return restore_values(picked, text_cells).select("column_name", "rank", "value", "n")
+    picked = first_values(text_frequencies(text_cells), text_cells, count, F.desc("n"))
+    return picked.select("column_name", "rank", "value", "n")
 
 
 def modes(df: DataFrame, columns: Iterable[str]) -> dict[str, tuple]:
@@ -90,34 +93,10 @@ def modes(df: DataFrame, columns: Iterable[str]) -> dict[str, tuple]:
     found: dict[str, tuple] = {}
     for family, names in typed_groups(df, columns).items():
         long_form = cells(df, names, family).filter(F.col("value").isNotNull())
-        if family != "string":
+        if family == "string":
+            best = first_values(text_frequencies(long_form), long_form, 1, F.desc("n"))
+        else:
             counted = long_form.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-            best = first_per_column(counted, 1, F.desc("n"), F.asc("value")).collect()
-            found.update({r["column_name"]: (r["value"], r["n"]) for r in best})
-            continue
-        best = first_per_column(
-            text_frequencies(long_form), 1, F.desc("n"), F.asc("head"), F.asc_nulls_first("digest")
-        ).collect()
-        for row in best:
-            value = row["head"]
-            if row["digest"] is not None:
-                value = _smallest_long(long_form, row)
-            found[row["column_name"]] = (value, row["n"])
+            best = first_per_column(counted, 1, F.desc("n"), F.asc("value"))
+        found.update({r["column_name"]: (r["value"], r["n"]) for r in best.collect()})
     return found
-
-
-def _smallest_long(text_cells: DataFrame, winner) -> str:
-    """Among long values with the winning count and beginning, the smallest."""
-    value = F.col("value")
-    return (
-        text_cells.filter(
-            (F.col("column_name") == winner["column_name"])
-            & (F.length(value) > HEAD)
-            & (head_of(value) == winner["head"])
-        )
-        .groupBy("value")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") == winner["n"])
-        .agg(F.min("value").alias("value"))
-        .first()["value"]
-    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.text import matches, one_of, quoted, strip
 from .columns import cells, local_rows
-from .frequency import digest_of, first_per_column, head_of, restore_values
+from .frequency import digest_of, first_values, head_of
 from .metadata import classify
 
 PROFILE_PATTERNS = {
@@ -20,11 +20,11 @@ PROFILE_PATTERNS = {
 
 
 def pii_columns(facts: DataFrame) -> DataFrame:
-    """Columns that likely hold personal data, and whether name or values say so."""
+    """Columns that likely hold personal data, and why."""
     return classify(facts).filter(one_of("expected_type", fixed.PII_TYPES)).selectExpr(
         "column_name",
         "expected_type as semantic_type",
-        "if(hinted_type is not null, 'name', 'values') as reason",
+        "concat('values or name suggest ', expected_type) as reason",
     )
 
 
@@ -105,5 +105,5 @@ def invalid_examples(
     distinct = invalid.select(
         "column_name", head_of(value).alias("head"), digest_of(value).alias("digest")
     ).distinct()
-    picked = first_per_column(distinct, count, F.asc("head"), F.asc_nulls_first("digest"))
-    return restore_values(picked, invalid).selectExpr("column_name", "rank", "value as example")
+    picked = first_values(distinct, invalid, count)
+    return picked.selectExpr("column_name", "rank", "value as example")
