@@ -14,9 +14,13 @@ def main() -> None:
     parser.add_argument("output")
     parser.add_argument("--kind", help="input format; from the file name if left out")
     parser.add_argument("--csv", action="store_true", help="also write the cleaned table as CSV")
+    parser.add_argument("--no-figures", action="store_true", help="leave the chart tables out")
     arguments = parser.parse_args()
     spark = SparkSession.builder.appName("tablewarden").getOrCreate()
-    gate_job(spark, arguments.input, arguments.output, arguments.kind, arguments.csv)
+    gate_job(
+        spark, arguments.input, arguments.output, arguments.kind, arguments.csv,
+        charts=not arguments.no_figures,
+    )
 
 
 if __name__ == "__main__":

@@ -77,7 +77,6 @@ CATEGORICAL_MIN = 20
 CATEGORICAL_SHARE = 0.05
 TOP_VALUES = 5
 MAX_EXAMPLES = 5
-MAX_PLOT_COLUMNS = 12
 NEGATIVE_MINORITY = 0.05
 WHISKER = 1.5
 

@@ -14,7 +14,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,7 +27,6 @@ from .quantiles import exact_quantiles
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCORE = "anomaly_score"
-SMALL_TABLE = 5_000_000
 _NODES = "tree int, node int, feature int, cut double, left int, right int, depth double"
 _NODE_NAMES = ["tree", "node", "feature", "cut", "left", "right", "depth"]
 
@@ -67,15 +66,26 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator) -> list[tupl
 
 
 def _samples(data: DataFrame, n: int, trees: int, sample: int, seed: int) -> DataFrame:
-    """``sample`` random rows per tree (all rows if there are fewer), with ``tree``."""
-    # Thin first, so that only a pool of fixed expected size is copied per tree.
-    pool = data
-    wanted = 4.0 * trees * sample
+    """``sample`` random rows per tree (nearly all rows if there are fewer), with ``tree``.
+
+    The lowest hashes of a tree, ties by value. Equal rows are picked together.
+    """
+    # Picks are hashes of the values, so they do not depend on how the rows are spread. Thin first:
+    # only a pool of fixed expected size is copied per tree.
+    values = data.columns
+
+    def below(share: float, *key) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(*key), 11) < int(share * 2.0**53)
+
+    pool, wanted = data, 8.0 * trees * sample
     if n > wanted:
-        pool, n = data.sample(fraction=wanted / n, seed=seed), int(wanted)
+        pool = data.filter(below(wanted / n, *values, F.lit(seed)))
+        n = int(wanted)
     copies = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    copies = copies.withColumn("pick", F.rand(seed + 1)).filter(F.col("pick") < min(1.0, 4.0 * sample / n))
-    order = W.partitionBy("tree").orderBy("pick")
+    pick = F.xxhash64(*values, "tree", F.lit(seed + 1))
+    copies = copies.filter(below(min(1.0, 8.0 * sample / n), *values, "tree", F.lit(seed + 1)))
+    copies = copies.withColumn("pick", pick)
+    order = W.partitionBy("tree").orderBy(F.shiftrightunsigned("pick", 11), *values)
     return (
         copies.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample)
@@ -107,7 +117,7 @@ def fit_forest(
 
     def grow_tree(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
-        points = pdf.sort_values("pick")[values].to_numpy()
+        points = pdf.sort_values(["pick", *values])[values].to_numpy()
         nodes = _grow(points, limit, np.random.default_rng([seed, tree]))
         return pd.DataFrame([(tree, *node) for node in nodes], columns=_NODE_NAMES)
 
@@ -157,11 +167,14 @@ def detect_anomalies(
     df: DataFrame,
     columns: list[str] | None = None,
     contamination: float = fixed.CONTAMINATION,
+    partitions: int | None = None,
     **forest_options,
 ) -> tuple[DataFrame, float | None]:
     """(complete rows with anomaly_score and is_anomaly, threshold).
 
-    Rows with a missing number are left out, as they cannot be scored.
+    Rows with a missing number are left out, as they cannot be scored. ``partitions`` spreads the
+    rows before scoring, for a table that is one file. Only the scores are staged to find the
+    threshold; the rows are scored again as the result is read.
     """
     columns = columns if columns is not None else numeric_columns(df)
     forest = fit_forest(df, columns, **forest_options) if columns else None
@@ -169,11 +182,11 @@ def detect_anomalies(
         empty = df.filter("false").withColumn(SCORE, F.lit(None).cast("double"))
         return empty.withColumn("is_anomaly", F.lit(None).cast("boolean")), None
     rows = complete_rows(df, columns)
-    if forest["rows"] <= SMALL_TABLE:
-        # A small table may be one file; scoring is worth spreading over all cores.
-        rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    scored = stage(score_rows(rows, columns, forest), "scores")
-    threshold = exact_quantiles(scored, [SCORE], (1.0 - contamination,))[SCORE][0]
+    if partitions:
+        rows = rows.repartition(partitions)
+    scored = score_rows(rows, columns, forest)
+    scores = stage(scored.select(SCORE), "scores")
+    threshold = exact_quantiles(scores, [SCORE], (1.0 - contamination,))[SCORE][0]
     return scored.withColumn("is_anomaly", F.col(SCORE) > F.lit(threshold)), threshold
 
 

@@ -7,49 +7,81 @@ one row of counts per task.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import literal, matches, one_of, quoted
+from ..functions.numbers import double
+from ..functions.text import literal, matches, quoted
 from .columns import cells, kinds, local_rows, numeric_columns, present, stacked
+from .frequency import text_frequencies
 
 CHECK_PATTERNS = {
     "email": fixed.EMAIL,
     "phone": fixed.PHONE_STRICT,
     "postcode": fixed.POSTCODE,
 }
-MAX_ALLOWED_VALUES = fixed.CATEGORICAL_MIN
 RESULT_SCHEMA = "column_name string, check string, checked bigint, valid bigint, invalid bigint"
 
 
 @dataclass(frozen=True)
 class Check:
-    """``check`` is a format name, ``range``, ``negatives`` or ``membership``."""
+    """``check`` is a format name, ``range``, ``negatives`` or ``membership``.
+
+    ``allowed`` is the table (column_name, value) that a membership check looks values up in.
+    """
 
     column: str
     check: str
     lower: float | None = None
     upper: float | None = None
-    allowed: tuple[str, ...] | None = None
+    allowed: DataFrame | None = None
 
     def invalid(self) -> str:
         value = quoted(self.column)
         # Later rows may bring text where a number was: then it is invalid.
         number = f"try_cast({value} as double)"
         if self.check == "range":
-            return f"coalesce({number} not between {self.lower!r}D and {self.upper!r}D, true)"
+            ends = f"{double(self.lower)} and {double(self.upper)}"
+            return f"coalesce({number} not between {ends}, true)"
         if self.check == "negatives":
             return f"coalesce({number} < 0, true)"
-        if self.check == "membership":
-            return f"not {one_of(f'cast({value} as string)', self.allowed)}"
         return f"not {matches(f'cast({value} as string)', CHECK_PATTERNS[self.check])}"
 
 
 def run_checks(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """column_name, check, checked, valid, invalid; missing values are not checked."""
     checks = list(checks)
+    listed = [c for c in checks if c.check == "membership"]
+    parts = [_count_checks(df, [c for c in checks if c.check != "membership"])]
+    if listed:
+        parts.append(_look_up(df, listed))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _look_up(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Membership: distinct values with their counts, joined to the allowed ones.
+
+    Copies collapse before the join, and long values travel by their digest.
+    """
+    def keyed(table: DataFrame) -> DataFrame:
+        counted = text_frequencies(table.filter("value is not null"))
+        return counted.withColumn("digest", F.coalesce("digest", F.lit("")))
+
+    names = [c.column for c in checks]
+    known = keyed(checks[0].allowed).select("column_name", "head", "digest", F.lit(True).alias("known"))
+    found = keyed(cells(df, names, "string")).join(known, ["column_name", "head", "digest"], "left")
+    counts = found.groupBy("column_name").agg(
+        F.sum("n").alias("checked"), F.sum(F.when(F.col("known"), F.col("n"))).alias("valid"))
+    every = local_rows(df.sparkSession, "column_name string", [(c,) for c in names])
+    return every.join(counts, "column_name", "left").selectExpr(
+        "column_name", "'membership' as check", "coalesce(checked, 0L) as checked",
+        "coalesce(valid, 0L) as valid", "coalesce(checked - coalesce(valid, 0L), 0L) as invalid")
+
+
+def _count_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     if not checks:
         return local_rows(df.sparkSession, RESULT_SCHEMA, [])
     counts, rows = [], []
@@ -122,13 +154,13 @@ def negative_checks(
     ]
 
 
-def low_cardinality(profile: dict, limit: int = MAX_ALLOWED_VALUES) -> list[str]:
-    """Text columns with categories few enough to list."""
+def low_cardinality(profile: dict) -> list[str]:
+    """Text columns that hold categories."""
     return [
         c for c, p in profile.items()
         if p["kind"] == "text"
         and p["inferred_type"] in ("categorical", "boolean")
-        and 0 < p["n_unique"] <= limit
+        and p["n_unique"]
     ]
 
 
@@ -138,32 +170,29 @@ def allowed_values(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def membership_checks(allowed: DataFrame) -> list[Check]:
-    """From an allowed-value table of at most ``MAX_ALLOWED_VALUES`` rows per column."""
-    listed: dict[str, list[str]] = {}
-    for row in allowed.orderBy("column_name", "value").collect():
-        listed.setdefault(row["column_name"], []).append(row["value"])
-    return [Check(c, "membership", allowed=tuple(values)) for c, values in listed.items()]
+    """One check per column of an allowed-value table, which stays a table."""
+    names = [r[0] for r in allowed.select("column_name").distinct().orderBy("column_name").collect()]
+    return [Check(c, "membership", allowed=allowed) for c in names]
 
 
-_CONTRACT = (
-    "column string, check string, lower double, upper double, allowed array<string>"
-)
+_CONTRACT = "column string, check string, lower double, upper double"
 
 
 def contract_table(spark: SparkSession, checks: Iterable[Check]) -> DataFrame:
-    """Checks as a table, to be stored and applied to later rows."""
-    rows = []
-    for c in checks:
-        entry = asdict(c)
-        entry["allowed"] = list(c.allowed) if c.allowed is not None else None
-        rows.append(tuple(entry.values()))
-    return local_rows(spark, _CONTRACT, rows)
+    """Checks as a table, to be stored and applied to later rows; allowed values are stored apart."""
+    return local_rows(spark, _CONTRACT, [(c.column, c.check, c.lower, c.upper) for c in checks])
+
+
+def allowed_of(spark: SparkSession, checks: Iterable[Check]) -> DataFrame:
+    """The allowed-value table of the membership checks, empty without any."""
+    tables = [c.allowed for c in checks if c.allowed is not None]
+    return tables[0] if tables else local_rows(spark, "column_name string, value string", [])
 
 
-def read_contract(table: DataFrame) -> list[Check]:
+def read_contract(table: DataFrame, allowed: DataFrame) -> list[Check]:
     return [
         Check(r["column"], r["check"], r["lower"], r["upper"],
-              tuple(r["allowed"]) if r["allowed"] is not None else None)
+              allowed if r["check"] == "membership" else None)
         for r in table.collect()
     ]
 

@@ -3,9 +3,14 @@ distribution."""
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+import sys
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from ..functions import fixed
@@ -16,11 +21,15 @@ from .metadata import classify
 from .quantiles import exact_quantiles
 
 _AGGREGATE_CHUNK = 12   # columns per aggregation, to stay inside generated code
-_PAIR_CHUNK = 60        # column pairs per aggregation
 
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def dataset_summary(df: DataFrame) -> DataFrame:
+
+def dataset_summary(df: DataFrame, source: str | None = None) -> DataFrame:
+    """Shape of the table; ``source`` says where it came from."""
     return df.selectExpr(
+        f"{literal(source) if source else 'cast(null as string)'} as source",
         "count(*) as rows",
         f"{len(df.columns)}L as columns",
         f"{literal('|'.join(df.columns))} as column_names",
@@ -146,33 +155,24 @@ def numeric_distribution(df: DataFrame, columns: Iterable[str] | None = None) ->
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Pearson correlation of each ordered pair of numeric columns, over the rows
-    where both are present; NULL where either does not vary there.
+    where both are present; NULL where either does not vary there or is infinite.
 
-    Values are centred on the column mean first, so plain sums are accurate.
-    Column pairs without missing values share their sums of squares.
+    Values are centred on the column mean first, so plain sums are accurate. One read: every task
+    adds up products of whole column blocks, and passes on one row per column.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     schema = "column_name string, column_y string, corr double"
     if len(names) < 2:
         return local_rows(df.sparkSession, schema, [])
     known = {m["column_name"]: m for m in numeric_moments(df, names)}
-    used = [c for c in names if c in known]
-    centred = df.selectExpr(
-        *[
-            f"cast({present(df, c)} as double) - ({known[c]['mean']!r}D) as v{i}"
-            for i, c in enumerate(used)
-        ],
-    )
-    complete = {i for i, c in enumerate(used) if known[c]["n"] == known[c]["rows"]}
-    result: dict[tuple[str, str], float | None] = {}
-    pairs = list(combinations(range(len(used)), 2))
-    for start in range(0, len(pairs), _PAIR_CHUNK):
-        result.update(_pair_sums(centred, used, complete, pairs[start:start + _PAIR_CHUNK]))
+    used = [c for c in names if c in known and math.isfinite(known[c]["mean"])
+            and math.isfinite(known[c]["lo"]) and math.isfinite(known[c]["hi"])]
+    result = _pairwise(df, used, [known[c]["mean"] for c in used]) if used else {}
     rows = []
     for x in names:
         for y in names:
             if x == y:
-                varies = x in known and known[x]["lo"] < known[x]["hi"]
+                varies = x in used and known[x]["lo"] < known[x]["hi"]
                 rows.append((x, y, 1.0 if varies else None))
             else:
                 rows.append((x, y, result.get((x, y), result.get((y, x)))))
@@ -181,32 +181,65 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str] | None = None) -> D
     )
 
 
-def _pair_sums(centred: DataFrame, names: list[str], complete: set[int], pairs) -> dict:
-    wanted: dict[str, str] = {}
-
-    def total(expression: str) -> str:
-        return wanted.setdefault(expression, f"t{len(wanted)}")
-
-    plans = {}
-    for i, j in pairs:
-        both = i in complete and j in complete
-        x = f"v{i}" if j in complete else f"if(v{j} is null, null, v{i})"
-        y = f"v{j}" if i in complete else f"if(v{i} is null, null, v{j})"
-        plans[i, j] = (
-            total("count(*)" if both else f"count(v{i} + v{j})"),
-            total(f"sum({x})"), total(f"sum({y})"),
-            total(f"sum(v{i} * v{j})"), total(f"sum({x} * {x})"), total(f"sum({y} * {y})"),
-            total(f"min({x})"), total(f"max({x})"), total(f"min({y})"), total(f"max({y})"),
-        )
-    sums = centred.selectExpr(*[f"{e} as {a}" for e, a in wanted.items()]).first()
-
-    def pearson(plan) -> float | None:
-        n, sx, sy, sxy, sxx, syy, lox, hix, loy, hiy = (sums[a] for a in plan)
-        if not n or lox == hix or loy == hiy:
-            return None
-        spread = math.sqrt((sxx - sx * sx / n) * (syy - sy * sy / n))
-        if not spread or math.isnan(spread):
-            return None
-        return max(-1.0, min(1.0, (sxy - sx * sy / n) / spread))
-
-    return {(names[i], names[j]): pearson(plan) for (i, j), plan in plans.items()}
+_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy", "lox", "hix", "loy", "hiy")
+
+
+def _pairwise(df: DataFrame, names: list[str], means: list[float]) -> dict:
+    """(x, y) -> correlation over the rows where both are present."""
+    k = len(names)
+    data = df.selectExpr(
+        *[f"cast({present(df, c)} as double) as v{i}" for i, c in enumerate(names)])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, k, k))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for batch in batches:
+            x = np.column_stack([
+                batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(k)])
+            here = ~np.isnan(x)
+            mask = here.astype(float)
+            x = np.where(here, x - np.array(means), 0.0)
+            square = x * x
+            sums += np.stack([mask.T @ mask, x.T @ mask, mask.T @ x, square.T @ mask,
+                              mask.T @ square, x.T @ x])
+            for i in range(k):
+                both = here & here[:, [i]]  # column i where column j is present, for every j
+                own = x[:, [i]]
+                low[i] = np.minimum(low[i], np.where(both, own, np.inf).min(axis=0, initial=np.inf))
+                high[i] = np.maximum(
+                    high[i], np.where(both, own, -np.inf).max(axis=0, initial=-np.inf))
+        rows = np.concatenate([sums, low[None], high[None], low.T[None], high.T[None]])
+        rows = rows.transpose(1, 0, 2).reshape(k, -1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(k), pa.int32()), pa.array(list(rows), pa.list_(pa.float64()))],
+            ["x", "sums"])
+
+    def total(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = None
+        for part in parts:
+            for row in part["sums"]:
+                row = row.reshape(len(_SUMS), k)
+                if whole is None:
+                    whole = row.copy()
+                    continue
+                whole[:6] += row[:6]
+                whole[[6, 8]] = np.minimum(whole[[6, 8]], row[[6, 8]])
+                whole[[7, 9]] = np.maximum(whole[[7, 9]], row[[7, 9]])
+        yield pd.DataFrame({"x": [key[0]], "sums": [whole.ravel()]})
+
+    added = data.mapInArrow(add, "x int, sums array<double>").groupBy("x").applyInPandas(
+        total, "x int, sums array<double>")
+    # One row of numbers per column, as the result has one number per pair.
+    held = {r["x"]: np.array(r["sums"]).reshape(len(_SUMS), k) for r in added.collect()}
+    out = {}
+    for i, j in combinations(range(k), 2):
+        if i not in held:
+            continue
+        n, sx, sy, sxx, syy, sxy, lox, hix, loy, hiy = held[i][:, j]
+        value = None
+        if n and lox < hix and loy < hiy:
+            spread = (sxx - sx * sx / n) * (syy - sy * sy / n)
+            if spread > 0:
+                value = max(-1.0, min(1.0, float((sxy - sx * sy / n) / math.sqrt(spread))))
+        out[names[i], names[j]] = value
+    return out

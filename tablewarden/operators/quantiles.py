@@ -71,11 +71,13 @@ def exact_quantiles(
     """column -> quantiles, interpolated linearly between neighbouring ranks.
 
     ``extent`` (count, min, max per column) saves the first pass when known.
-    Columns without values are absent from the result.
+    Columns without values are absent from the result. Infinite values keep their ranks; beside one,
+    the largest finite double counts as infinite too.
     """
     columns, probabilities = list(columns), list(probabilities)
     if extent is None:
-        ends = numeric_cells(df, columns).groupBy("column_name")
+        ends = cells(df, columns, "double").filter("value is not null")
+        ends = ends.withColumnRenamed("value", "v").groupBy("column_name")
         rows = ends.agg(F.count("v"), F.min("v"), F.max("v")).collect()
         extent = {r[0]: (r[1], r[2], r[3]) for r in rows}
     extent = {c: extent[c] for c in columns if c in extent and extent[c][0]}
@@ -88,10 +90,17 @@ def exact_quantiles(
     }
     found = _select(df, extent, ranks)
 
+    def ranked(column: str, rank: int) -> float:
+        v, (_, lo, hi) = found[column, rank], extent[column]
+        if abs(v) == _LARGEST:
+            return hi if v > 0 and math.isinf(hi) else lo if v < 0 and math.isinf(lo) else v
+        return v
+
     def at(column: str, p: float) -> float:
         place = p * (extent[column][0] - 1)
-        low, high = found[column, math.floor(place)], found[column, math.ceil(place)]
-        return low + (high - low) * (place - math.floor(place))
+        low, high = (ranked(column, r) for r in (math.floor(place), math.ceil(place)))
+        share = place - math.floor(place)
+        return low if low == high or not share else low + (high - low) * share
 
     return {c: [at(c, p) for p in probabilities] for c in extent}
 

@@ -2,17 +2,25 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+import sys
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.text import literal
-from .columns import local_rows, numeric_columns, present, stacked
+from ..functions.numbers import double
+from ..functions.text import literal, quoted
+from .columns import cells, local_rows, numeric_columns, present, stacked
 from .facts import present_counts
 from .profile import numeric_moments
-from .quantiles import exact_quantiles, numeric_cells
+from .quantiles import exact_quantiles
+
+# Executors need not have this package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def missing_patterns(df: DataFrame) -> DataFrame:
@@ -28,10 +36,16 @@ def missing_patterns(df: DataFrame) -> DataFrame:
     return patterns.groupBy("pattern").agg(F.expr("count(*) as n"))
 
 
-def _plot_columns(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
-    if columns is not None:
-        return list(columns)
-    return numeric_columns(df)[: fixed.MAX_PLOT_COLUMNS]
+def _wanted(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
+    return list(columns) if columns is not None else numeric_columns(df)
+
+
+def _finite(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The named columns as doubles, infinite values as missing."""
+    return df.selectExpr(*[
+        f"if(abs({v}) = double('Infinity'), null, {v}) as {quoted(c)}"
+        for c in columns for v in [f"cast({present(df, c)} as double)"]
+    ])
 
 
 def bin_count(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
@@ -46,12 +60,22 @@ def bin_count(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
 
 
 def histogram(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Equal-width histogram of numeric columns: bin, lo, hi, n (empty bins left out)."""
-    moments = {m["column_name"]: m for m in numeric_moments(df, _plot_columns(df, columns))}
+    """Equal-width histogram of numeric columns: bin, lo, hi, n (empty bins left out).
+
+    The bins span the finite values. Infinite values have bins of their own, -1 and one past the
+    last, so that the counts still add up to the values present.
+    """
+    names = _wanted(df, columns)
+    finite = _finite(df, names)
+    moments = {m["column_name"]: m for m in numeric_moments(finite, names)}
     extent = {c: (m["n"], m["lo"], m["hi"]) for c, m in moments.items()}
-    quartiles = exact_quantiles(df, extent, (0.25, 0.75), extent)
+    quartiles = exact_quantiles(finite, extent, (0.25, 0.75), extent)
     layout = []
-    for name, (n, lo, hi) in extent.items():
+    for name in names:
+        if name not in extent:  # infinite values alone
+            layout.append((name, 0.0, 0.0, 0))
+            continue
+        n, lo, hi = extent[name]
         bins = bin_count(n, lo, hi, *quartiles[name])
         if lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
@@ -60,51 +84,68 @@ def histogram(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     ranges = local_rows(
         df.sparkSession, "column_name string, first double, width double, bins bigint", layout
     )
+    beyond = "abs(value) = double('Infinity')"
     return (
-        numeric_cells(df, list(extent))
+        cells(df, names, "double").filter("value is not null")
         .join(F.broadcast(ranges), "column_name")
         .selectExpr(
             "column_name", "first", "width",
-            "least(floor((v - first) / width), bins - 1) as bin",
+            f"case when {beyond} then if(value > 0, bins, -1L)"
+            " else least(floor(try_divide(value - first, width)), bins - 1) end as bin",
+            f"if({beyond}, value, null) as edge",
         )
-        .groupBy("column_name", "first", "width", "bin")
+        .groupBy("column_name", "first", "width", "bin", "edge")
         .agg(F.expr("count(*) as n"))
         .selectExpr(
-            "column_name", "bin", "first + bin * width as lo", "first + (bin + 1) * width as hi", "n"
+            "column_name", "bin", "coalesce(edge, first + bin * width) as lo",
+            "coalesce(edge, first + (bin + 1) * width) as hi", "n"
         )
     )
 
 
 def density_curve(df: DataFrame, columns: Iterable[str] | None = None, points: int = 200) -> DataFrame:
-    """Gaussian density estimate on an even grid: x, density.
+    """Gaussian density estimate of the finite values on an even grid: x, density.
 
-    Scott's bandwidth, three bandwidths beyond the data on each side. Every value
-    adds to the grid points of its column; sums combine on the map side, so the
-    shuffle carries ``points`` rows per task and column.
+    Scott's bandwidth, three bandwidths beyond the data on each side. One read for all columns; each
+    task adds its values to the grids and passes on ``points`` sums per column.
     """
-    moments = numeric_moments(df, _plot_columns(df, columns))
-    rows = []
-    for m in moments:
+    names = _wanted(df, columns)
+    finite = _finite(df, names)
+    grid = []
+    for m in numeric_moments(finite, names):
         if m["n"] > 1 and m["std"]:
             width = m["std"] * m["n"] ** -0.2
             start = m["lo"] - 3 * width
-            step = (m["hi"] + 3 * width - start) / (points - 1)
-            rows.append((m["column_name"], m["n"], width, start, step))
-    grid = local_rows(
+            grid.append(
+                (m["column_name"], m["n"], width, start, (m["hi"] + 3 * width - start) / (points - 1)))
+    layout = [(name, width, start, step) for name, _, width, start, step in grid]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass = np.zeros((len(layout), points))
+        for batch in batches:
+            for i, (_, width, start, step) in enumerate(layout):
+                v = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                place = (start - v) / width
+                steps = np.arange(points) * (step / width)
+                for at in range(0, len(v), 4096):
+                    distance = place[at:at + 4096, None] + steps
+                    mass[i] += np.exp(-0.5 * distance * distance).sum(axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name for name, *_ in layout for _ in range(points)], pa.string()),
+             pa.array(list(range(points)) * len(layout), pa.int32()), pa.array(mass.ravel())],
+            ["column_name", "point", "mass"])
+
+    if not grid:
+        return local_rows(df.sparkSession, "column_name string, x double, density double", [])
+    grids = local_rows(
         df.sparkSession,
-        "column_name string, total bigint, width double, start double, step double", rows,
+        "column_name string, total bigint, width double, start double, step double", grid,
     )
-    values = (
-        numeric_cells(df, [r[0] for r in rows])
-        .groupBy("column_name", "v")
-        .agg(F.expr("count(*) as n"))
-    )
-    kernel = "n * exp(-0.5D * pow((start + point * step - v) / width, 2))"
+    values = finite.select(*[quoted(name) for name, *_ in layout])
     return (
-        values.join(F.broadcast(grid), "column_name")
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("column_name", "point", "start", "step", "width", "total")
-        .agg(F.expr(f"sum({kernel}) as mass"))
+        values.mapInArrow(add, "column_name string, point int, mass double")
+        .groupBy("column_name", "point").agg(F.expr("sum(mass) as mass"))
+        .join(F.broadcast(grids), "column_name")
         .selectExpr(
             "column_name",
             "start + point * step as x",
@@ -115,17 +156,13 @@ def density_curve(df: DataFrame, columns: Iterable[str] | None = None, points: i
 
 def _fences(df: DataFrame, columns: Iterable[str] | None) -> dict[str, tuple[float, ...]]:
     """column -> q1, median, q3, lower fence, upper fence"""
-    quartiles = exact_quantiles(df, _plot_columns(df, columns), (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles(df, _wanted(df, columns), (0.25, 0.5, 0.75))
     return {
         c: (q1, q2, q3, q1 - fixed.WHISKER * (q3 - q1), q3 + fixed.WHISKER * (q3 - q1))
         for c, (q1, q2, q3) in quartiles.items()
     }
 
 
-def _number(x: float) -> str:
-    return f"{x!r}D"
-
-
 def boxplot_stats(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Quartiles, whiskers (furthest values inside the fences) and outlier count."""
     fences = _fences(df, columns)
@@ -138,14 +175,14 @@ def boxplot_stats(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
     aggregates, rows = [], []
     for i, (name, (q1, q2, q3, lower, upper)) in enumerate(fences.items()):
         v = f"cast({present(df, name)} as double)"
-        inside = f"{v} between {_number(lower)} and {_number(upper)}"
+        inside = f"{v} between {double(lower)} and {double(upper)}"
         aggregates += [
             f"min(if({inside}, {v}, null)) as lo{i}",
             f"max(if({inside}, {v}, null)) as hi{i}",
             f"count_if(not ({inside})) as out{i}",
         ]
         rows.append(
-            (literal(name), _number(q1), _number(q2), _number(q3), f"lo{i}", f"hi{i}", f"out{i}")
+            (literal(name), double(q1), double(q2), double(q3), f"lo{i}", f"hi{i}", f"out{i}")
         )
     return stacked(
         df.selectExpr(*aggregates),
@@ -163,8 +200,8 @@ def outliers_iqr(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     counts, rows = [], []
     for i, (name, (_, _, _, lower, upper)) in enumerate(fences.items()):
         v = f"cast({present(df, name)} as double)"
-        counts.append(f"count_if({v} < {_number(lower)} or {v} > {_number(upper)}) as out{i}")
-        rows.append((literal(name), _number(lower), _number(upper), f"out{i}"))
+        counts.append(f"count_if({v} < {double(lower)} or {v} > {double(upper)}) as out{i}")
+        rows.append((literal(name), double(lower), double(upper), f"out{i}"))
     return stacked(df.selectExpr(*counts), "column_name, lower, upper, outliers", rows)
 
 
@@ -174,7 +211,7 @@ def rows_within_fences(df: DataFrame, columns: Iterable[str] | None = None) -> f
     if not fences:
         return None
     beyond = " or ".join(
-        f"coalesce(cast({present(df, c)} as double) not between {_number(lower)} and {_number(upper)}, false)"
+        f"coalesce(cast({present(df, c)} as double) not between {double(lower)} and {double(upper)}, false)"
         for c, (_, _, _, lower, upper) in fences.items()
     )
     return df.selectExpr(f"1 - count_if({beyond}) / count(*)").first()[0]

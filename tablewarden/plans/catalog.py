@@ -1,7 +1,6 @@
 """The query catalogue: name -> function of (spark, table folder)."""
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from ..sources.dirty import dirty_customers, plant_faults
 from ..sources.reports import read_report, write_report
 from ..sources.synthetic import inject_issues, synthetic_customers
 from ..sources.tables import read_table
-from ..storage import shared_folder
+from ..storage import scratch
 from ..streaming.gate import check_stream, stream_results
 from .clean import clean_scores, clean_table
 from .gate import gate_summary
@@ -29,13 +28,6 @@ from .validate import anomaly_summary, build_contract
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _scratch(spark: SparkSession, label: str) -> str:
-    folder = shared_folder(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{folder}/tablewarden/{label}-{uuid.uuid4().hex}"
-
-
 def _of(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     """A query on one table; ``dirty`` is the customer table with planted faults."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,13 +68,13 @@ def _tokens(df: DataFrame) -> DataFrame:
 
 
 def _csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    path = _scratch(spark, "csv")
+    path = scratch(spark, "csv")
     write_csv(_tokens(read_table(spark, folder, "orders")), path)
     return read_csv(spark, path)
 
 
 def _report_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = _scratch(spark, "report")
+    path = scratch(spark, "report")
     facts = collect_facts(dirty_customers(spark, folder))
     write_report({"metadata": metadata.column_metadata(facts)}, path)
     return read_report(
@@ -167,11 +159,44 @@ def _stream_gate(spark: SparkSession, folder: str) -> DataFrame:
         .option("pathGlobFilter", "*.parquet")
         .parquet(f"{folder}/customer.parquet*")
     )
-    # Checks on numbers apply as they are; charges still arrive as text.
-    wanted = [c for c in contract if c.column != "monthly_charges"]
-    scratch = _scratch(spark, "stream")
-    check_stream(plant_faults(arriving), wanted, scratch).awaitTermination()
-    return stream_results(spark, scratch)
+    path = scratch(spark, "stream")
+    check_stream(plant_faults(arriving), contract, path).awaitTermination()
+    return stream_results(spark, path)
+
+
+def _with_infinity(df: DataFrame) -> DataFrame:
+    """One column with an infinite value among its largest."""
+    return df.selectExpr(
+        "if(l_linenumber = 7, double('Infinity'), l_quantity) as l_quantity", "l_tax")
+
+
+def _wide(df: DataFrame) -> DataFrame:
+    """Fourteen numeric columns, the last one with values far out."""
+    return df.selectExpr(
+        *[f"l_quantity + {i} as c{i}" for i in range(13)],
+        "if(l_orderkey % 500 = 0, 1e6, l_tax) as c13")
+
+
+def _long_contacts(df: DataFrame) -> DataFrame:
+    """Broken addresses of more than 64 characters with a common beginning."""
+    return df.selectExpr(
+        "concat(repeat('long address ', 6), lpad(string(c_custkey * 7919 % 100003), 6, '0'))"
+        " as contact")
+
+
+def _approx_within(df: DataFrame) -> DataFrame:
+    """Whether each estimate is within three standard errors of the exact count."""
+    approx = profile.cardinality_approx(df).select("column_name", "unique_values")
+    exact = profile.cardinality(column_facts(df)).select(
+        "column_name", F.col("unique_values").alias("exact"))
+    return approx.join(exact, "column_name").selectExpr(
+        "column_name", "abs(unique_values - exact) <= 1 + 0.06 * exact as within")
+
+
+def _density(df: DataFrame) -> DataFrame:
+    """Digits beyond the twelfth are the order of summation."""
+    return visual.density_curve(df).selectExpr(
+        "column_name", "float(x) as x", "float(density) as density")
 
 
 def _documents(df: DataFrame) -> DataFrame:
@@ -184,8 +209,20 @@ QUERIES: dict[str, Query] = {
     "na_tokens": _of("orders", lambda df: promote_types(mark_missing(_tokens(df)))),
     "csv_scan": _csv_scan,
     "report_roundtrip": _report_roundtrip,
-    "dataset_summary": _of("dirty", profile.dataset_summary),
+    "dataset_summary": _of("dirty", lambda df: profile.dataset_summary(df, "customer")),
     "dataset_summary_lineitem": _of("lineitem", profile.dataset_summary),
+    "dataset_summary_supplier": _of("supplier", lambda df: profile.dataset_summary(df, "supplier")),
+    "top_values_pages": _of("pages", lambda df: frequency.top_values(df, ["url"])),
+    "top_values_conversations": _of("conversations", frequency.top_values),
+    "top_values_nation": _of("nation", frequency.top_values),
+    "top_values_region": _of("region", frequency.top_values),
+    "column_metadata_customer": _of("customer", _from_facts(metadata.column_metadata)),
+    "numeric_distribution_infinite": _of("lineitem", lambda df: profile.numeric_distribution(
+        _with_infinity(df))),
+    "outliers_iqr_wide": _of("lineitem", lambda df: visual.outliers_iqr(_wide(df))),
+    "invalid_examples_long": _of("customer", lambda df: rules.invalid_examples(
+        _long_contacts(df), {"contact": "email"})),
+    "cardinality_approx_bounded": _of("lineitem", _approx_within),
     "synthetic_customers": _of(
         "customer", lambda df: inject_issues(synthetic_customers(df, "c_custkey"))
     ),
@@ -234,12 +271,8 @@ QUERIES: dict[str, Query] = {
     "boxplot_stats": _of("lineitem", visual.boxplot_stats),
     "boxplot_stats_dirty": _of("dirty", visual.boxplot_stats),
     "outliers_iqr": _of("dirty", visual.outliers_iqr),
-    "density_curve": _of(
-        "customer",
-        lambda df: visual.density_curve(df, ["c_acctbal"]).withColumns(
-            {"x": F.round("x", 6), "density": F.round("density", 12)}
-        ),
-    ),
+    "density_curve": _of("customer", _density),
+    "density_curve_lineitem": _of("lineitem", _density),
     # cleaning
     "quality_score": _of("dirty", quality.quality_score),
     "quality_score_validity": _of("dirty", lambda df: quality.quality_score(df, _profiled(df))),

@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import metadata
-from ..operators.checks import contract_table
+from ..operators.checks import allowed_of, contract_table
 from ..sources.csv import read_csv, write_csv
 from ..sources.reports import read_report, write_report
-from ..storage import stage
+from ..storage import discard, stage
 from .clean import clean_scores, clean_table
 from .profile import build_report
 from .validate import validate_table
@@ -41,8 +41,14 @@ def read_input(spark: SparkSession, path: str, kind: str | None = None) -> DataF
     return spark.read.format(kind).load(path)
 
 
-def profile_job(spark: SparkSession, path: str, output: str, kind: str | None = None) -> None:
-    report = build_report(read_input(spark, path, kind))
+def profile_job(
+    spark: SparkSession, path: str, output: str, kind: str | None = None, charts: bool = True
+) -> None:
+    _profile(read_input(spark, path, kind), path, output, charts)
+
+
+def _profile(df: DataFrame, path: str, output: str, charts: bool) -> None:
+    report = build_report(df, charts=charts, source=path)
     write_report(report.tables, f"{output}/profile")
 
 
@@ -58,7 +64,12 @@ def stored_bounds(spark: SparkSession, output: str) -> dict[str, tuple]:
 def clean_job(
     spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False
 ) -> None:
-    df, known = read_input(spark, path, kind), stored_profile(spark, output)
+    _clean(read_input(spark, path, kind), output, as_csv)
+
+
+def _clean(df: DataFrame, output: str, as_csv: bool) -> None:
+    spark = df.sparkSession
+    known = stored_profile(spark, output)
     cleaned = clean_table(df, known)
     cleaned.table.write.mode("overwrite").parquet(f"{output}/cleaned")
     cleaned.table = spark.read.parquet(f"{output}/cleaned")
@@ -84,6 +95,7 @@ def validate_job(spark: SparkSession, output: str) -> None:
         {
             "checks": validation.results,
             "contract": contract_table(spark, validation.contract),
+            "allowed": allowed_of(spark, validation.contract),
             "anomalies": validation.anomalies,
             "health": validation.health,
         },
@@ -92,8 +104,12 @@ def validate_job(spark: SparkSession, output: str) -> None:
 
 
 def gate_job(
-    spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False
+    spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False,
+    charts: bool = True,
 ) -> None:
-    profile_job(spark, path, output, kind)
-    clean_job(spark, path, output, kind, as_csv)
+    """All three stages on one input, which is read into the application once."""
+    df = read_input(spark, path, kind)
+    _profile(df, path, output, charts)
+    _clean(df, output, as_csv)
     validate_job(spark, output)
+    discard(spark)

@@ -5,8 +5,20 @@ and checks are spelled out for the customer table with planted faults.
 """
 from __future__ import annotations
 
-from ..functions.fixed import CURRENCY, CURRENCY_AND_PERCENT, NA_TOKENS, WHITESPACE
 
+# Fixed values, spelled out here so that an error in the engine's own ones shows.
+CURRENCY = "£$€,"
+CURRENCY_AND_PERCENT = "£$€,%"
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+)
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 PHONE = r"^(0|\+44)\d{9,10}$"
 PHONE_STRICT = r"^(0|\+44)\d{10}$"
@@ -91,6 +103,11 @@ COLUMNS = {
         ("l_returnflag", "text", "string"), ("l_linestatus", "text", "string"),
         ("l_shipdate", "temporal", "timestamp_ntz"),
     ],
+    "customer": [
+        ("c_custkey", "integer", "bigint"), ("c_name", "text", "string"),
+        ("c_nationkey", "integer", "int"), ("c_acctbal", "float", "double"),
+        ("c_mktsegment", "text", "string"),
+    ],
     "orders": [
         ("o_orderkey", "integer", "bigint"), ("o_custkey", "integer", "bigint"),
         ("o_orderstatus", "text", "string"), ("o_totalprice", "float", "double"),
@@ -222,13 +239,40 @@ def top_values(table: str) -> str:
     return ctes(table, long_form(table)) + """
 select column_name, rank, value, n from (
   select column_name, v as value, n, row_number() over (
-    partition by column_name order by n desc, left(v, 64),
-      case when length(v) > 64 then sha256(v) end nulls first) as rank
+    partition by column_name order by n desc, v) as rank
   from (select column_name, v, count(*) as n from cells
         where kind in ('text', 'temporal') and v is not null group by all))
 where rank <= 5"""
 
 
+def top_texts(table: str, columns: list[str]) -> str:
+    return "select column_name, value, n, rank from (" + union(
+        f"select '{c}' as column_name, {c} as value, count(*) as n, row_number() over"
+        f" (order by count(*) desc, {c}) as rank from {table} where {c} is not null group by {c}"
+        for c in columns
+    ) + ") where rank <= 5"
+
+
+INFINITE = f"""
+with t as (select case when l_linenumber = 7 then 'infinity'::double else l_quantity end as q, l_tax
+  from lineitem),
+n as (select count(*) as n, count(*) filter (where q = 'infinity') as far from t),
+finite as (select row_number() over (order by q) - 1 as place, q from t),
+spot as (select p, (n - 1) * p as place from n, (values (25e-2), (5e-1), (75e-2)) as ps(p)),
+found as (select p, spot.place, l.q as low, h.q as high from spot
+  join finite l on l.place = floor(spot.place) join finite h on h.place = ceil(spot.place)),
+quartiles as (select p, case when low = high then low else low + (high - low) * (place - floor(place))
+  end as v from found)
+select 'l_quantity' as column_name, min(q) as min, 'infinity'::double as max,
+  'infinity'::double as mean, (select v from quartiles where p = 5e-1) as median,
+  'nan'::double as std, (select v from quartiles where p = 25e-2) as q1,
+  (select v from quartiles where p = 75e-2) as q3, 'nan'::double as skew from t
+union all
+select 'l_tax', min(l_tax), max(l_tax), {half_up('avg(l_tax)', 3)}, quantile_cont(l_tax, 0.5),
+  {half_up('stddev_samp(l_tax)', 3)}, quantile_cont(l_tax, 0.25), quantile_cont(l_tax, 0.75),
+  {half_up('skewness(l_tax)', 3)} from t"""
+
+
 def missing_per_column(table: str) -> str:
     return ctes(table) + union(
         f"select '{c}' as column_name, count(*) - count({c}) as missing,"
@@ -304,16 +348,19 @@ select column_name, cast(bin as bigint) as bin, lo + bin * width as lo,
   from vals join sized using (column_name) group by all)"""
 
 
-DENSITY = """
-with shape as (select count(*) as total, min(c_acctbal) as lo, max(c_acctbal) as hi,
-    stddev_samp(c_acctbal) * pow(count(*), -2e-1) as width from customer),
+def density(table: str, columns: list[str]) -> str:
+    """Values are summed once per distinct value, as the sum is the same."""
+    return union(f"""(
+with vals as (select cast({c} as double) as v, count(*) as m from {table} group by all),
+shape as (select count(*) as total, min({c}) as lo, max({c}) as hi,
+    stddev_samp({c}) * pow(count(*), -2e-1) as width from {table}),
 layout as (select *, lo - 3 * width as start,
     (hi + 3 * width - (lo - 3 * width)) / 199 as step from shape),
 grid as (select i, start + i * step as x, width, total from layout, range(200) as r(i))
-select 'c_acctbal' as column_name, round(x, 6) as x,
-  round(sum(exp(-5e-1 * pow((x - c_acctbal) / width, 2)))
-    / (any_value(total) * any_value(width) * sqrt(2 * pi())), 12) as density
-from grid, customer group by i, x"""
+select '{c}' as column_name, cast(x as float) as x,
+  cast(sum(m * exp(-5e-1 * pow((x - v) / width, 2)))
+    / (any_value(total) * any_value(width) * sqrt(2 * pi())) as float) as density
+from grid, vals group by i, x)""" for c in columns)
 
 
 def row_quality(table: str, columns: list[str]) -> str:
@@ -454,7 +501,18 @@ def stream_results() -> str:
         for c in DIRTY_NUMERIC
     ]
     tenure = result("tenure_months", "negatives", "tenure_months < 0", "dirty")
-    return union([*format_results("dirty"), *numeric, tenure, *membership_results("dirty")])
+    # Charges arrive as text: what does not read as a number is invalid.
+    number = "try_cast(monthly_charges as double)"
+    charges = [
+        result("monthly_charges", "range",
+               f"monthly_charges is not null and coalesce({number} < (select min(monthly_charges)"
+               f" from cleaned) or {number} > (select max(monthly_charges) from cleaned), true)",
+               "dirty"),
+        result("monthly_charges", "negatives",
+               f"monthly_charges is not null and coalesce({number} < 0, true)", "dirty"),
+    ]
+    return union(
+        [*format_results("dirty"), *numeric, tenure, *charges, *membership_results("dirty")])
 
 
 BEYOND = " or ".join(
@@ -538,7 +596,7 @@ from (select *, case expected_type when 'email' then email when 'phone' then pho
     when 'postcode' then postcode end as matching from facts)
 where p > matching"""
 PII = """select column_name, expected_type as semantic_type,
-  case when hint is not null then 'name' else 'values' end as reason from facts
+  'values or name suggest ' || coalesce(hint, semantic_type) as reason from facts
 where expected_type in ('email', 'phone', 'postcode', 'person_name', 'identifier')"""
 RATIO = ", ".join(
     half_up(f"case when p > 0 then {c} / cast(p as double) else 0 end", 4) + f" as {a}"
@@ -552,9 +610,9 @@ ORACLES: dict[str, str] = {
     "na_tokens": TOKENS,
     "csv_scan": TOKENS,
     "report_roundtrip": from_facts("dirty", METADATA),
-    "dataset_summary": ctes("dirty") + "select count(*) as rows, 14 as columns, "
+    "dataset_summary": ctes("dirty") + "select 'customer' as source, count(*) as rows, 14 as columns, "
     f"'{'|'.join(DIRTY_COLUMNS)}' as column_names from dirty",
-    "dataset_summary_lineitem": "select count(*) as rows, 11 as columns, "
+    "dataset_summary_lineitem": "select cast(null as varchar) as source, count(*) as rows, 11 as columns, "
     f"'{'|'.join(c for c, _, _ in COLUMNS['lineitem'])}' as column_names from lineitem",
     "match_ratios": from_facts("dirty", f"select column_name, {RATIO} from facts"),
     "infer_types": from_facts("dirty", "select column_name, inferred_type from facts"),
@@ -623,7 +681,32 @@ union all select 'inference', column_name, inferred_type || ' (' || semantic_typ
     "boxplot_stats": boxplot("lineitem", LINEITEM_NUMERIC),
     "boxplot_stats_dirty": boxplot("dirty", DIRTY_NUMERIC),
     "outliers_iqr": outliers("dirty", DIRTY_NUMERIC),
-    "density_curve": DENSITY,
+    "density_curve_lineitem": density("lineitem", LINEITEM_NUMERIC),
+    "dataset_summary_supplier": "select 'supplier' as source, count(*) as rows, 4 as columns,"
+    " 's_suppkey|s_name|s_nationkey|s_acctbal' as column_names from supplier",
+    "top_values_pages": top_texts("pages", ["url"]),
+    "top_values_conversations": top_texts("conversations", ["role", "text"]),
+    "top_values_nation": top_texts("nation", ["n_name"]),
+    "top_values_region": top_texts("region", ["r_name"]),
+    "column_metadata_customer": from_facts("customer", METADATA),
+    "numeric_distribution_infinite": INFINITE,
+    "outliers_iqr_wide": "with wide as (select " + ", ".join(
+        f"l_quantity + {i} as c{i}" for i in range(13)
+    ) + ", case when l_orderkey % 500 = 0 then 1e6 else l_tax end as c13 from lineitem)" + union(
+        f"""(select 'c{i}' as column_name, any_value(lower) as lower, any_value(upper) as upper,
+count(*) filter (where c{i} < lower or c{i} > upper) as outliers from wide, (
+select q1 - 15e-1 * (q3 - q1) as lower, q3 + 15e-1 * (q3 - q1) as upper from (
+select quantile_cont(c{i}, 0.25) as q1, quantile_cont(c{i}, 0.75) as q3 from wide)))"""
+        for i in range(14)
+    ),
+    "invalid_examples_long": """select 'contact' as column_name, rank, value as example from (
+select value, row_number() over (order by value) as rank from (select distinct
+  repeat('long address ', 6) || lpad(cast(c_custkey * 7919 % 100003 as varchar), 6, '0') as value
+  from customer)) where rank <= 5""",
+    "cardinality_approx_bounded": union(
+        f"select '{c}' as column_name, true as within" for c, _, _ in COLUMNS["lineitem"]
+    ),
+    "density_curve": density("customer", ["c_custkey", "c_nationkey", "c_acctbal"]),
     "quality_score": ctes("dirty", row_quality("dirty", DIRTY_COLUMNS)) + BASE_SCORE,
     "quality_score_documents": ctes(
         "documents", row_quality("documents", ["text", "lang", "source"])) + BASE_SCORE,

@@ -19,12 +19,12 @@ class Report:
     facts: DataFrame
 
 
-def build_report(df: DataFrame, *, charts: bool = True) -> Report:
+def build_report(df: DataFrame, *, charts: bool = True, source: str | None = None) -> Report:
     """Column facts are computed once, here; the tables derived from them are
     driver-side rows. The other tables run when they are written or shown."""
     facts = collect_facts(df)
     tables = {
-        "dataset": profile.dataset_summary(df).selectExpr("*", "current_timestamp() as generated_at"),
+        "dataset": profile.dataset_summary(df, source).selectExpr("*", "current_timestamp() as generated_at"),
         "columns": metadata.column_profile(facts),
         "metadata": metadata.column_metadata(facts),
         "mixed_types": metadata.mixed_types(df, facts),
@@ -45,6 +45,7 @@ def build_report(df: DataFrame, *, charts: bool = True) -> Report:
         tables["missing_patterns"] = visual.missing_patterns(df)
         tables["histogram"] = visual.histogram(df)
         tables["boxplot_stats"] = visual.boxplot_stats(df)
+        tables["density_curve"] = visual.density_curve(df)
     return Report(tables, metadata.profile_of(facts), facts)
 
 

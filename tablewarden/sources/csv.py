@@ -18,9 +18,15 @@ _INTEGER = r"^[+-]?\d+$"
 _TRUTH = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
-def read_csv(spark: SparkSession, path, *, promote: bool = True, **options) -> DataFrame:
-    """Read CSV files (a path, a glob or a list). Quoted line breaks are kept."""
-    settings = {"header": True, "inferSchema": False, "escape": '"', "multiLine": True}
+def read_csv(
+    spark: SparkSession, path, *, promote: bool = True, multiline: bool = False, **options
+) -> DataFrame:
+    """Read CSV files (a path, a glob or a list).
+
+    A large file is read by many tasks. ``multiline`` keeps quoted line breaks; a file then cannot
+    be split and is read by one task.
+    """
+    settings = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multiline}
     settings.update(options)
     raw = spark.read.options(**settings).csv(path)
     df = mark_missing(raw)

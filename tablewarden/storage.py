@@ -11,27 +11,41 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STAGED: list[str] = []
+
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tablewarden-")
+    return "file://" + tempfile.mkdtemp(prefix="tablewarden-")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's checkpoint folder; a temporary one on a local master only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only for a local master without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         return _local_folder()
-    return None
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted by :func:`discard`."""
+    path = f"{shared_folder(spark)}/tablewarden/{label}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet and read back, or ``df`` where no folder is named."""
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/tablewarden/{label}-{uuid.uuid4().hex}"
+    """``df`` written as Parquet to the shared folder and read back."""
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete all staged copies; jobs call it when their results are written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -18,7 +18,7 @@ def test_csv_types_and_missing_tokens(spark, tmp_path):
         ",nan,false,,£2,02,N/A,null\n"
         "-3,2e3,True,n/a,3,03,z,\n"
     )
-    df = read_csv(spark, str(path))
+    df = read_csv(spark, str(path), multiline=True)
     assert dict(df.dtypes) == {
         "i": "bigint", "f": "double", "b": "boolean", "s": "string", "mixed": "string",
         "lead": "bigint", "quo,ted": "string", "none": "string",
@@ -80,7 +80,21 @@ def test_stage_writes_to_the_shared_folder(spark, frame, tmp_path, monkeypatch):
     assert any((tmp_path / "tablewarden").iterdir())
 
 
-def test_without_a_shared_folder_nothing_is_staged(frame, monkeypatch):
-    monkeypatch.setattr(storage, "shared_folder", lambda spark: None)
-    df = frame({"a": [1]}, "a int")
-    assert storage.stage(df, "probe") is df
+def test_staged_copies_are_discarded(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_folder", lambda spark: str(tmp_path))
+    storage.stage(frame({"a": [1]}, "a int"), "probe")
+    storage.discard(spark)
+    assert not any((tmp_path / "tablewarden").iterdir())
+
+
+def test_large_csv_is_read_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "large")
+    write_csv(spark.range(200_000).selectExpr("id", "id * 7 as n").coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        df = read_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 200_000
+        assert read_csv(spark, path, multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
