@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -122,13 +123,26 @@ def numeric_moments(df: DataFrame, columns: Iterable[str] | None = None) -> list
     return [r for r in rows if r["n"]]
 
 
-def numeric_distribution(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Numbers:
+    """Moments and quartiles of numeric columns, worked out once for all tables that need them."""
+
+    moments: dict
+    quartiles: dict[str, list[float]]
+
+
+def numbers_of(df: DataFrame, columns: Iterable[str] | None = None) -> Numbers:
+    moments = {m["column_name"]: m for m in numeric_moments(df, columns)}
+    extent = {c: (m["n"], m["lo"], m["hi"]) for c, m in moments.items()}
+    return Numbers(moments, exact_quantiles(df, list(moments), (0.25, 0.5, 0.75), extent))
+
+
+def numeric_distribution(
+    df: DataFrame, columns: Iterable[str] | None = None, known: Numbers | None = None
+) -> DataFrame:
     """min, max, mean, median, std, quartiles and bias-adjusted skew."""
-    moments = numeric_moments(df, columns)
-    quartiles = exact_quantiles(
-        df, [m["column_name"] for m in moments], (0.25, 0.5, 0.75),
-        {m["column_name"]: (m["n"], m["lo"], m["hi"]) for m in moments},
-    )
+    known = known or numbers_of(df, columns)
+    moments, quartiles = known.moments.values(), known.quartiles
 
     def skew(m) -> float | None:
         n = m["n"]
@@ -153,7 +167,9 @@ def numeric_distribution(df: DataFrame, columns: Iterable[str] | None = None) ->
     )
 
 
-def correlation_matrix(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, columns: Iterable[str] | None = None, moments: dict | None = None
+) -> DataFrame:
     """Pearson correlation of each ordered pair of numeric columns, over the rows
     where both are present; NULL where either does not vary there or is infinite.
 
@@ -164,7 +180,7 @@ def correlation_matrix(df: DataFrame, columns: Iterable[str] | None = None) -> D
     schema = "column_name string, column_y string, corr double"
     if len(names) < 2:
         return local_rows(df.sparkSession, schema, [])
-    known = {m["column_name"]: m for m in numeric_moments(df, names)}
+    known = moments or {m["column_name"]: m for m in numeric_moments(df, names)}
     used = [c for c in names if c in known and math.isfinite(known[c]["mean"])
             and math.isfinite(known[c]["lo"]) and math.isfinite(known[c]["hi"])]
     result = _pairwise(df, used, [known[c]["mean"] for c in used]) if used else {}

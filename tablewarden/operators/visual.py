@@ -16,7 +16,7 @@ from ..functions.numbers import double
 from ..functions.text import literal, quoted
 from .columns import cells, local_rows, numeric_columns, present, stacked
 from .facts import present_counts
-from .profile import numeric_moments
+from .profile import Numbers, numbers_of, numeric_moments
 from .quantiles import exact_quantiles
 
 # Executors need not have this package: its functions travel with the tasks.
@@ -59,24 +59,37 @@ def bin_count(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
     return max(1, math.ceil((hi - lo) / width))
 
 
-def histogram(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def _finite_numbers(df: DataFrame, names: list[str], known: Numbers | None) -> Numbers:
+    """Moments and quartiles of the finite values; what is known of columns without others is kept."""
+    kept = known.moments if known else {}
+    kept = {c: m for c, m in kept.items() if math.isfinite(m["lo"]) and math.isfinite(m["hi"])}
+    rest = [c for c in names if c not in kept]
+    more = numbers_of(_finite(df, rest)) if rest else Numbers({}, {})
+    quartiles = {c: known.quartiles[c] for c in kept} if known else {}
+    return Numbers(
+        {c: m for c, m in (kept | more.moments).items() if c in names},
+        {c: q for c, q in (quartiles | more.quartiles).items() if c in names})
+
+
+def histogram(
+    df: DataFrame, columns: Iterable[str] | None = None, known: Numbers | None = None
+) -> DataFrame:
     """Equal-width histogram of numeric columns: bin, lo, hi, n (empty bins left out).
 
     The bins span the finite values. Infinite values have bins of their own, -1 and one past the
     last, so that the counts still add up to the values present.
     """
     names = _wanted(df, columns)
-    finite = _finite(df, names)
-    moments = {m["column_name"]: m for m in numeric_moments(finite, names)}
-    extent = {c: (m["n"], m["lo"], m["hi"]) for c, m in moments.items()}
-    quartiles = exact_quantiles(finite, extent, (0.25, 0.75), extent)
+    finite = _finite_numbers(df, names, known)
+    extent = {c: (m["n"], m["lo"], m["hi"]) for c, m in finite.moments.items()}
     layout = []
     for name in names:
         if name not in extent:  # infinite values alone
             layout.append((name, 0.0, 0.0, 0))
             continue
         n, lo, hi = extent[name]
-        bins = bin_count(n, lo, hi, *quartiles[name])
+        q1, _, q3 = finite.quartiles[name]
+        bins = bin_count(n, lo, hi, q1, q3)
         if lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
         layout.append((name, lo, (hi - lo) / bins, bins))
@@ -103,7 +116,10 @@ def histogram(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     )
 
 
-def density_curve(df: DataFrame, columns: Iterable[str] | None = None, points: int = 200) -> DataFrame:
+def density_curve(
+    df: DataFrame, columns: Iterable[str] | None = None, points: int = 200,
+    known: Numbers | None = None,
+) -> DataFrame:
     """Gaussian density estimate of the finite values on an even grid: x, density.
 
     Scott's bandwidth, three bandwidths beyond the data on each side. One read for all columns; each
@@ -112,7 +128,11 @@ def density_curve(df: DataFrame, columns: Iterable[str] | None = None, points: i
     names = _wanted(df, columns)
     finite = _finite(df, names)
     grid = []
-    for m in numeric_moments(finite, names):
+    if known:
+        moments = _finite_numbers(df, names, known).moments.values()
+    else:
+        moments = numeric_moments(finite, names)
+    for m in moments:
         if m["n"] > 1 and m["std"]:
             width = m["std"] * m["n"] ** -0.2
             start = m["lo"] - 3 * width
@@ -154,18 +174,23 @@ def density_curve(df: DataFrame, columns: Iterable[str] | None = None, points: i
     )
 
 
-def _fences(df: DataFrame, columns: Iterable[str] | None) -> dict[str, tuple[float, ...]]:
+def _fences(
+    df: DataFrame, columns: Iterable[str] | None, known: Numbers | None = None
+) -> dict[str, tuple[float, ...]]:
     """column -> q1, median, q3, lower fence, upper fence"""
-    quartiles = exact_quantiles(df, _wanted(df, columns), (0.25, 0.5, 0.75))
+    names = _wanted(df, columns)
+    quartiles = known.quartiles if known else exact_quantiles(df, names, (0.25, 0.5, 0.75))
     return {
         c: (q1, q2, q3, q1 - fixed.WHISKER * (q3 - q1), q3 + fixed.WHISKER * (q3 - q1))
         for c, (q1, q2, q3) in quartiles.items()
     }
 
 
-def boxplot_stats(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def boxplot_stats(
+    df: DataFrame, columns: Iterable[str] | None = None, known: Numbers | None = None
+) -> DataFrame:
     """Quartiles, whiskers (furthest values inside the fences) and outlier count."""
-    fences = _fences(df, columns)
+    fences = _fences(df, columns, known)
     if not fences:
         return local_rows(
             df.sparkSession,

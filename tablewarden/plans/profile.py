@@ -23,6 +23,7 @@ def build_report(df: DataFrame, *, charts: bool = True, source: str | None = Non
     """Column facts are computed once, here; the tables derived from them are
     driver-side rows. The other tables run when they are written or shown."""
     facts = collect_facts(df)
+    numbers = profile.numbers_of(df)
     tables = {
         "dataset": profile.dataset_summary(df, source).selectExpr("*", "current_timestamp() as generated_at"),
         "columns": metadata.column_profile(facts),
@@ -32,8 +33,8 @@ def build_report(df: DataFrame, *, charts: bool = True, source: str | None = Non
         "missing_overall": profile.missing_overall(df),
         "type_consistency": profile.type_consistency(facts),
         "cardinality": profile.cardinality(facts),
-        "correlations": profile.correlation_matrix(df),
-        "numeric_distribution": profile.numeric_distribution(df),
+        "correlations": profile.correlation_matrix(df, moments=numbers.moments),
+        "numeric_distribution": profile.numeric_distribution(df, known=numbers),
         "top_values": top_values(df),
         "potential_pii": rules.pii_columns(facts),
         "invalid_formats": rules.invalid_formats(facts),
@@ -43,9 +44,9 @@ def build_report(df: DataFrame, *, charts: bool = True, source: str | None = Non
     }
     if charts:
         tables["missing_patterns"] = visual.missing_patterns(df)
-        tables["histogram"] = visual.histogram(df)
-        tables["boxplot_stats"] = visual.boxplot_stats(df)
-        tables["density_curve"] = visual.density_curve(df)
+        tables["histogram"] = visual.histogram(df, known=numbers)
+        tables["boxplot_stats"] = visual.boxplot_stats(df, known=numbers)
+        tables["density_curve"] = visual.density_curve(df, known=numbers)
     return Report(tables, metadata.profile_of(facts), facts)
 
 
