@@ -150,6 +150,18 @@ def _anomalies(df: DataFrame) -> DataFrame:
     return flagged.withColumn(anomalies.SCORE, F.round(anomalies.SCORE, 6))
 
 
+def _planted_anomalies(df: DataFrame) -> DataFrame:
+    """Three rows far out among the line items: all are flagged, by rank within five percent."""
+    numbers = df.select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    far = df.sparkSession.range(3).selectExpr(
+        "double(1000 + id) as l_quantity", "double(-9e6) as l_extendedprice",
+        "double(7 + id) as l_discount", "double(-5) as l_tax")
+    flagged, _ = anomalies.detect_anomalies(numbers.unionByName(far))
+    return flagged.selectExpr(
+        "count(*) as rows_scored", "count_if(is_anomaly and l_quantity >= 1000) as planted_flagged",
+        "count_if(is_anomaly) <= ceil(0.05 * count(*)) as within_share")
+
+
 def _stream_gate(spark: SparkSession, folder: str) -> DataFrame:
     """The customers as a stream, checked against the cleaned table's contract."""
     _, contract = _contract(dirty_customers(spark, folder))
@@ -226,6 +238,8 @@ QUERIES: dict[str, Query] = {
     "synthetic_customers": _of(
         "customer", lambda df: inject_issues(synthetic_customers(df, "c_custkey"))
     ),
+    "synthetic_customer_ids": _of("customer", lambda df: synthetic_customers(
+        df, "c_custkey").selectExpr("customer_id", "nps_score between 0 and 10 as score_in_range")),
     # metadata
     "match_ratios": _of("dirty", _from_facts(metadata.match_ratios)),
     "infer_types": _of("dirty", _from_facts(metadata.infer_types)),
@@ -316,7 +330,12 @@ QUERIES: dict[str, Query] = {
     "health_score": _of("dirty", _health_by_fences),
     "health_score_forest": _of("dirty", _health_by_forest),
     "anomalies_iforest": _of("lineitem", _anomalies),
+    "anomalies_planted": _of("lineitem", _planted_anomalies),
     "stream_gate": _stream_gate,
     # the whole gate
     "gate_summary": _of("dirty", gate_summary),
+    # all but what the forest decides
+    "gate_counts": _of("dirty", lambda df: gate_summary(df).select(
+        "rows_before", "rows_after", "exact_duplicates_removed", "missing_before",
+        "missing_after", "quality_before", "quality_after", "quality_delta", "pass_rate")),
 }

@@ -753,3 +753,19 @@ select raw.score as quality_before, done.score as quality_after,
   {half_up('100e0 * (7e-1 * r + 3e-1 * f)', 2)} as health_score from passed, free""",
     "stream_gate": ctes("dirty", *CLEANING) + stream_results(),
 }
+
+ORACLES["synthetic_customer_ids"] = (
+    "select c_custkey + 10000 as customer_id, true as score_in_range from customer"
+)
+ORACLES["anomalies_planted"] = (
+    "select count(*) + 3 as rows_scored, 3 as planted_flagged, true as within_share from lineitem"
+)
+ORACLES["gate_counts"] = f"""
+select rows_before, rows_after, exact_duplicates_removed, missing_before, missing_after,
+  quality_before, quality_after, quality_delta, pass_rate
+from ({ORACLES["dedup_log"]}), ({ORACLES["clean_scores"]}),
+  (select pass_rate from ({ORACLES["health_score"]})),
+  (select total_missing_cells as missing_before from ({ORACLES["missing_overall"]})),
+  ({ctes("dirty", *CLEANING)} select sum({" + ".join(
+      f"case when {c} is null then 1 else 0 end" for c in DIRTY_COLUMNS)}) as missing_after
+   from cleaned)"""
