@@ -1,6 +1,9 @@
 """Format normalisation, driven by the column profile."""
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from ..functions.dates import clean_date
 from ..functions.text import literal, matches, one_of, quoted, strip_if_word, to_number, unify_yes_no
 from .columns import cells, kinds, local_rows
 from .facts import LONGEST_WORD, only_words, word_bits
+from .frequency import first_values, text_frequencies
 
 LOG_SCHEMA = "column_name string, action string, affected bigint"
 
@@ -25,17 +29,54 @@ def flag_invalid_phone(value: str) -> str:
     return f"if({invalid_phone(value)}, {literal(fixed.INVALID_PHONE_LABEL)}, {value})"
 
 
+@dataclass(frozen=True)
+class Change:
+    """A rule that applies to a column; ``rule`` turns SQL of a value into SQL of the new one."""
+
+    column: str
+    action: str
+    affected: int
+    rule: Callable[[str], str]
+
+
 def normalise(df: DataFrame, profile: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """(normalised table, log of column_name, action, affected).
+    """(normalised table, log of column_name, action, affected)."""
+    changes = changes_of(df, profile)
+    return apply_changes(df, changes), change_log(df, changes)
+
+
+def apply_changes(df: DataFrame, changes: list[Change]) -> DataFrame:
+    new = {c.column: c.rule(quoted(c.column)) for c in changes}
+    return df.selectExpr(*[f"{new.get(c, quoted(c))} as {quoted(c)}" for c in df.columns])
+
 
-    Per column the first rule that applies: currency text to number, mixed dates
+def change_log(df: DataFrame, changes: list[Change]) -> DataFrame:
+    rows = [(c.column, c.action, c.affected) for c in changes]
+    return local_rows(df.sparkSession, LOG_SCHEMA, rows)
+
+
+def change_samples(df: DataFrame, changes: list[Change], count: int = fixed.TOP_VALUES) -> DataFrame:
+    """column_name, rank, before, after: the smallest values of the changed columns, both ways."""
+    if not changes:
+        return local_rows(
+            df.sparkSession, "column_name string, rank int, before string, after string", [])
+    values = cells(df, [c.column for c in changes], "string").filter("value is not null")
+    picked = first_values(text_frequencies(values).drop("n"), values, count)
+    cases = " ".join(
+        f"when column_name = {literal(c.column)} then cast({c.rule('value')} as string)"
+        for c in changes)
+    return picked.selectExpr("column_name", "rank", "value as before", f"case {cases} end as after")
+
+
+def changes_of(df: DataFrame, profile: dict | None = None) -> list[Change]:
+    """Per column the first rule that applies: currency text to number, mixed dates
     to timestamps, yes/no spellings to one label, invalid phones flagged. One
-    aggregation finds what applies; the change itself is one projection.
+    aggregation finds what applies.
     """
     profile = profile or {}
     text = [c for c, k in kinds(df).items() if k == "text"]
     if not text:
-        return df, local_rows(df.sparkSession, LOG_SCHEMA, [])
+        return []
     phones = [c for c in text if profile.get(c, {}).get("semantic_type") == "phone"]
     # Only the phone columns are tested against the phone pattern.
     is_phone = one_of("column_name", phones) if phones else "false"
@@ -58,25 +99,18 @@ def normalise(df: DataFrame, profile: dict | None = None) -> tuple[DataFrame, Da
         .collect()
     }
 
-    changed, log = {}, []
-
-    def change(name: str, action: str, expression: str, affected: int) -> None:
-        changed[name] = expression
-        log.append((name, action, affected))
-
+    changes = []
     for name in text:
-        column, seen, known = quoted(name), found.get(name), profile.get(name, {})
+        seen, known = found.get(name), profile.get(name, {})
         if seen is None:
             continue
         if known.get("inferred_type") == "numeric_as_text" and known.get("semantic_type") == "numeric":
-            change(name, "number_from_text", numbers_from_text(column), seen["present"])
+            changes.append(Change(name, "number_from_text", seen["present"], numbers_from_text))
         elif known.get("expected_type") == "date" and len(known.get("date_formats") or ()) > 1:
-            change(name, "date_from_text", clean_date(column), seen["present"])
+            changes.append(Change(name, "date_from_text", seen["present"], clean_date))
         elif seen["yes_no"]:
-            change(name, "yes_no_spelling", unify_yes_no(column), seen["respelt"])
+            changes.append(Change(name, "yes_no_spelling", seen["respelt"], unify_yes_no))
         elif name in phones and seen["bad_phones"]:
-            change(name, "invalid_phone_flag", flag_invalid_phone(column), seen["bad_phones"])
-    result = df.selectExpr(
-        *[f"{changed.get(c, quoted(c))} as {quoted(c)}" for c in df.columns]
-    )
-    return result, local_rows(df.sparkSession, LOG_SCHEMA, log)
+            changes.append(
+                Change(name, "invalid_phone_flag", seen["bad_phones"], flag_invalid_phone))
+    return changes

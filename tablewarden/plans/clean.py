@@ -5,8 +5,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..operators.columns import local_rows
 from ..operators.impute import impute
-from ..operators.normalise import normalise
+from ..operators.normalise import apply_changes, change_log, change_samples, changes_of
 from ..operators.quality import dedup_log, drop_duplicates, quality_score
 from ..storage import stage
 
@@ -18,6 +19,8 @@ class Cleaned:
     dedup_log: DataFrame
     normalise_log: DataFrame
     impute_log: DataFrame
+    samples: DataFrame
+    flags: DataFrame
 
 
 def clean_table(df: DataFrame, profile: dict) -> Cleaned:
@@ -27,9 +30,20 @@ def clean_table(df: DataFrame, profile: dict) -> Cleaned:
     steps and the result all read them. The later steps only add projections.
     """
     unique = stage(drop_duplicates(df), "deduplicated")
-    uniform, normalise_log = normalise(unique, profile)
-    filled, impute_log = impute(uniform, profile)
-    return Cleaned(filled, unique, dedup_log(df, unique), normalise_log, impute_log)
+    changes = changes_of(unique, profile)
+    filled, impute_log = impute(apply_changes(unique, changes), profile)
+    return Cleaned(
+        filled, unique, dedup_log(df, unique), change_log(unique, changes), impute_log,
+        change_samples(unique, changes), profile_flags(df, profile))
+
+
+def profile_flags(df: DataFrame, profile: dict) -> DataFrame:
+    """What the profile said of each column that cleaning went by."""
+    return local_rows(
+        df.sparkSession,
+        "column_name string, inferred_type string, semantic_type string, date_formats string",
+        [(c, p.get("inferred_type"), p.get("semantic_type"),
+          "|".join(p.get("date_formats") or ())) for c, p in profile.items()])
 
 
 def clean_scores(df: DataFrame, cleaned: Cleaned, profile: dict) -> DataFrame:

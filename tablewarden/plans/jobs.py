@@ -80,6 +80,8 @@ def _clean(df: DataFrame, output: str, as_csv: bool) -> None:
             "dedup": cleaned.dedup_log,
             "normalise": cleaned.normalise_log,
             "impute": cleaned.impute_log,
+            "samples": cleaned.samples,
+            "profile_flags": cleaned.flags,
             "scores": clean_scores(df, cleaned, known),
         },
         f"{output}/cleaning",

@@ -9,7 +9,9 @@ from tablewarden.functions.text import matches, unify_yes_no
 from tablewarden.operators.facts import column_facts
 from tablewarden.operators.impute import impute
 from tablewarden.operators.metadata import profile_of
-from tablewarden.operators.normalise import normalise, numbers_from_text
+from tablewarden.operators.normalise import (
+    change_samples, changes_of, normalise, numbers_from_text,
+)
 from tablewarden.operators.quality import dedup_log, drop_duplicates, quality_score
 from tablewarden.plans.clean import clean_scores, clean_table
 
@@ -97,6 +99,13 @@ def test_phone_is_flagged_not_converted(frame):
     assert tuple(log.first()) == ("phone", "invalid_phone_flag", 1)
 
 
+def test_samples_show_values_before_and_after(frame):
+    df = frame({"c": ["n", "yes", "n", None, "Y"], "d": ["a", "b", "c", "d", "e"]}, "c string, d string")
+    rows = change_samples(df, changes_of(df)).orderBy("rank").collect()
+    assert [tuple(r) for r in rows] == [
+        ("c", 1, "Y", "Yes"), ("c", 2, "n", "No"), ("c", 3, "yes", "Yes")]
+
+
 def test_one_side_of_yes_no_is_enough(frame):
     result, log = normalise(frame({"c": ["y", "Yes", None]}, "c string"))
     assert [r[0] for r in result.collect()] == ["Yes", "Yes", None]
