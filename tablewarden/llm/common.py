@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a task turns into numpy arrays at once; bounds its memory, changes no result.
 SLICE_BYTES = 2_000_000
-#: A key with more than 1/HEAVY_SHARE of all rows is looked up by broadcast, so at most HEAVY_SHARE
-#: keys are ever broadcast, whatever the size of the data.
-HEAVY_SHARE = 1_000
 
 
 @cache
@@ -149,21 +146,13 @@ def hash64(*columns: Column | str) -> Column:
     return F.xxhash64(*columns)
 
 
-def lookup(left: DataFrame, right: DataFrame, on: str, n: str, rows: int) -> DataFrame:
-    """Inner join of many ``left`` rows to the one ``right`` row of their key, safe for hot keys.
+def lookup(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Inner join of many ``left`` rows to the one ``right`` row of their key.
 
-    ``right`` has one row per ``on`` and the number ``n`` of left rows that hold it. Keys with more
-    than rows / HEAVY_SHARE of them, at most HEAVY_SHARE keys, are joined by broadcast; the others
-    by a shuffle in which no key is large.
+    Kept a plain shuffled join without a grouping on top, so that adaptive execution can split the
+    partition of a key that holds any share of the rows.
     """
-    limit = max(1, rows // HEAVY_SHARE)
-    if rows <= HEAVY_SHARE:
-        return left.join(right, on)
-    heavy = F.broadcast(right.filter(F.col(n) > limit))
-    hot = left.join(heavy, on)
-    cold = left.join(F.broadcast(right.filter(F.col(n) > limit).select(on)), on, "left_anti")
-    cold = cold.join(right.filter(F.col(n) <= limit), on)
-    return hot.unionByName(cold)
+    return left.join(right, on)
 
 
 def forest(edges: DataFrame) -> DataFrame:
@@ -212,37 +201,36 @@ def union(parent: dict[int, int], x: int, y: int) -> None:
 def components(edges: DataFrame, label: str = "edges") -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), for nodes with an edge.
 
-    Alternates large-star and small-star steps until the edge set is a set of stars around minima.
-    A node with very many edges is met only by aggregates and by joins that AQE can split, never by
-    a window or a gathered group. Every round is written to the shared folder; the driver sees two
-    numbers a round.
+    Edges lead from the larger to the smaller node. A round moves every edge on to the smallest
+    neighbour of its end and then ties all ends of a node to the smallest of them, until the edges
+    are stars around minima. A minimum with very many edges is met only by aggregates and by a join
+    that adaptive execution can split; the ends of one node are few, as tasks reduce their edges to
+    forests first. Every round is written to the shared folder; the driver sees one row a round.
     """
     edges = forest(edges.filter("a != b and a is not null and b is not null"))
     edges = staged(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         label)
-    before = None
-    while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
-        low = low.select("a", F.least("a", "m").alias("m"))
-        # Large star: every larger neighbour moves to the smallest of the neighbourhood.
-        larger = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        large = larger.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.filter("a != b").distinct(), label)
-        # Small star: smaller neighbours and the node itself move to the smallest.
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = moved.union(low.select("a", F.col("m").alias("b")))
-        edges = staged(small.filter("a != b").distinct(), label)
-        now = edges.agg(
-            F.count("*"), F.sum(hash64("a", "b").cast("decimal(38,0)")),
-        ).first()
-        if now == before:
-            stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            centres = edges.select("b").distinct()
-            return stars.union(centres.select("b", "b"))
-        before = now
+    while not _are_stars(edges):
+        parents = edges.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("parent"))
+        moved = edges.join(parents, "b", "left").select("a", F.coalesce("parent", "b").alias("b"))
+        lowest = F.min("b").over(Window.partitionBy("a"))
+        tied = moved.withColumn("m", lowest).select(F.inline(F.array(
+            F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")))))
+        edges = staged(tied.filter("a != b").distinct(), label)
+    stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    centres = edges.select("b").distinct()
+    return stars.union(centres.select("b", "b"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour or is a centre, not both."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter("up + down > 1").isEmpty()
 
 
 #: Bits of a key filter: 16 MB, however many keys; more keys only let more rows pass.

@@ -122,12 +122,10 @@ def exact_duplicates(
     rows that repeat a doc_id exactly one stays. An empty table gives no rows.
     """
     rows = verified_recipes(documents(df, id_col, text_col), digest_bytes)
-    groups = staged(
-        rows.groupBy("recipe").agg(
-            F.count("*").alias("group_size"),
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("keep")),
-        "groups")
-    joined = lookup(rows, groups, "recipe", "group_size", rows.count())
+    groups = rows.groupBy("recipe").agg(
+        F.count("*").alias("group_size"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("keep"))
+    joined = lookup(rows, groups, "recipe")
     return joined.select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256", "text_key")

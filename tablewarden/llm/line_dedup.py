@@ -251,7 +251,7 @@ def _by_join(docs: DataFrame, bad: DataFrame, least: int, keep_first: bool) -> D
                      pa.array([m for _, m in found], pa.binary())], ["row", "mark"])
 
     places = staged(rows.select("row", "text").mapInArrow(keys, "row long, mark binary"), "places")
-    own = lookup(places, bad, "mark", "n_docs", rows.count()).groupBy("row").agg(
+    own = lookup(places, bad, "mark").groupBy("row").agg(
         F.collect_list(F.struct("mark", "first_doc")).alias("bad"))
     joined = rows.join(own, "row", "left").select(
         "doc_id", "text",

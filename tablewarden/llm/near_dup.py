@@ -332,10 +332,8 @@ def candidates(large: DataFrame, parts: int) -> DataFrame:
         F.col("shared") + F.least("held_a", "held_b") >= F.col("need")).select("a", "b")
     rich = held.filter("held >= need").select("a")
     rich_places = staged(long.select("a", "b").join(rich, "a"), "rich")
-    centres = staged(
-        rich_places.groupBy("b").agg(F.min("a").alias("centre"), F.count("*").alias("n"))
-        .filter("n > 1"), "centres")
-    stars = lookup(rich_places, centres, "b", "n", rich_places.count())
+    centres = rich_places.groupBy("b").agg(F.min("a").alias("centre"))
+    stars = lookup(rich_places, centres, "b")
     return sure.union(made_up).union(
         stars.select("a", F.col("centre").alias("b")).filter("a != b"))
 
@@ -398,45 +396,50 @@ def verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, parts: int)
 
     again = docs.withColumn("place", place).mapInArrow(
         read, "doc_id long, text_key long, hashes binary")
-    same = [again[c].eqNullSafe(member[c]) for c in ("doc_id", "text_key")]
-    full = member.join(again, same).select(member["*"], again["hashes"])
-    # Rows that repeat an id and a text read the same set more than once.
-    full = staged(full.dropDuplicates(["row"]), "full")
 
-    # Sizes of similar sets are in one band or in neighbouring ones.
+    # Units of work are planned without the sets. Sizes of similar sets are in one band or in
+    # neighbouring ones.
     band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
-    full = full.withColumn("band", band)
     whole = member.groupBy("cluster").agg(F.count("*").alias("held"))
-    by_band = member.withColumn("band", band).groupBy("cluster", "band").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    sized = full.join(whole, "cluster")
-    fields = ["unit", "row", "n", "hashes", "side"]
+    fields = ["doc_id", "text_key", "row", "n", "unit", "side"]
+    sized = staged(member.withColumn("band", band).join(whole, "cluster"), "sized")
     small = sized.filter(F.col("held") <= BLOCK).select(
-        hash64("cluster", F.lit(-1)).alias("unit"), "row", "n", "hashes", F.lit(0).alias("side"))
-    large = sized.filter(F.col("held") > BLOCK).join(by_band, ["cluster", "band"])
-    large = large.withColumn("block", F.pmod(hash64("row"), "blocks").cast("int"))
+        "doc_id", "text_key", "row", "n", hash64("cluster", F.lit(-1)).alias("unit"),
+        F.lit(0).alias("side"))
+    large = sized.filter(F.col("held") > BLOCK)
+    by_band = large.groupBy("cluster", "band").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     near = by_band.select(
         "cluster", F.col("band").alias("other_band"), F.col("blocks").alias("other_blocks"))
+    large = large.join(by_band, ["cluster", "band"])
+    large = large.withColumn("block", F.pmod(hash64("row"), "blocks").cast("int"))
     large = large.withColumn(
         "other_band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     large = large.join(near, ["cluster", "other_band"])
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
     own = F.struct(F.col("band").alias("band"), F.col("block").alias("block"))
     other = F.struct(F.col("other_band").alias("band"), F.col("other").alias("block"))
-    large = large.select(
-        hash64("cluster", F.least(own, other), F.greatest(own, other)).alias("unit"), "row", "n",
-        "hashes", F.when(own == other, 0).when(own < other, 1).otherwise(2).alias("side"))
-    units = small.select(*fields).unionByName(large.select(*fields))
-    work = member.count()
-    buckets = max(parts, math.ceil(work / TASK_SETS))
+    large = large.withColumns({
+        "unit": hash64("cluster", F.least(own, other), F.greatest(own, other)),
+        "side": F.when(own == other, 0).when(own < other, 1).otherwise(2)})
+    buckets = max(parts, math.ceil(sized.count() / TASK_SETS))
+    units = small.unionByName(large.select(*fields)).withColumn(
+        "bucket", F.pmod("unit", F.lit(buckets)))
+    same = [again[c].eqNullSafe(units[c]) for c in ("doc_id", "text_key")]
+    work = units.join(again, same).select(
+        units["bucket"], units["unit"], units["side"], units["row"], units["n"], again["hashes"])
 
     def compare(table: pa.Table) -> pa.Table:
         rows = table.column("row").to_numpy()
         sizes = table.column("n").to_numpy().astype(np.int64)
         side = table.column("side").to_numpy()
         groups: dict[int, list[int]] = {}
-        for at, unit in enumerate(table.column("unit").to_pylist()):
-            groups.setdefault(unit, []).append(at)
+        seen = set()  # rows that repeat an id and a text bring their set more than once
+        for at, unit in enumerate(zip(table.column("unit").to_pylist(), rows.tolist(),
+                                      strict=True)):
+            if unit not in seen:
+                seen.add(unit)
+                groups.setdefault(unit[0], []).append(at)
         parent: dict[int, int] = {}
         column = table.column("hashes")
         for members in groups.values():
@@ -456,8 +459,7 @@ def verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, parts: int)
         return pa.table({"a": pa.array(nodes, pa.int64()),
                          "b": pa.array([root(parent, x) for x in nodes], pa.int64())})
 
-    units = units.withColumn("bucket", F.pmod("unit", F.lit(buckets)))
-    return units.groupBy("bucket").applyInArrow(compare, "a long, b long")
+    return work.groupBy("bucket").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -476,27 +478,23 @@ def near_duplicates(
     docs = documents(df, id_col, text_col)
     rows = staged(shingle_sets(docs), "sets")
     some = rows.filter(F.col("print").isNotNull())
-    classes = staged(
-        some.groupBy("print").agg(F.min("row").alias("row"), F.count("*").alias("w")), "classes")
-    sets = staged(
-        rows.join(classes.select("row"), "row", "left_semi"), "distinct")
+    firsts = some.groupBy("print").agg(F.min("row").alias("row"))
+    sets = staged(some.join(firsts.select("row"), "row", "left_semi"), "distinct")
     counts = sets.filter(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()
     limit = boundary({r["n"]: r["count"] for r in counts})
     large = sets.filter(F.floor(F.col("n") * 100 / PERCENT) > limit)
     clusters = components(candidates(large, parts), "candidates")
     links = verified(docs, sets, clusters, parts)
     tops = components(links.union(small_links(sets, limit)), "links")
-    by_print = staged(
-        classes.join(tops.select(F.col("node").alias("row"), "component"), "row", "left")
-        .select("print", "w", F.coalesce("component", "row").alias("top")), "tops")
-    total = some.count()
+    by_print = sets.select("print", "row").join(
+        tops.select(F.col("node").alias("row"), "component"), "row", "left").select(
+        "print", F.coalesce("component", "row").alias("top"))
     members = staged(
-        lookup(some.select("row", "doc_id", "text_key", "n", "print"), by_print, "print", "w",
-               total).drop("print", "w"), "grouped")
+        lookup(some.select("row", "doc_id", "text_key", "n", "print"), by_print, "print")
+        .drop("print"), "grouped")
     lowest = members.groupBy("top").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("keep"),
-        F.count("*").alias("held"))
-    joined = lookup(members, staged(lowest, "lowest"), "top", "held", total)
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("keep"))
+    joined = lookup(members, lowest, "top")
     linked = joined.select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"),
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_key")

@@ -140,9 +140,8 @@ def find_secrets(
     rows = staged(scan(docs), "spans")
     spans = staged(
         rows.select("row", "repo", "owner", F.inline("found")), "places")
-    owners = staged(ownership(spans), "owners")
-    judged = lookup(
-        spans.select("row", "start", "kind", "end", "hash"), owners, "hash", "n", spans.count())
+    judged = lookup(spans.select("row", "start", "kind", "end", "hash"), ownership(spans), "hash")
+    judged = staged(judged, "judged")
     live = F.col("n_owners") < example_owners
     told = (F.col("kind") < _BASE) | (live & ((F.col("kind") < len(KINDS) - 1)
                                               | (F.col("named") > 0)))

@@ -243,17 +243,14 @@ def near_vectors(
                              "vec", "list"), cosine, shared, kind), "links")
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     stars = components(found.select("a", "b"))
-    by_key = staged(
+    by_key = (
         reps.select("key", "rep", "w").join(counts, "rep", "left")
         .join(stars.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "w", F.coalesce("component", "rep").alias("top"),
-                (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links")), "classes")
-    total = usable.count()
-    members = staged(
-        lookup(usable.select("vec_id", "key"), by_key, "key", "w", total), "members")
-    lowest = members.groupBy("top").agg(
-        F.min("vec_id").alias("component_id"), F.count("*").alias("held"))
-    linked = lookup(members, staged(lowest, "lowest"), "top", "held", total)
+        .select("key", F.coalesce("component", "rep").alias("top"),
+                (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links")))
+    members = staged(lookup(usable.select("vec_id", "key"), by_key, "key"), "members")
+    lowest = members.groupBy("top").agg(F.min("vec_id").alias("component_id"))
+    linked = lookup(members, lowest, "top")
     alone = rows.filter(F.col("key").isNull()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.select("vec_id", "n_links", "component_id").unionByName(alone).withColumn(
