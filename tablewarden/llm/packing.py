@@ -7,6 +7,7 @@ in the shard, so windows are full but for the last one of a task.
 """
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -31,52 +32,68 @@ _CACHE = 500_000
 _NAMES = ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as one printable character: those that are printable in
+    Latin-1 as themselves, the others in order from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(0x100) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + n) for n, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of texts by a lower-casing word tokenizer whose words never cross white space.
 
-    Plain Latin texts are encoded word by word from a cache; any text with other characters, control
-    characters or marks of special tokens is left to the tokenizer as a whole.
+    Plain Latin texts are encoded from two caches: what stands between white space, and the words,
+    numbers and signs in it. Any text with other characters, control characters or marks of special
+    tokens is left to the tokenizer as a whole.
     """
 
+    _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+    _LETTERS = _byte_letters()
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.pairs = [n.to_bytes(2, "little") for n in range(_VOCABULARY)]
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _plain(self, raw: np.ndarray, text: str) -> bool:
         return len(raw) == 0 or not (
-            raw.max() >= 0xC9 or ((raw >= 0x1C) & (raw <= 0x1F)).any() or "<|" in text)
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words, found in one call: white space keeps them apart."""
-        for at in range(0, len(words), 2000):
-            part = words[at:at + 2000]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u2")
-            start = np.array([a for a, _ in found.offsets], np.int64)
-            ends = np.cumsum([len(w) + 1 for w in part])
-            cuts = np.searchsorted(start, ends).tolist()
-            before = 0
-            for word, cut in zip(part, cuts, strict=True):
-                self.cache[word] = ids[before:cut].tobytes()
-                before = cut
+            raw.max() >= 0xC9 or (raw == 0xC2).any() or ((raw >= 0x1C) & (raw <= 0x1F)).any()
+            or "<|" in text)
+
+    def _word(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._LETTERS)
+        pair = self.pairs
+        ids = self.words[word] = b"".join([pair[t.id] for t in self.merge(shown)])
+        return ids
+
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.words) > _CACHE:
+            self.words.clear()
+        words = self.words
+        for chunk in chunks:
+            self.chunks[chunk] = b"".join(
+                [words.get(w) or self._word(w) for w in self._WORDS.findall(chunk)])
 
     def ids(self, text: str, raw: np.ndarray) -> bytes:
         """Little-endian 16-bit ids."""
         if not self._plain(raw, text):
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(found, "<u2").tobytes()
-        words = text.lower().split()
+        chunks = text.lower().split()
         try:
-            return b"".join(map(self.cache.__getitem__, words))
+            return b"".join(map(self.chunks.__getitem__, chunks))
         except KeyError:
-            new = {w for w in words if w not in self.cache}
-            if len(self.cache) + len(new) > _CACHE:
-                self.cache.clear()
-                new = set(words)
-            self._learn(sorted(new))
-            return b"".join(map(self.cache.__getitem__, words))
+            new = {c for c in chunks if c not in self.chunks}
+            if len(self.chunks) + len(new) > _CACHE:
+                self.chunks.clear()
+                new = set(chunks)
+            self._learn(new)
+            return b"".join(map(self.chunks.__getitem__, chunks))
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
@@ -108,13 +125,14 @@ def document_frequency(tokens: DataFrame) -> DataFrame:
     """(token, n): the number of documents that hold each token, of the whole corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_VOCABULARY, np.int64)
+        total, held = np.zeros(_VOCABULARY, np.int64), np.zeros(_VOCABULARY, bool)
         for batch in batches:
             for part in slices(batch, "tokens"):
                 ids, offsets = _ids(part.column("tokens"))
-                doc = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-                total += np.bincount(
-                    np.unique(doc * _VOCABULARY + ids) % _VOCABULARY, minlength=_VOCABULARY)
+                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                    held[ids[a:b]] = True
+                    total += held
+                    held[ids[a:b]] = False
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["token", "n"])
 
