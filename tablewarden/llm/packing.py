@@ -7,6 +7,7 @@ in the shard, so windows are full but for the last one of a task.
 """
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -23,12 +24,14 @@ WINDOW = 2048
 END = 1
 #: Tails in one inverted index: bounds the memory of a task, not the number of tails.
 SHARD_DOCS = 2048
+#: Bytes of ids that one task packs, shard after shard.
+TASK_BYTES = 64_000_000
 #: A seed is looked up by so many of its heaviest terms, and so many of the best are tried in turn.
 QUERY_TERMS = 32
 TRIED = 64
 _K1, _B = 1.2, 0.75
 _VOCABULARY = 1 << 16
-_CACHE = 500_000
+_CACHE = 700_000
 _NAMES = ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -43,7 +46,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of texts by a lower-casing word tokenizer whose words never cross white space.
 
-    Plain Latin texts are encoded from two caches: what stands between white space, and the words,
+    Plain Latin texts are encoded from a cache of what stands between white space, and of the words,
     numbers and signs in it. Any text with other characters, control characters or marks of special
     tokens is left to the tokenizer as a whole.
     """
@@ -57,8 +60,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.pairs = [n.to_bytes(2, "little") for n in range(_VOCABULARY)]
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _plain(self, raw: np.ndarray, text: str) -> bool:
         return len(raw) == 0 or not (
@@ -68,16 +70,17 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._LETTERS)
         pair = self.pairs
-        ids = self.words[word] = b"".join([pair[t.id] for t in self.merge(shown)])
+        ids = self.known[word] = b"".join([pair[t.id] for t in self.merge(shown)])
         return ids
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.words) > _CACHE:
-            self.words.clear()
-        words = self.words
+        known, word = self.known, self._word
         for chunk in chunks:
-            self.chunks[chunk] = b"".join(
-                [words.get(w) or self._word(w) for w in self._WORDS.findall(chunk)])
+            if chunk.isalpha():
+                word(chunk)
+            else:
+                known[chunk] = b"".join(
+                    [known.get(w) or word(w) for w in self._WORDS.findall(chunk)])
 
     def ids(self, text: str, raw: np.ndarray) -> bytes:
         """Little-endian 16-bit ids."""
@@ -86,14 +89,14 @@ class Encoder:
             return np.array(found, "<u2").tobytes()
         chunks = text.lower().split()
         try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            return b"".join(map(self.known.__getitem__, chunks))
         except KeyError:
-            new = {c for c in chunks if c not in self.chunks}
-            if len(self.chunks) + len(new) > _CACHE:
-                self.chunks.clear()
+            new = {c for c in chunks if c not in self.known}
+            if len(self.known) + len(new) > _CACHE:
+                self.known.clear()
                 new = set(chunks)
             self._learn(new)
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            return b"".join(map(self.known.__getitem__, chunks))
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
@@ -310,6 +313,7 @@ def pack(
     shared = spark.sparkContext.broadcast(idf)
     tails = _tails(tokens, shared, mean, window)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, math.ceil((size or 0) / TASK_BYTES))
     near = tails.repartitionByRange(parts, "term1", "term2", "row")
     near = near.sortWithinPartitions("term1", "term2", "row")
 
