@@ -5,6 +5,7 @@ as Parquet and read again by the next one, so a lost executor costs a reread.
 """
 from __future__ import annotations
 
+import functools
 import os
 import sys
 
@@ -15,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from public_tokenizers import path as tokenizer_path  # noqa: E402
 
-from tablewarden.llm.common import staged  # noqa: E402
+from tablewarden.llm.common import release, staged, staged_so_far  # noqa: E402
 from tablewarden.llm.exact_dedup import drop_exact_duplicates  # noqa: E402
 from tablewarden.llm.near_dup import drop_near_duplicates  # noqa: E402
 from tablewarden.llm.packing import pack  # noqa: E402
@@ -23,27 +24,48 @@ from tablewarden.llm.quality import keep_quality  # noqa: E402
 from tablewarden.llm.secrets import redact_secrets  # noqa: E402
 
 
+_LAST = [0, 0]
+
+
+def _stage(function):
+    """A stage first deletes what the stage before it had staged: that one's result is written."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, *_LAST)
+        _LAST[0] = staged_so_far()
+        out = function(spark, docs, sf_dir)
+        _LAST[1] = staged_so_far()
+        return out
+
+    return run_stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; learnt from the labelled ones among them."""
     return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each different text."""
     return drop_exact_duplicates(docs)
 
 
+@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return drop_near_duplicates(docs)
 
 
+@_stage
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with credentials that look live replaced by a mark; n_chars follows."""
     out = redact_secrets(docs, owner=F.col("source"), repo=F.concat_ws("/", "source", "lang"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return pack(docs, tokenizer_path("word_bpe_49k.json")).drop("row")

@@ -45,15 +45,33 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_buckets(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """As :func:`staged`, in buckets of a key: a later grouping by the key needs no exchange."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm/{name}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(
+        buckets, key).saveAsTable(name)
+    _STAGED.append(path)
+    return spark.table(name)
+
+
 _STAGED: list[str] = []
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every staged table; call it once the results built on them are written."""
+def staged_so_far() -> int:
+    return len(_STAGED)
+
+
+def release(spark: SparkSession, start: int = 0, stop: int | None = None) -> None:
+    """Delete staged tables, all or the start-th to the stop-th; call it once the results built on them
+    are written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
+    for i in range(start, len(_STAGED) if stop is None else stop):
+        if _STAGED[i]:
+            path = jvm.org.apache.hadoop.fs.Path(_STAGED[i])
+            path.getFileSystem(conf).delete(path, True)
+            _STAGED[i] = ""
 
 
 def with_row(df: DataFrame) -> DataFrame:
@@ -75,24 +93,33 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_rows(
-    df: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    df: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``df`` listed in ``kept`` (doc_id, text_key), with all their columns.
+    """The rows of ``df`` that ``marked`` (doc_id, text_key, kept) keeps, with all their columns.
 
-    Rows that repeat both id and text are one document: one of them stays.
+    ``marked`` has one row per document. Rows that repeat both id and text are one document: one of
+    them stays. Only rows that a filter of bounded size takes for dropped or repeated ones move to be
+    looked up exactly; all others stay where they are.
     """
-    keys = kept.select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
+    marked = staged(marked.select("doc_id", "text_key", "kept"), "marked")
+    place = hash64("doc_id", "text_key").alias("place")
+    unsure = marked.groupBy("doc_id", "text_key").agg(
+        F.min("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1")
+    bits = df.sparkSession.sparkContext.broadcast(key_filter(unsure.select(place), "place"))
+    maybe = F.arrow_udf(lambda places: pa.array(may_hold(bits.value, places.to_numpy())), "boolean")
     rows = df.withColumns({
         "_row_id": F.col(id_col).cast("long"),
         "_row_key": hash64(F.coalesce(F.col(text_col), F.lit("")))})
+    rows = rows.withColumn("_maybe", maybe(hash64("_row_id", "_row_key")))
+    keys = marked.filter("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
     same = F.col("_row_id").eqNullSafe(F.col("_kept_id")) & (
         F.col("_row_key") == F.col("_kept_key"))
     first = F.row_number().over(
         Window.partitionBy("_row_id", "_row_key").orderBy("_row_key"))
-    return (
-        rows.join(keys, same, "left_semi").withColumn("_nth", first).filter("_nth = 1")
-        .select(*df.columns))
+    looked_up = rows.filter("_maybe").join(keys, same, "left_semi")
+    looked_up = looked_up.withColumn("_nth", first).filter("_nth = 1")
+    return rows.filter("not _maybe").select(*df.columns).union(looked_up.select(*df.columns))
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:

@@ -135,5 +135,4 @@ def drop_exact_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``df`` with one row for each different text, all its columns as they are."""
-    return keep_rows(
-        df, exact_duplicates(df, id_col, text_col).filter("kept"), id_col, text_col)
+    return keep_rows(df, exact_duplicates(df, id_col, text_col), id_col, text_col)

@@ -508,4 +508,4 @@ def drop_near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``df`` with one document of each group of near-duplicates, all its columns as they are."""
-    return keep_rows(df, near_duplicates(df, id_col, text_col).filter("kept"), id_col, text_col)
+    return keep_rows(df, near_duplicates(df, id_col, text_col), id_col, text_col)
