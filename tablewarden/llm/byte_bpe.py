@@ -26,11 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, slices, staged, text_bytes
+from .common import documents, slices, staged_buckets, text_bytes
 from .token_counts import load_ranks
 
 #: Text bytes of a batch, and of texts per range of word hashes.
-BATCH_BYTES, RANGE_BYTES = 24_000_000, 16_000_000
+BATCH_BYTES, RANGE_BYTES = 8_000_000, 16_000_000
 #: The fold takes time with the square of a word's length; longer words are merged with a heap.
 FOLD_BYTES = 128
 #: The literal's outer array; about one word in each place.
@@ -168,9 +168,11 @@ def _let(value: Column, body) -> Column:
 def merge_words(word: Column, ranks: Column) -> Column:
     """Ids of a word (one character per byte): ranked merges folded over its bytes.
 
-    The state holds the pieces and the ranks of their neighbouring pairs; a step joins the leftmost
-    pair of the lowest rank and looks up the two new pairs. A word that is in the vocabulary as a
-    whole is its own id.
+    The state holds the pieces, the ranks of their neighbouring pairs and, at the end, the ids. The
+    first step looks up all pairs, each further one joins the leftmost pair of the lowest rank and
+    looks up the two new pairs, and the last one looks up the pieces. A word that is in the
+    vocabulary as a whole is its own id. All look-ups are one expression, so that the literal stands
+    in the plan once.
     """
     none = F.array().cast("array<int>")
 
@@ -180,36 +182,42 @@ def merge_words(word: Column, ranks: Column) -> Column:
 
     def step(state: Column, _: Column) -> Column:
         pieces, pairs = state["pieces"], state["pairs"]
-
-        def join_at(p: Column) -> Column:
-            def joined(new: Column) -> Column:
-                before = F.when(p > 1, F.concat(F.get(pieces, p - 2), new))
-                behind = F.when(p < F.size(pairs), F.concat(new, F.get(pieces, p + 1)))
-                return _let(F.transform(F.array(before, behind), rank), lambda r: F.struct(
-                    F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(new),
-                             F.slice(pieces, p + 2, F.size(pieces))).alias("pieces"),
-                    F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))),
-                             F.when(p > 1, F.slice(r, 1, 1)).otherwise(none),
-                             F.when(p < F.size(pairs), F.slice(r, 2, 1)).otherwise(none),
-                             F.slice(pairs, p + 2, F.size(pairs) + 1)).alias("pairs")))
-
-            return _let(F.concat(F.get(pieces, p - 1), F.get(pieces, p)), joined)
-
-        return _let(F.array_min(pairs), lambda least: F.when(least.isNull(), state).otherwise(
-            _let(F.array_position(pairs, least).cast("int"), join_at)))
-
-    def ids(state: Column) -> Column:
-        found = F.transform(F.concat(state["pieces"], F.array(word)), rank)
-        return _let(found, lambda r: F.when(
-            F.get(r, F.size(r) - 1).isNotNull(), F.slice(r, -1, 1)).otherwise(
-                F.slice(r, F.lit(1), F.size(r) - 1)))
-
-    n = F.char_length(word)
-    first = F.transform(F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(none),
-                        lambda i: rank(F.substring(word, i + 1, F.lit(2))))
-    start = F.struct(F.split(word, "").alias("pieces"), first.alias("pairs"))
-    steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(none)
-    return F.aggregate(steps, start, step, ids)
+        size = F.size(pieces)
+
+        def looked_up(p: Column) -> Column:
+            """``p``: place of the pair to join; 0 without any, null at the first step."""
+            new = F.concat(F.get(pieces, p - 1), F.get(pieces, p))
+            before = F.when(p > 1, F.concat(F.get(pieces, p - 2), new))
+            behind = F.when(p < size - 1, F.concat(new, F.get(pieces, p + 1)))
+            every = F.transform(
+                F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(none),
+                lambda i: F.concat(F.get(pieces, i), F.get(pieces, i + 1)))
+            keys = F.when(p.isNull(), every).when(p == 0, F.concat(pieces, F.array(word)))
+            found = F.transform(keys.otherwise(F.array(before, behind)), rank)
+            return _let(found, lambda r: F.when(p.isNull(), F.struct(
+                pieces.alias("pieces"), r.alias("pairs"), state["ids"].alias("ids"),
+            )).when(p == 0, F.struct(
+                pieces.alias("pieces"), pairs.alias("pairs"),
+                F.when(F.get(r, size).isNotNull(), F.slice(r, -1, 1))
+                .otherwise(F.slice(r, F.lit(1), size)).alias("ids"),
+            )).otherwise(F.struct(
+                F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(new),
+                         F.slice(pieces, p + 2, size)).alias("pieces"),
+                F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))),
+                         F.when(p > 1, F.slice(r, 1, 1)).otherwise(none),
+                         F.when(p < size - 1, F.slice(r, 2, 1)).otherwise(none),
+                         F.slice(pairs, p + 2, size)).alias("pairs"),
+                state["ids"].alias("ids"))))
+
+        place = F.when(pairs.isNotNull(), F.coalesce(
+            F.array_position(pairs, F.array_min(pairs)).cast("int"), F.lit(0)))
+        return F.when(state["ids"].isNotNull(), state).otherwise(_let(place, looked_up))
+
+    start = F.struct(
+        F.split(word, "").alias("pieces"), F.lit(None).cast("array<int>").alias("pairs"),
+        F.lit(None).cast("array<int>").alias("ids"))
+    steps = F.sequence(F.lit(0), F.char_length(word))
+    return F.aggregate(steps, start, step, lambda state: state["ids"])
 
 
 def _gather(start: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -292,9 +300,10 @@ def word_ids(batches: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 def encode(
     df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int = BATCH_BYTES, decoded: bool = False,
 ) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers).
+    """One row per document: doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers), and with
+    ``decoded`` also the bytes that :func:`decode` gives for them, from the same task.
 
     Ids are those of the rank file at ``path``, each match of ``pattern`` merged separately, without
     special tokens. Null texts count as empty and have no ids; every row is a document, also with a
@@ -305,8 +314,12 @@ def encode(
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(parts, math.ceil(size / RANGE_BYTES))
-    batches = staged(batches_of(docs, pattern, ranges, batch_bytes), "batches")
-    answers = word_ids(batches, load_ranks(path))
+    ranks = load_ranks(path)
+    # Bucketed, so that the texts meet their ids without moving again.
+    batches = staged_buckets(
+        batches_of(docs, pattern, ranges, batch_bytes), "batches", "batch", parts)
+    answers = word_ids(batches, ranks)
+    pieces = spark.sparkContext.broadcast(_pieces(ranks)) if decoded else None
 
     def look_up(texts: pa.Table, words: pa.Table) -> pa.Table:
         order = np.argsort(words.column("range").to_numpy())
@@ -315,7 +328,7 @@ def encode(
         size = np.concatenate([none, *(_numbers(sizes[i]) for i in order)]).astype(np.int64)
         flat = np.concatenate([none, *(_numbers(ids[i]) for i in order)]).astype("<u4")
         start = np.cumsum(size) - size
-        doc_ids, counts, out = [], [], []
+        doc_ids, counts, out, plain = [], [], [], []
         for row in texts.select(["doc_ids", "sizes", "numbers"]).to_pylist():
             numbers, at = _numbers(row["numbers"]), 0
             for doc_id, n in zip(row["doc_ids"], row["sizes"], strict=True):
@@ -325,30 +338,38 @@ def encode(
                 doc_ids.append(doc_id)
                 counts.append(len(found))
                 out.append(found.tobytes())
-        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()),
-                         "n_tokens": pa.array(counts, pa.int64()),
-                         "ids": pa.array(out, pa.binary())})
+                if pieces:
+                    plain.append(_join(pieces.value, found))
+        columns = {"doc_id": pa.array(doc_ids, pa.int64()),
+                   "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(out, pa.binary())}
+        return pa.table(columns | ({"decoded": pa.array(plain, pa.binary())} if pieces else {}))
 
     texts = batches.select("batch", "doc_ids", "sizes", "numbers")
     return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        look_up, "doc_id long, n_tokens long, ids binary")
+        look_up, "doc_id long, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` (doc_id, n_tokens, ids) with ``decoded``: the pieces of its ids, concatenated."""
-    ranks = load_ranks(path)
-    pieces: list = [b""] * (max(ranks.values()) + 1)
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values()) + 1)
     for word, rank in ranks.items():
         pieces[rank] = word
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    return pieces
+
+
+def _join(pieces: list[bytes], ids: np.ndarray) -> bytes:
+    return b"".join(map(pieces.__getitem__, ids.tolist()))
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``encoded`` (doc_id, n_tokens, ids) with ``decoded``: the pieces of its ids, concatenated."""
+    shared = encoded.sparkSession.sparkContext.broadcast(_pieces(load_ranks(path)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pick = shared.value.__getitem__
         for batch in parts:
             for part in slices(batch, "ids"):
                 data, offsets = text_bytes(part.column("ids"))
                 numbers = np.frombuffer(data.tobytes(), "<u4")
-                out = [b"".join(map(pick, numbers[a // 4:b // 4].tolist())) for a, b in zip(
+                out = [_join(shared.value, numbers[a // 4:b // 4]) for a, b in zip(
                     offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("doc_id", "n_tokens", "ids")),

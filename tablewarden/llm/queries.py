@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 
-from .byte_bpe import decode, encode
+from .byte_bpe import encode
 from .chat import format_conversations, read_back
 from .exact_dedup import exact_duplicates
 from .line_dedup import drop_repeated_lines
@@ -40,9 +40,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    test = spark.createDataFrame(
-        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn int, role string,"
-        " text string")
+    test = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"))
     read = read_back(format_conversations(rows.unionByName(test)))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
@@ -90,7 +91,7 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.tiktoken")
-    decoded = decode(encode(_table(spark, folder, "documents"), path, PATTERN), path)
+    decoded = encode(_table(spark, folder, "documents"), path, PATTERN, decoded=True)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
