@@ -14,7 +14,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -65,31 +65,55 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator) -> list[tupl
     return nodes
 
 
-def _samples(data: DataFrame, n: int, trees: int, sample: int, seed: int) -> DataFrame:
-    """``sample`` random rows per tree (nearly all rows if there are fewer), with ``tree``.
+def _copies(data: DataFrame, share: float, seed: int) -> DataFrame:
+    """Each row of ``data`` with probability ``share``, as the values and ``copy``, which numbers
+    equal rows.
 
-    The lowest hashes of a tree, ties by value. Equal rows are picked together.
+    Equal rows are counted first, and the number of copies kept is a binomial draw from the hash of
+    the values: the gap before the first copy kept is geometric, what follows it is drawn in Python.
     """
-    # Picks are hashes of the values, so they do not depend on how the rows are spread. Thin first:
-    # only a pool of fixed expected size is copied per tree.
     values = data.columns
+    tuples = data.groupBy(*values).agg(F.count("*").alias("n_equal"))
+    if share < 1:
+        key = F.xxhash64(*values, F.lit(seed))
+        gap = F.floor(F.log1p(-F.shiftrightunsigned(key, 11) / F.lit(2.0**53))
+                      / F.lit(float(np.log1p(-share))))
+
+        def draw(rest: pd.Series, keys: pd.Series) -> pd.Series:
+            return pd.Series([
+                1 + int(np.random.default_rng([seed, k & (2**64 - 1)]).binomial(r, share)) if r else 1
+                for r, k in zip(rest.tolist(), keys.tolist(), strict=True)], dtype="int64")
 
-    def below(share: float, *key) -> Column:
-        return F.shiftrightunsigned(F.xxhash64(*key), 11) < int(share * 2.0**53)
+        tuples = tuples.withColumns({"rest": F.col("n_equal") - 1 - gap, "key": key})
+        tuples = tuples.filter(F.col("rest") >= 0).withColumn(
+            "n_equal", F.pandas_udf(draw, "long")("rest", "key"))
+    return tuples.select(
+        *values, F.explode(F.sequence(F.lit(0), F.col("n_equal") - 1)).alias("copy"))
 
-    pool, wanted = data, 8.0 * trees * sample
-    if n > wanted:
-        pool = data.filter(below(wanted / n, *values, F.lit(seed)))
-        n = int(wanted)
+
+def _samples(data: DataFrame, n: int, trees: int, sample: int, seed: int) -> DataFrame:
+    """``sample`` random rows per tree (all rows if there are fewer), with ``tree``.
+
+    The lowest hashes of a tree, ties by value. Equal rows are picked one by one.
+    """
+    # Picks are hashes of the values and of a number among equal rows, so they do not depend on how
+    # the rows are spread. Thin first: only a pool of fixed expected size is copied per tree.
+    values = data.columns
+    wanted = 8.0 * trees * sample
+    pool = _copies(data, min(1.0, wanted / n), seed)
+    # A frequent value's copies leave the task that counted them.
+    parts = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pool = pool.repartition(parts, *values, "copy")
     copies = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    pick = F.xxhash64(*values, "tree", F.lit(seed + 1))
-    copies = copies.filter(below(min(1.0, 8.0 * sample / n), *values, "tree", F.lit(seed + 1)))
-    copies = copies.withColumn("pick", pick)
-    order = W.partitionBy("tree").orderBy(F.shiftrightunsigned("pick", 11), *values)
+    copies = copies.withColumn("pick", F.xxhash64(*values, "copy", "tree", F.lit(seed + 1)))
+    share = min(1.0, 8.0 * sample / min(n, int(wanted)))
+    order = F.shiftrightunsigned("pick", 11)
+    copies = copies.filter(order < int(share * 2.0**53))
+    first = W.partitionBy("tree").orderBy(order, *values, "copy")
     return (
-        copies.withColumn("place", F.row_number().over(order))
+        copies.withColumn("place", F.row_number().over(first))
         .filter(F.col("place") <= sample)
-        .drop("place")
+        .drop("place", "copy")
     )
 
 

@@ -154,3 +154,21 @@ def test_gate_summary(dirty):
     row = gate_summary(dirty).first()
     assert row["rows_before"] - row["rows_after"] == row["exact_duplicates_removed"] > 0
     assert 0 < row["health_score"] <= 100
+
+
+def test_forest_samples_rows_not_distinct_values(spark):
+    ties = spark.range(100_000).selectExpr("cast(id % 11 as double) as v0")
+    forest = anomalies.fit_forest(ties, ["v0"])
+    grown = forest["child"].any(axis=1)
+    assert grown.all()
+    picked = anomalies._samples(ties, 100_000, 100, 256, 7).groupBy("tree", "v0").count().collect()
+    assert len({r["tree"] for r in picked}) == 100
+    assert sum(r["count"] for r in picked) == 100 * 256
+    share = sum(r["count"] for r in picked if r["v0"] == 3) / 25_600
+    assert abs(share - 1 / 11) < 0.02
+
+    hot = spark.range(300_000).selectExpr("if(id % 3 = 0, -1D, cast(id as double)) as v0")
+    picked = anomalies._samples(hot, 300_000, 100, 256, 7)
+    assert abs(picked.filter("v0 = -1").count() / 25_600 - 1 / 3) < 0.03
+    spread = anomalies._samples(hot.repartition(7), 300_000, 100, 256, 7)
+    assert picked.exceptAll(spread).isEmpty() and picked.count() == spread.count() == 25_600
