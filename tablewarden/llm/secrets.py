@@ -32,10 +32,33 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _GITHUB = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 _PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+_PEM_END = re.compile(r"-----END [A-Z ]{0,40}PRIVATE KEY-----")
+# What follows a header without an end line: fields and an empty line, then lines of base64. A line
+# break may be written as an escape, and a line may be indented, quoted or follow on the same line.
+_BREAK = r"""[ \t"',]*+(?:\\r)?(?:\\n|\r?\n|\r)[ \t>#*|"']*+"""
+_PEM_REST = re.compile(
+    rf"(?:(?:{_BREAK}[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)++{_BREAK}(?={_BREAK}))?"
+    rf"(?:{_BREAK}[A-Za-z0-9+/]++=*+(?=[ \t\"',;)]*+(?:[\\\r\n]|\Z))|[ \t]++[A-Za-z0-9+/]{{32,}}+=*+)*+")
+_NOT_KEY = re.compile(r"\\[rnt]|[^A-Za-z0-9+/=]")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 _DIGIT = re.compile(r"[0-9]")
 
 
+def _pem_blocks(text: str) -> list[tuple[int, int, int, str]]:
+    """Private keys from BEGIN to END, without END to the last base64 line; the value is the key
+    without its line breaks. A header without a key is none."""
+    found = []
+    for m in _PEM.finditer(text):
+        start = m.end()
+        after = text.find("-----BEGIN ", start)
+        closing = _PEM_END.search(text, start, after if after >= 0 else len(text))
+        end = closing.end() if closing else _PEM_REST.match(text, start).end()
+        value = _NOT_KEY.sub("", text[start:closing.start() if closing else end])
+        if value:
+            found.append((m.start(), 5, end, value))
+    return found
+
+
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind number, end, value) by start and kind; offsets in code points, end exclusive."""
     found = []
@@ -48,9 +71,11 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
         found += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
     if _DIGIT.search(text) or len(text) >= 16:
         found += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
-    for kind, hint, pattern in ((3, "gh", _GITHUB), (4, "eyJ", _JWT), (5, "PRIVATE KEY", _PEM)):
+    for kind, hint, pattern in ((3, "gh", _GITHUB), (4, "eyJ", _JWT)):
         if hint in text:
             found += [(m.start(), kind, m.end(), m[0]) for m in pattern.finditer(text)]
+    if "PRIVATE KEY" in text:
+        found += _pem_blocks(text)
     if _DIGIT.search(text):
         taken = sorted((s, e) for s, _, e, _ in found)
         at = 0

@@ -347,3 +347,24 @@ def test_trees_follow_random_edits(monkeypatch):
             assert text == want and tree.total == (len(text), counter.count(text))
             for below, level in zip(tree.levels, tree.levels[1:], strict=False):
                 assert level == token_counts.Tree._above(below)
+
+
+def test_private_keys_are_whole_blocks(spark):
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    keys = {s: [(s * 64)[:64], f"{s}9+/{s}=="] for s in "ABCDE"}
+    block = {s: "\n".join([head, *lines, tail]) for s, lines in keys.items()}
+    cut = "\n".join([head, "Proc-Type: 4,ENCRYPTED", "", *keys["D"]])
+    escaped = "\\n".join([head, *keys["B"], tail])
+    rows = [(1, "s1", f"one {block['A']} end"), (2, "s2", f'{{"k": "{escaped}"}}'),
+            (3, "s3", f"{block['C']}\nmore text"), (4, "s4", f"{cut}\nmore text follows"),
+            (5, "s5", f"{head} opens a key file"), (6, "s6", f"{cut[:len(head) + 60]}"),
+            *((i, f"s{i}", f"manual {block['E']}") for i in (7, 8, 9))]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    assert clean[1] == "one [REDACTED] end" and clean[2] == '{"k": "[REDACTED]"}'
+    assert clean[3] == "[REDACTED]\nmore text" and clean[4] == "[REDACTED]\nmore text follows"
+    assert clean[5] == rows[4][2] and clean[6] == "[REDACTED]"
+    assert all(clean[i] == rows[i - 1][2] for i in (7, 8, 9))
+    found = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
+    assert found[1].spans == f"pem:4:{4 + len(block['A'])}"
+    assert found[7].n_live == 0 and found[7].spans == ""
