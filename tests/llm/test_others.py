@@ -245,3 +245,16 @@ def test_pipeline_keeps_what_it_should(spark):
 def test_similar_small_sets_share_keys():
     assert near_dup.boundary({n: 100 for n in range(1, 25)}) >= 5
     assert near_dup.subset_count(4) == 2  # the set itself, for partners of four and of five
+
+
+def test_quality_by_words_alone(spark):
+    """Both labels have the same shape: words of equal lengths between the same signs."""
+    rng = np.random.default_rng(5)
+    clean = ["river", "stone", "bread", "night", "green", "table", "plant", "house"]
+    spam = ["cheap", "bonus", "click", "prize", "lucky", "offer", "money", "deals"]
+    texts = [" ".join(rng.choice((spam, clean)[i % 2], 30)) + "." for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    held = [r for r in quality.score_quality(docs, labels).collect() if r.held_out]
+    assert len(held) > 50 and all(r.predicted == r.doc_id % 2 for r in held)
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in held)
