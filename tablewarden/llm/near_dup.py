@@ -366,6 +366,46 @@ def _unit_links(rows, sizes, sets, left, right) -> tuple[np.ndarray, np.ndarray]
     return i[once], j[once]
 
 
+def planned(member: DataFrame, parts: int) -> DataFrame:
+    """Units of work, planned without the sets: doc_id, text_key, row, n, unit, side, bucket.
+
+    A bucket holds about TASK_SETS rows, whatever the size of the clusters.
+    """
+    # Sizes of similar sets are in one band or in neighbouring ones.
+    band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
+    whole = member.groupBy("cluster").agg(F.count("*").alias("held"))
+    fields = ["doc_id", "text_key", "row", "n", "unit", "side"]
+    sized = staged(member.withColumn("band", band).join(whole, "cluster"), "sized")
+    small = sized.filter(F.col("held") <= BLOCK).select(
+        "doc_id", "text_key", "row", "n", hash64("cluster", F.lit(-1)).alias("unit"),
+        F.lit(0).alias("side"))
+    large = sized.filter(F.col("held") > BLOCK)
+    by_band = staged(large.groupBy("cluster", "band").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("rows")),
+        "bands")
+    near = by_band.select(
+        "cluster", F.col("band").alias("other_band"), F.col("blocks").alias("other_blocks"))
+    # A set of a large cluster goes to as many units as there are blocks in its band and beside it.
+    sides = by_band.select("cluster", "rows", F.explode(
+        F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("other_band"))
+    copies = sides.join(near, ["cluster", "other_band"]).agg(
+        F.sum(F.col("rows") * F.col("other_blocks"))).first()[0] or 0
+    large = large.join(by_band.drop("rows"), ["cluster", "band"])
+    large = large.withColumn("block", F.pmod(hash64("row"), "blocks").cast("int"))
+    large = large.withColumn(
+        "other_band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    large = large.join(near, ["cluster", "other_band"])
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
+    own = F.struct(F.col("band").alias("band"), F.col("block").alias("block"))
+    other = F.struct(F.col("other_band").alias("band"), F.col("other").alias("block"))
+    large = large.withColumns({
+        "unit": hash64("cluster", F.least(own, other), F.greatest(own, other)),
+        "side": F.when(own == other, 0).when(own < other, 1).otherwise(2)})
+    buckets = max(parts, math.ceil((small.count() + copies) / TASK_SETS))
+    return small.unionByName(large.select(*fields)).withColumn(
+        "bucket", F.pmod("unit", F.lit(buckets)))
+
+
 def verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, parts: int) -> DataFrame:
     """(a, b): a spanning forest of the links between sets of one cluster (node, component).
 
@@ -397,34 +437,7 @@ def verified(docs: DataFrame, sets: DataFrame, clusters: DataFrame, parts: int)
     again = docs.withColumn("place", place).mapInArrow(
         read, "doc_id long, text_key long, hashes binary")
 
-    # Units of work are planned without the sets. Sizes of similar sets are in one band or in
-    # neighbouring ones.
-    band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
-    whole = member.groupBy("cluster").agg(F.count("*").alias("held"))
-    fields = ["doc_id", "text_key", "row", "n", "unit", "side"]
-    sized = staged(member.withColumn("band", band).join(whole, "cluster"), "sized")
-    small = sized.filter(F.col("held") <= BLOCK).select(
-        "doc_id", "text_key", "row", "n", hash64("cluster", F.lit(-1)).alias("unit"),
-        F.lit(0).alias("side"))
-    large = sized.filter(F.col("held") > BLOCK)
-    by_band = large.groupBy("cluster", "band").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    near = by_band.select(
-        "cluster", F.col("band").alias("other_band"), F.col("blocks").alias("other_blocks"))
-    large = large.join(by_band, ["cluster", "band"])
-    large = large.withColumn("block", F.pmod(hash64("row"), "blocks").cast("int"))
-    large = large.withColumn(
-        "other_band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    large = large.join(near, ["cluster", "other_band"])
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)))
-    own = F.struct(F.col("band").alias("band"), F.col("block").alias("block"))
-    other = F.struct(F.col("other_band").alias("band"), F.col("other").alias("block"))
-    large = large.withColumns({
-        "unit": hash64("cluster", F.least(own, other), F.greatest(own, other)),
-        "side": F.when(own == other, 0).when(own < other, 1).otherwise(2)})
-    buckets = max(parts, math.ceil(sized.count() / TASK_SETS))
-    units = small.unionByName(large.select(*fields)).withColumn(
-        "bucket", F.pmod("unit", F.lit(buckets)))
+    units = planned(member, parts)
     same = [again[c].eqNullSafe(units[c]) for c in ("doc_id", "text_key")]
     work = units.join(again, same).select(
         units["bucket"], units["unit"], units["side"], units["row"], units["n"], again["hashes"])

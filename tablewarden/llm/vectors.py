@@ -227,15 +227,17 @@ def near_vectors(
     places = described.select("rep", "label", "size", F.explode("list").alias("pivot"))
     lengths = places.groupBy("label", "size", "pivot").agg(
         F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("held"))
-    lengths = lengths.filter("held > 1")
+    lengths = staged(lengths.filter("held > 1"), "lengths")
     posted = described.select("*", F.explode("list").alias("pivot")).join(
         lengths, ["label", "size", "pivot"])
     posted = posted.withColumn("block", F.pmod(hash64("rep"), "blocks").cast("int"))
     posted = posted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     posted = posted.withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    # A row of a list goes to as many pairs of blocks as the list has blocks.
+    copies = lengths.agg(F.sum(F.col("held") * F.col("blocks"))).first()[0] or 0
     buckets = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * length / TASK_ROWS))
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(copies / TASK_ROWS))
     posted = posted.withColumn(
         "bucket", F.pmod(hash64("label", "size", "pivot", "i", "j"), F.lit(buckets)))
     found = staged(

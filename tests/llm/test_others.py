@@ -258,3 +258,20 @@ def test_quality_by_words_alone(spark):
     held = [r for r in quality.score_quality(docs, labels).collect() if r.held_out]
     assert len(held) > 50 and all(r.predicted == r.doc_id % 2 for r in held)
     assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in held)
+
+
+def test_buckets_of_a_long_list_keep_their_bound(spark, monkeypatch):
+    seen, links = [], vectors._links
+
+    def spied(posted, *rest):
+        held = posted.groupBy("bucket").count().collect()
+        seen.append(max(r["count"] for r in held))
+        return links(posted, *rest)
+
+    monkeypatch.setattr(vectors, "_links", spied)
+    monkeypatch.setattr(vectors, "TASK_ROWS", 500)
+    rng = np.random.default_rng(2)
+    rows = [(i, [1.0, *map(float, rng.normal(size=7) * 0.01)], 1) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    vectors.near_vectors(df, block=8, pivots=16).count()
+    assert seen and max(seen) <= 4 * 500

@@ -368,3 +368,13 @@ def test_private_keys_are_whole_blocks(spark):
     found = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
     assert found[1].spans == f"pem:4:{4 + len(block['A'])}"
     assert found[7].n_live == 0 and found[7].spans == ""
+
+
+def test_buckets_of_a_large_cluster_keep_their_bound(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    monkeypatch.setattr(near_dup, "TASK_SETS", 200)
+    member = spark.range(1500).selectExpr(
+        "id as doc_id", "id as text_key", "id as row", "1L as cluster", "cast(200 as int) as n")
+    held = near_dup.planned(member, 2).groupBy("bucket").count().collect()
+    assert sum(r["count"] for r in held) == 1500 * 94  # blocks of 16
+    assert max(r["count"] for r in held) <= 4 * 200
