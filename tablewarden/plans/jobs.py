@@ -29,22 +29,25 @@ COLUMNS_SCHEMA = (
 BOUNDS_SCHEMA = "column_name string, min double, max double"
 
 
-def read_input(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+def read_input(
+    spark: SparkSession, path: str, kind: str | None = None, multiline: bool = False
+) -> DataFrame:
     """A Parquet or CSV table; ``kind`` is taken from the name unless given.
 
     A CSV file is parsed once: later steps read the columns they need from the
-    staged copy.
+    staged copy. ``multiline`` keeps quoted line breaks of a CSV file, see ``read_csv``.
     """
     kind = kind or ("csv" if path.endswith(".csv") else "parquet")
     if kind == "csv":
-        return stage(read_csv(spark, path), "input")
+        return stage(read_csv(spark, path, multiline=multiline), "input")
     return spark.read.format(kind).load(path)
 
 
 def profile_job(
-    spark: SparkSession, path: str, output: str, kind: str | None = None, charts: bool = True
+    spark: SparkSession, path: str, output: str, kind: str | None = None, charts: bool = True,
+    multiline: bool = False,
 ) -> None:
-    _profile(read_input(spark, path, kind), path, output, charts)
+    _profile(read_input(spark, path, kind, multiline), path, output, charts)
 
 
 def _profile(df: DataFrame, path: str, output: str, charts: bool) -> None:
@@ -62,9 +65,10 @@ def stored_bounds(spark: SparkSession, output: str) -> dict[str, tuple]:
 
 
 def clean_job(
-    spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False
+    spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False,
+    multiline: bool = False,
 ) -> None:
-    _clean(read_input(spark, path, kind), output, as_csv)
+    _clean(read_input(spark, path, kind, multiline), output, as_csv)
 
 
 def _clean(df: DataFrame, output: str, as_csv: bool) -> None:
@@ -107,10 +111,10 @@ def validate_job(spark: SparkSession, output: str) -> None:
 
 def gate_job(
     spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False,
-    charts: bool = True,
+    charts: bool = True, multiline: bool = False,
 ) -> None:
     """All three stages on one input, which is read into the application once."""
-    df = read_input(spark, path, kind)
+    df = read_input(spark, path, kind, multiline)
     _profile(df, path, output, charts)
     _clean(df, output, as_csv)
     validate_job(spark, output)

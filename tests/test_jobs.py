@@ -1,4 +1,9 @@
-from tablewarden.plans.jobs import gate_job, stored_profile
+import sys
+
+import pytest
+
+from tablewarden import __main__ as command
+from tablewarden.plans.jobs import clean_job, gate_job, profile_job, read_input, stored_profile
 from tablewarden.sources.csv import write_csv
 
 
@@ -21,3 +26,24 @@ def test_gate_job_on_csv(spark, dirty, tmp_path):
     assert 0 < health["health_score"] <= 100
     checks = {(r["column_name"], r["check"]) for r in rows(spark, f"{output}/validation/checks")}
     assert {("email", "email"), ("nps_score", "range"), ("tenure_months", "negatives")} <= checks
+
+
+@pytest.mark.parametrize("way", ["gate", "apart", "command"])
+def test_jobs_keep_quoted_line_breaks(spark, tmp_path, monkeypatch, way):
+    source, output = str(tmp_path / "in.csv"), str(tmp_path / "out")
+    with open(source, "w") as f:
+        f.write("id,note\n" + "".join(f'{i},"first {i}\nsecond, {i}"\n' for i in range(30)))
+    if way == "gate":
+        gate_job(spark, source, output, as_csv=True, charts=False, multiline=True)
+    elif way == "apart":
+        profile_job(spark, source, output, charts=False, multiline=True)
+        clean_job(spark, source, output, as_csv=True, multiline=True)
+    else:
+        monkeypatch.setattr(
+            sys, "argv", ["tablewarden", source, output, "--multiline", "--csv", "--no-figures"])
+        command.main()
+    cleaned = spark.read.parquet(f"{output}/cleaned")
+    want = {(i, f"first {i}\nsecond, {i}") for i in range(30)}
+    assert set(map(tuple, cleaned.select("id", "note").collect())) == want
+    again = read_input(spark, f"{output}/cleaned_csv", "csv", multiline=True)
+    assert set(map(tuple, again.select("id", "note").collect())) == want
