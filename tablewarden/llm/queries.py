@@ -16,6 +16,7 @@ from .line_dedup import drop_repeated_lines
 from .near_dup import near_duplicates
 from .packing import pack
 from .quality import score_quality
+from .repair import repair_damaged
 from .secrets import find_secrets
 from .token_counts import edited_counts
 from .vectors import near_vectors
@@ -97,6 +98,11 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The cheapest repair of every conversation after planted damage."""
+    return repair_damaged(_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -108,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_repair": op11_repair,
 }
 
 ORACLES: dict[str, str] = {
