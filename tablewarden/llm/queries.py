@@ -1,6 +1,7 @@
 """The operators applied to the given tables: name -> function of (spark, folder), and SQL."""
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from .exact_dedup import exact_duplicates
 from .line_dedup import drop_repeated_lines
 from .near_dup import near_duplicates
 from .packing import pack
+from .periodic import collapse_runs
 from .quality import score_quality
 from .repair import repair_damaged
 from .secrets import find_secrets
@@ -103,6 +105,29 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_damaged(_table(spark, folder, "conversations"))
 
 
+def _with_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents repeat their words from some word on; without an id none does."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + i % period] for i in range(n - start)]
+
+
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words in every document, after planting some."""
+    cut = collapse_runs(_table(spark, folder, "documents"), prepare=_with_period)
+    line = "concat(r.start, ',', r.length, ',', r.period, '\n')"
+    longest = "array_max(transform(runs, r -> struct(r.length as n, -r.start as s, -r.period as q)))"
+    return cut.selectExpr("*", f"{longest} as top").selectExpr(
+        "doc_id", "cast(size(runs) as long) as n_runs", "-top.s as start", "top.n as length",
+        "-top.q as period", "1000 * top.n div -top.q as exponent_milli",
+        f"sha2(array_join(transform(runs, r -> {line}), ''), 256) as runs_sha256",
+        "sha2(text, 256) as collapsed_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -115,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_repair": op11_repair,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLES: dict[str, str] = {
