@@ -13,6 +13,7 @@ from public_tokenizers import path as tokenizer_path
 from .byte_bpe import encode
 from .chat import format_conversations, read_back
 from .exact_dedup import exact_duplicates
+from .language import detect_language, train_network
 from .line_dedup import drop_repeated_lines
 from .near_dup import near_duplicates
 from .packing import pack
@@ -105,6 +106,11 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_damaged(_table(spark, folder, "conversations"))
 
 
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return detect_language(docs, *train_network(docs))
+
+
 def _with_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """A tenth of the documents repeat their words from some word on; without an id none does."""
     h = zlib.crc32(str(doc_id).encode())
@@ -140,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_repair": op11_repair,
+    "op12_language": op12_language,
     "op13_periodic": op13_periodic,
 }
 
