@@ -24,17 +24,22 @@ LANGUAGES = 512
 
 #: Bytes read in a row; longer words are read in pieces.
 PIECE = 32
-_HIDDEN = 16
+_HIDDEN = 8
 _EPOCHS = 5
 _BATCH = 256
 _RATE = 0.01
-_ROWS = 4096  # pieces that run at once
-_KEPT = 200_000  # distinct words, and their bytes, that a task keeps
-_KEPT_BYTES = 4_000_000
+_ROWS = 1024  # pieces that run at once
+_KEPT = 400_000  # distinct words, and their bytes, that a task keeps
+_KEPT_BYTES = 8_000_000
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _sigmoid(x: np.ndarray) -> None:
+    """In place; very negative numbers overflow to an exact 0."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
 
 
 class ByteGru:
@@ -55,18 +60,27 @@ class ByteGru:
         n, length = x.shape
         k = self.hidden
         read, turn = self.weights[f"read{way}"], self.weights[f"turn{way}"]
-        out = np.empty((n, length, k))
+        read_gates, read_fresh = read[:, :2 * k].copy(), read[:, 2 * k:].copy()
+        out = np.empty((length, n, k))
         state = np.zeros((n, k))
         for t in range(length) if way == 0 else range(length - 1, -1, -1):
-            seen, own = read[x[:, t]], state @ turn
-            gates = _sigmoid(seen[:, :2 * k] + own[:, :2 * k])
+            own = state @ turn
+            gates, fresh = read_gates.take(x[:, t], axis=0), read_fresh.take(x[:, t], axis=0)
+            gates += own[:, :2 * k]
+            _sigmoid(gates)
             update, reset = gates[:, :k], gates[:, k:]
-            fresh = np.tanh(seen[:, 2 * k:] + reset * own[:, 2 * k:])
+            fresh += reset * own[:, 2 * k:]
+            fresh *= 2  # tanh(x) = 2 sigmoid(2 x) - 1
+            _sigmoid(fresh)
+            fresh *= 2
+            fresh -= 1
             if trace is not None:
                 trace.append((t, state, update, reset, fresh, own[:, 2 * k:]))
-            state = fresh + update * (state - fresh)
-            out[:, t] = state
-        return out
+            mixed = np.subtract(state, fresh, out=out[t])
+            mixed *= update
+            mixed += fresh
+            state = mixed
+        return out.transpose(1, 0, 2)
 
     def label(self, x: np.ndarray) -> np.ndarray:
         """(rows, positions, classes): probabilities at every byte of rows of equal length."""
@@ -172,17 +186,20 @@ def train_network(
     """
     known = df.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.length("text") > 0)
-    found = known.select("lang").distinct().limit(LANGUAGES + 1).collect()
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = known.groupBy("lang").count().limit(LANGUAGES + 1).collect()
     languages = sorted(r["lang"] for r in found)
     if len(languages) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} different languages")
     if not languages:
         return None, []
     docs = max(1, min(DOCS_PER_LANGUAGE, PIECES // (PIECES_PER_DOC * len(languages))))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(
-        hash64("doc_id", "text"), "doc_id", hash64("text")))
-    sample = known.withColumn("place", place).filter(F.col("place") <= docs)
+    # First a share of each language's rows by hash that holds enough of them, so that few move.
+    shares = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], 2.0 * docs / r["count"])])
+    key = hash64("doc_id", "text")
+    drawn = known.filter(key / 2.0 ** 64 + 0.5 < shares[F.col("lang")])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(key, "doc_id", hash64("text")))
+    sample = drawn.withColumn("place", place).filter(F.col("place") <= docs)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
