@@ -24,7 +24,7 @@ def pii_columns(facts: DataFrame) -> DataFrame:
     return classify(facts).filter(one_of("expected_type", fixed.PII_TYPES)).selectExpr(
         "column_name",
         "expected_type as semantic_type",
-        "concat('values or name suggest ', expected_type) as reason",
+        "concat('values or name suggest ', replace(expected_type, '_', ' ')) as reason",
     )
 
 

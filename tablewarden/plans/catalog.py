@@ -13,13 +13,16 @@ from ..operators import (
     visual,
 )
 from ..operators.facts import collect_facts, column_facts
+from ..sources.arrivals import deliveries, replay
 from ..sources.csv import mark_missing, promote_types, read_csv, write_csv
 from ..sources.dirty import dirty_customers, plant_faults
 from ..sources.reports import read_report, write_report
 from ..sources.synthetic import inject_issues, synthetic_customers
 from ..sources.tables import read_table
 from ..storage import scratch
+from ..streaming.dedup import dedup_results, dedup_stream
 from ..streaming.gate import check_stream, stream_results
+from ..streaming.quality import quality_stream, quality_windows
 from .clean import clean_scores, clean_table
 from .gate import gate_summary
 from .profile import report_digest
@@ -176,6 +179,30 @@ def _stream_gate(spark: SparkSession, folder: str) -> DataFrame:
     return stream_results(spark, path)
 
 
+def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as late and repeated deliveries, each let through once."""
+    arriving = deliveries(read_table(spark, folder, "events"))
+    path = scratch(spark, "stream")
+    replay(arriving, path, lambda rows: dedup_stream(
+        rows, ["event_id"], "ts", "1 hour", path, salt=4))
+    return dedup_results(spark, path, arriving.drop("delivery").schema).drop("ts")
+
+
+def _stream_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed days of the same deliveries, held to the categories and bounds of the event table."""
+    events = read_table(spark, folder, "events")
+    contract = [
+        *checks.range_checks(events.select("value"), checks.numeric_bounds(events, ["value"])),
+        checks.Check("value", "negatives"),
+        *checks.membership_checks(checks.allowed_values(events, ["event_type"])),
+    ]
+    path = scratch(spark, "stream")
+    replay(deliveries(events), path, lambda rows: quality_stream(
+        rows, contract, "ts", "1 day", "1 hour", path))
+    return quality_windows(spark, path).selectExpr(
+        "date_format(window_start, 'yyyy-MM-dd') as day", "column_name", "n_rows", "missing", "invalid")
+
+
 def _with_infinity(df: DataFrame) -> DataFrame:
     """One column with an infinite value among its largest."""
     return df.selectExpr(
@@ -332,6 +359,8 @@ QUERIES: dict[str, Query] = {
     "anomalies_iforest": _of("lineitem", _anomalies),
     "anomalies_planted": _of("lineitem", _planted_anomalies),
     "stream_gate": _stream_gate,
+    "stream_dedup": _stream_dedup,
+    "stream_quality": _stream_quality,
     # the whole gate
     "gate_summary": _of("dirty", gate_summary),
     # all but what the forest decides

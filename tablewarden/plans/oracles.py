@@ -596,7 +596,7 @@ from (select *, case expected_type when 'email' then email when 'phone' then pho
     when 'postcode' then postcode end as matching from facts)
 where p > matching"""
 PII = """select column_name, expected_type as semantic_type,
-  'values or name suggest ' || coalesce(hint, semantic_type) as reason from facts
+  'values or name suggest ' || replace(coalesce(hint, semantic_type), '_', ' ') as reason from facts
 where expected_type in ('email', 'phone', 'postcode', 'person_name', 'identifier')"""
 RATIO = ", ".join(
     half_up(f"case when p > 0 then {c} / cast(p as double) else 0 end", 4) + f" as {a}"
@@ -769,3 +769,43 @@ from ({ORACLES["dedup_log"]}), ({ORACLES["clean_scores"]}),
   ({ctes("dirty", *CLEANING)} select sum({" + ".join(
       f"case when {c} is null then 1 else 0 end" for c in DIRTY_COLUMNS)}) as missing_after
    from cleaned)"""
+
+# Deliveries of the events, and the watermark (whole milliseconds, less an hour) before each of them.
+ARRIVALS = """
+with bounds as (
+  select min(epoch_us(ts)) as low, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 as span from events),
+quarters as (
+  select event_id, ts, user_id, case when event_id % 19 = 0 then 'unknown' else event_type end
+           as event_type,
+         case when event_id % 13 = 0 then null when event_id % 17 = 0 then -value else value end
+           as value,
+         4 * (epoch_us(ts) - low) // span as own
+  from events, bounds),
+arrivals as (
+  select *, case when event_id % 10 = 3 then least(own + 2, 3) else own end as delivery from quarters
+  union all select *, least(own + 1, 3) from quarters where event_id % 5 = 0
+  union all select *, own from quarters where event_id % 20 = 1),
+marks as (
+  select number, max(epoch_us(ts) // 1000 * 1000) - 3600000000 as mark
+  from range(0, 5) n(number) left join arrivals on delivery < number group by number)
+"""
+ORACLES["stream_dedup"] = ARRIVALS + """
+select distinct event_id, user_id, event_type, value
+from arrivals join marks on number = delivery where mark is null or epoch_us(ts) > mark"""
+_BROKEN_EVENTS = {
+    "event_id": "false", "user_id": "false",
+    "event_type": "event_type not in (select event_type from events where event_type is not null)",
+    "value": "value < 0 or value not between (select min(value) from events)"
+    " and (select max(value) from events)",
+}
+ORACLES["stream_quality"] = ARRIVALS + """,
+days as (
+  select *, date_trunc('day', ts) as day, epoch_us(date_trunc('day', ts)) + 86400000000 as day_end
+  from arrivals),
+told as (
+  select days.* from days join marks on number = delivery
+  where (mark is null or day_end > mark) and day_end <= (select mark from marks where number = 4))
+""" + " union all ".join(
+    f"select strftime(day, '%Y-%m-%d') as day, '{c}' as column_name, count(*) as n_rows,"
+    f" count(*) - count({c}) as missing, count(*) filter ({c} is not null and ({test})) as invalid"
+    f" from told group by day" for c, test in _BROKEN_EVENTS.items())

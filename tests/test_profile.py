@@ -162,6 +162,13 @@ def test_dirty_email_is_pii_by_name(frame):
     assert sorted(r["example"] for r in examples) == ["bad", "nope"]
 
 
+def test_reason_names_the_type_in_words(frame):
+    names = ["Ann Lee", "Bo Diaz", "Cy Young", "Di Marsh", "Ed Stone", "Flo Kay"]
+    df = frame({"who": names, "born": ["2001-02-03"] * 6}, "who string, born string")
+    found = [tuple(r) for r in rules.pii_columns(column_facts(df)).collect()]
+    assert found == [("who", "person_name", "values or name suggest person name")]
+
+
 def test_constant_column_is_suspicious(frame):
     df = frame({"flag": ["Y"] * 3}, "flag string")
     assert rules.suspicious_columns(column_facts(df)).first()["reasons"] == "constant"
