@@ -89,6 +89,28 @@ def cells(df: DataFrame, columns: Iterable[str], data_type: str) -> DataFrame:
     return typed.unpivot([], [quoted(c) for c in names], "column_name", "value")
 
 
+def typed_cells(df: DataFrame, families: dict[str, list[str]]) -> tuple[DataFrame, dict[str, str]]:
+    """Long form of columns of several types from one read: column_name and a slot per family.
+
+    A cell stands in its family's slot, all others are null. Returns the slots by family too.
+    """
+    slots = {family: f"slot{i}" for i, family in enumerate(families)}
+    typed = [f"cast(null as {family}) as none{i}" for i, family in enumerate(families)]
+    picks, place = [], 0
+    for family, names in families.items():
+        for name in names:
+            typed.append(f"cast({present(df, name)} as {family}) as cell{place}")
+            row = ", ".join(
+                f"cell{place}" if f == family else f"none{i}" for i, f in enumerate(families))
+            picks.append(f"({row}) as {quoted(name)}")
+            place += 1
+    long_form = df.sparkSession.sql(
+        f"select * from {{typed}} unpivot include nulls (({', '.join(slots.values())})"
+        f" for column_name in ({', '.join(picks)}))",
+        typed=df.selectExpr(*typed))
+    return long_form.select("column_name", *slots.values()), slots
+
+
 def stacked(totals: DataFrame, fields: str, rows: Iterable[tuple[str, ...]]) -> DataFrame:
     """Turn a one-row aggregate into one row per column; rows are SQL expressions."""
     rows = list(rows)

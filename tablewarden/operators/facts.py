@@ -1,7 +1,7 @@
 """Column facts: one row of counts per column, the input of every profile rule.
 
-The table is read once per type family, each read limited to its own columns.
-Cells are grouped by value, which gives exact distinct counts, and text patterns
+The table is read once for all columns (wide ones in parts of their columns). Cells are grouped by
+value, which gives exact distinct counts, and text patterns
 are tested once per distinct value. What leaves the first shuffle is one row per
 distinct value; the second shuffle carries one row per task and column.
 """
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.dates import is_date
 from ..functions.text import literal, matches, strip, to_number
-from .columns import cells, column_frame, local_rows, present, stacked, typed_groups
-from .frequency import HEAD, text_frequencies
+from .columns import column_frame, local_rows, present, stacked, typed_cells, typed_groups
+from .frequency import HEAD, digest_of, head_of
 
 # Cheap conditions every match meets; they keep most values away from the
 # regular expressions, which have to decode the text first.
@@ -83,64 +83,54 @@ def only_words(bits: str, words: Iterable[str]) -> str:
     return f"({bits} > 0 and {bits} & {others}L = 0)"
 
 
-_BASE_COUNTS = (
-    "sum(n) as n_rows",
-    "sum(if(value is not null, n, 0L)) as n_present",
-    "count(value) as n_unique",
-)
-
-
-def _text_facts(df: DataFrame, names: list[str]) -> DataFrame:
-    # Long values do not pass the first shuffle whole, so they are tested before
-    # it; short ones after it, once per distinct value. Most long values fail all
-    # tests by their beginning; only the others are read in full. One that is
-    # short once trimmed goes along as ``padded``.
-    possible = matches(f"substring(value, 1, {HEAD})", _POSSIBLE)
-    long_form = cells(df, names, "string").selectExpr(
-        "*", f"if(length(value) > {HEAD} and {possible}, {strip('value')}, null) as text"
-    )
-    bits = [f"if({TESTS[t]}, {1 << i}, 0)" for i, t in enumerate(_LONG_TESTS)]
-    distinct = text_frequencies(
-        long_form,
-        F.expr(f"if(length(text) <= {HEAD}, text, null) as padded"),
-        F.expr(f"if(length(text) > {HEAD}, {' | '.join(bits)}, 0) as passed"),
-    ).selectExpr(
-        "column_name", "head as value", "n", "passed",
-        f"if(digest is null, {strip('head')}, padded) as text",
-    )
-    # Each test stands in its own aggregate, which Spark compiles separately.
-    counts = []
-    for name, test in TESTS.items():
-        if name in _LONG_TESTS:
-            test = f"passed & {1 << _LONG_TESTS.index(name)} != 0 or {test}"
-        counts.append(f"sum(if({test}, n, 0L)) as {name}")
-    words = (
-        f"bit_or(case when value is null then 0L when text is null then {_OTHER_WORD}L"
-        f" else {word_bits('text')} end) as words"
-    )
-    return distinct.groupBy("column_name").agg(*map(F.expr, [*_BASE_COUNTS, words, *counts]))
-
-
-def _native_facts(df: DataFrame, names: list[str], family: str) -> DataFrame:
-    if family == "bigint":
-        bits = (
-            f"case when value is null then 0L when value = 0 then {_bit('0')}L"
-            f" when value = 1 then {_bit('1')}L else {_OTHER_WORD}L end"
-        )
-    elif family == "boolean":
-        bits = (
-            f"case when value is null then 0L when value then {_bit('true')}L"
-            f" else {_bit('false')}L end"
-        )
+_COLUMNS_PER_READ = 48
+
+
+def _facts(df: DataFrame, families: dict[str, list[str]]) -> DataFrame:
+    """Facts of columns of all types from one read: cells are grouped by value, then by column."""
+    long_form, slots = typed_cells(df, families)
+    natives = [slots[f] for f in families if f != "string"]
+    keys = ["column_name", *natives]
+    is_present = [f"{s} is not null" for s in natives]
+    counts, words = [], ["case"]
+    for family, names in families.items():
+        slot = slots[family]
+        if family == "bigint":
+            words.append(f"when {slot} = 0 then {_bit('0')}L when {slot} = 1 then {_bit('1')}L")
+        elif family == "boolean":
+            words.append(f"when {slot} then {_bit('true')}L when not {slot} then {_bit('false')}L")
+        if family != "string":
+            words.append(f"when {slot} is not null then {_OTHER_WORD}L")
+    if "string" in families:
+        # Long values do not pass the first shuffle whole, so they are tested before
+        # it; short ones after it, once per distinct value. Most long values fail all
+        # tests by their beginning; only the others are read in full. One that is
+        # short once trimmed goes along as ``padded``.
+        possible = matches(f"substring(value, 1, {HEAD})", _POSSIBLE)
+        bits = [f"if({TESTS[t]}, {1 << i}, 0)" for i, t in enumerate(_LONG_TESTS)]
+        value = F.col("value")
+        distinct = long_form.withColumnRenamed(slots["string"], "value").selectExpr(
+            "*", f"if(length(value) > {HEAD} and {possible}, {strip('value')}, null) as text"
+        ).groupBy(
+            *keys, head_of(value).alias("head"), digest_of(value).alias("digest"),
+            F.expr(f"if(length(text) <= {HEAD}, text, null) as padded"),
+            F.expr(f"if(length(text) > {HEAD}, {' | '.join(bits)}, 0) as passed"),
+        ).agg(F.expr("count(*) as n")).selectExpr(
+            *keys, "head", "n", "passed", f"if(digest is null, {strip('head')}, padded) as text")
+        is_present.append("head is not null")
+        words.append(f"when text is not null then {word_bits('text')}"
+                     f" when head is not null then {_OTHER_WORD}L")
+        # Each test stands in its own aggregate, which Spark compiles separately.
+        for name, test in TESTS.items():
+            if name in _LONG_TESTS:
+                test = f"passed & {1 << _LONG_TESTS.index(name)} != 0 or {test}"
+            counts.append(f"sum(if({test}, n, 0L)) as {name}")
     else:
-        bits = f"if(value is null, 0L, {_OTHER_WORD}L)"
-    return (
-        cells(df, names, family)
-        .groupBy("column_name", "value")
-        .agg(F.expr("count(*) as n"))
-        .groupBy("column_name")
-        .agg(*map(F.expr, _BASE_COUNTS), F.expr(f"bit_or({bits}) as words"))
-    )
+        distinct = long_form.groupBy(*keys).agg(F.expr("count(*) as n"))
+    here = " or ".join(is_present)
+    return distinct.groupBy("column_name").agg(*map(F.expr, [
+        "sum(n) as n_rows", f"sum(if({here}, n, 0L)) as n_present", f"count_if({here}) as n_unique",
+        f"bit_or({' '.join(words)} else 0L end) as words", *counts]))
 
 
 def present_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -155,21 +145,28 @@ def present_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataF
     )
 
 
+def _chunks(families: dict[str, list[str]]) -> Iterable[dict[str, list[str]]]:
+    """The families' columns in parts of a number that one generated class can hold."""
+    every = [(family, name) for family, names in families.items() for name in names]
+    for start in range(0, len(every), _COLUMNS_PER_READ):
+        part: dict[str, list[str]] = {}
+        for family, name in every[start:start + _COLUMNS_PER_READ]:
+            part.setdefault(family, []).append(name)
+        yield part
+
+
 def column_facts(df: DataFrame) -> DataFrame:
     """One row per column: position, column_name, kind, data_type, n_rows,
     n_present, n_unique (NULL for nested columns), words (spelling bits) and the
     count of values passing each text test."""
-    parts = []
     grouped = typed_groups(df, df.columns)
-    for family, names in grouped.items():
-        if family == "string":
-            parts.append(_text_facts(df, names))
-        else:
-            parts.append(_native_facts(df, names, family))
+    parts = [_facts(df, part) for part in _chunks(grouped)]
     flat = {c for names in grouped.values() for c in names}
     nested = [c for c in df.columns if c not in flat]
     if nested:
         parts.append(present_counts(df, nested))
+    if not parts:
+        parts.append(present_counts(df, []))
     facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     # At most one row per column on both sides.

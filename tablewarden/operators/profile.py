@@ -15,41 +15,47 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from ..functions import fixed
-from ..functions.text import literal
+from ..functions.text import literal, quoted
 from .columns import local_rows, numeric_columns, present, stacked
 from .facts import present_counts
+from .measures import Measures, measure
 from .metadata import classify
 from .quantiles import exact_quantiles
 
-_AGGREGATE_CHUNK = 12   # columns per aggregation, to stay inside generated code
-
 # Executors need not have this package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def dataset_summary(df: DataFrame, source: str | None = None) -> DataFrame:
-    """Shape of the table; ``source`` says where it came from."""
-    return df.selectExpr(
+def dataset_summary(
+    df: DataFrame, source: str | None = None, known: Measures | None = None
+) -> DataFrame:
+    """Shape of the table; ``source`` says where it came from. Reads nothing if it is ``known``."""
+    one = local_rows(df.sparkSession, "one int", [(1,)]) if known else df
+    return one.selectExpr(
         f"{literal(source) if source else 'cast(null as string)'} as source",
-        "count(*) as rows",
+        f"{known.rows}L as rows" if known else "count(*) as rows",
         f"{len(df.columns)}L as columns",
         f"{literal('|'.join(df.columns))} as column_names",
     )
 
 
-def missing_per_column(df: DataFrame) -> DataFrame:
-    return present_counts(df).selectExpr(
+def _present(df: DataFrame, known: Measures | None) -> DataFrame:
+    return known.counts(df) if known else present_counts(df)
+
+
+def missing_per_column(df: DataFrame, known: Measures | None = None) -> DataFrame:
+    return _present(df, known).selectExpr(
         "column_name",
         "n_rows - n_present as missing",
         "round(try_divide(100D * (n_rows - n_present), n_rows), 2) as missing_pct",
     )
 
 
-def missing_overall(df: DataFrame) -> DataFrame:
+def missing_overall(df: DataFrame, known: Measures | None = None) -> DataFrame:
     def names(condition: str) -> str:
         return f"array_join(sort_array(collect_list(if({condition}, column_name, null))), '|')"
 
-    return present_counts(df).selectExpr(
+    return _present(df, known).selectExpr(
         "sum(n_rows - n_present) as total_missing_cells",
         "sum(n_rows) as total_cells",
         "round(try_divide(100D * sum(n_rows - n_present), sum(n_rows)), 2) as missing_pct",
@@ -100,27 +106,14 @@ def cardinality_approx(df: DataFrame, rsd: float = 0.02) -> DataFrame:
     )
 
 
-def numeric_moments(df: DataFrame, columns: Iterable[str] | None = None) -> list:
-    """Rows (column_name, rows, n, lo, hi, mean, std, skew), one per column with
-    values; ``rows`` counts the table, ``n`` the values.
+def numeric_moments(df: DataFrame, columns: Iterable[str] | None = None) -> list[dict]:
+    """One row (column_name, n, lo, hi, mean, std, skew) per column with values.
 
     One aggregation per group of columns; no shuffle beyond one row per task.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    rows = []
-    for start in range(0, len(names), _AGGREGATE_CHUNK):
-        chunk = names[start:start + _AGGREGATE_CHUNK]
-        typed = df.selectExpr(
-            *[f"cast({present(df, c)} as double) as v{i}" for i, c in enumerate(chunk)]
-        )
-        parts = [
-            f"struct({literal(c)} as column_name, count(*) as rows, count(v{i}) as n, min(v{i}) as lo,"
-            f" max(v{i}) as hi, avg(v{i}) as mean, stddev_samp(v{i}) as std,"
-            f" skewness(v{i}) as skew) as s{i}"
-            for i, c in enumerate(chunk)
-        ]
-        rows.extend(typed.selectExpr(*parts).first())
-    return [r for r in rows if r["n"]]
+    moments = measure(df.select(*[quoted(c) for c in names])).moments if names else {}
+    return [moments[c] for c in names if c in moments]
 
 
 @dataclass(frozen=True)
@@ -131,8 +124,13 @@ class Numbers:
     quartiles: dict[str, list[float]]
 
 
-def numbers_of(df: DataFrame, columns: Iterable[str] | None = None) -> Numbers:
-    moments = {m["column_name"]: m for m in numeric_moments(df, columns)}
+def numbers_of(
+    df: DataFrame, columns: Iterable[str] | None = None, known: Measures | None = None
+) -> Numbers:
+    if known:
+        moments = dict(known.moments)
+    else:
+        moments = {m["column_name"]: m for m in numeric_moments(df, columns)}
     extent = {c: (m["n"], m["lo"], m["hi"]) for c, m in moments.items()}
     return Numbers(moments, exact_quantiles(df, list(moments), (0.25, 0.5, 0.75), extent))
 

@@ -2,12 +2,8 @@
 from __future__ import annotations
 
 import math
-import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +12,21 @@ from ..functions.numbers import double
 from ..functions.text import literal, quoted
 from .columns import cells, local_rows, numeric_columns, present, stacked
 from .facts import present_counts
+from .measures import Measures
 from .profile import Numbers, numbers_of, numeric_moments
 from .quantiles import exact_quantiles
 
-# Executors need not have this package: its functions travel with the tasks.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def missing_patterns(df: DataFrame) -> DataFrame:
+def missing_patterns(df: DataFrame, known: Measures | None = None) -> DataFrame:
     """How many rows share each pattern of missing columns (1 = missing).
 
     Empty when nothing is missing.
     """
-    gaps = present_counts(df).filter("n_present < n_rows").limit(1).count()
+    if known:
+        gaps = len(known.gaps)
+        if not gaps:
+            return local_rows(df.sparkSession, "pattern string, n bigint", [])
+    else:
+        gaps = present_counts(df).filter("n_present < n_rows").limit(1).count()
     marks = ", ".join(f"if({present(df, c)} is null, '1', '0')" for c in df.columns)
     patterns = df.selectExpr(f"concat({marks}) as pattern")
     if not gaps:
@@ -116,62 +114,130 @@ def histogram(
     )
 
 
-def density_curve(
-    df: DataFrame, columns: Iterable[str] | None = None, points: int = 200,
-    known: Numbers | None = None,
-) -> DataFrame:
-    """Gaussian density estimate of the finite values on an even grid: x, density.
+# Power sums per bin, and bins per bandwidth. A value is at most 1/64 bandwidth from its bin's middle,
+# so what the series leaves out is below (|t| / 64)^10 / 10! of a value's share, t bandwidths away.
+_POWERS = 10
+_BINS_PER_WIDTH = 32
 
-    Scott's bandwidth, three bandwidths beyond the data on each side. One read for all columns; each
-    task adds its values to the grids and passes on ``points`` sums per column.
-    """
-    names = _wanted(df, columns)
-    finite = _finite(df, names)
-    grid = []
+
+def _hermite() -> list[list[float]]:
+    """Coefficients of the Hermite polynomials: exp(-(t - u)^2 / 2) = exp(-t^2 / 2) sum He_k(t) u^k / k!"""
+    rows = [[1.0], [0.0, 1.0]]
+    for k in range(1, _POWERS - 1):
+        shifted = [0.0, *rows[k]]
+        rows.append([a - k * b for a, b in zip(shifted, [*rows[k - 1], 0.0, 0.0], strict=True)])
+    return rows
+
+
+def _grids(df: DataFrame, names: list[str], known: Numbers | None, points: int) -> list[tuple]:
+    """(column, values, bandwidth, least value, first x, step) of the columns that vary."""
     if known:
         moments = _finite_numbers(df, names, known).moments.values()
     else:
-        moments = numeric_moments(finite, names)
+        moments = numeric_moments(_finite(df, names), names)
+    grids = []
     for m in moments:
         if m["n"] > 1 and m["std"]:
             width = m["std"] * m["n"] ** -0.2
             start = m["lo"] - 3 * width
-            grid.append(
-                (m["column_name"], m["n"], width, start, (m["hi"] + 3 * width - start) / (points - 1)))
-    layout = [(name, width, start, step) for name, _, width, start, step in grid]
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass = np.zeros((len(layout), points))
-        for batch in batches:
-            for i, (_, width, start, step) in enumerate(layout):
-                v = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
-                place = (start - v) / width
-                steps = np.arange(points) * (step / width)
-                for at in range(0, len(v), 4096):
-                    distance = place[at:at + 4096, None] + steps
-                    mass[i] += np.exp(-0.5 * distance * distance).sum(axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name for name, *_ in layout for _ in range(points)], pa.string()),
-             pa.array(list(range(points)) * len(layout), pa.int32()), pa.array(mass.ravel())],
-            ["column_name", "point", "mass"])
-
-    if not grid:
-        return local_rows(df.sparkSession, "column_name string, x double, density double", [])
-    grids = local_rows(
-        df.sparkSession,
-        "column_name string, total bigint, width double, start double, step double", grid,
-    )
-    values = finite.select(*[quoted(name) for name, *_ in layout])
-    return (
-        values.mapInArrow(add, "column_name string, point int, mass double")
-        .groupBy("column_name", "point").agg(F.expr("sum(mass) as mass"))
-        .join(F.broadcast(grids), "column_name")
-        .selectExpr(
-            "column_name",
-            "start + point * step as x",
-            f"mass / (total * width * {math.sqrt(2 * math.pi)!r}D) as density",
-        )
+            step = (m["hi"] + 3 * width - start) / (points - 1)
+            grids.append((m["column_name"], m["n"], width, m["lo"], start, step))
+    return grids
+
+
+def _on_grid(
+    df: DataFrame, names: list[str], grids: list[tuple], points: int, fences: dict[str, tuple]
+) -> DataFrame:
+    """column_name, point, mass, lo, hi, outliers from one read; the last three at point -1 alone.
+
+    Values are counted in bins with their power sums around the bin's middle, one row per bin that is
+    not empty; these rows meet the grid, not the values.
+    """
+    spark = df.sparkSession
+    layout = {g[0]: g for g in grids}
+    nothing = (None, None, None, None, None)
+    ranges = local_rows(
+        spark, "column_name string, width double, origin double, start double, step double,"
+        " lower double, upper double",
+        [(c, *layout.get(c, (c, 0, *nothing[:4]))[2:], *fences.get(c, nothing)[3:5]) for c in names])
+    size = f"width / {_BINS_PER_WIDTH}"
+    sums = ["count(*) as s0"]
+    sums += [f"sum({' * '.join(['u'] * k)}) as s{k}" for k in range(1, _POWERS)]
+    inside = "value between lower and upper"
+    binned = (
+        cells(df, names, "double").filter("value is not null")
+        .join(F.broadcast(ranges), "column_name")
+        .selectExpr("*", f"if(abs(value) = double('Infinity'), null, floor((value - origin) / ({size})))"
+                    " as bin")
+        .selectExpr("*", f"(value - origin) / width - (bin + 0.5D) / {_BINS_PER_WIDTH} as u")
+        .groupBy("column_name", "bin", "width", "origin", "start", "step")
+        .agg(*map(F.expr, sums), F.expr(f"min(if({inside}, value, null)) as lo"),
+             F.expr(f"max(if({inside}, value, null)) as hi"),
+             F.expr(f"count_if(not ({inside})) as outliers"))
     )
+    terms: list[list[str]] = [[] for _ in range(_POWERS)]
+    for k, row in enumerate(_hermite()):
+        for power, factor in enumerate(row):
+            if factor:
+                terms[power].append(f"{factor / math.factorial(k)!r}D * s{k}")
+    series = f"c{_POWERS - 1}"
+    for power in range(_POWERS - 2, -1, -1):
+        series = f"(c{power} + t * {series})"
+    met = binned.selectExpr(
+        "*", *[f"{' + '.join(t)} as c{i}" for i, t in enumerate(terms)],
+        f"explode(if(bin is null, array(-1), sequence(-1, {points - 1}))) as point"
+    ).selectExpr(
+        "*", f"(start + point * step - origin) / width - (bin + 0.5D) / {_BINS_PER_WIDTH} as t")
+    return met.groupBy("column_name", "point").agg(
+        F.expr(f"sum(if(point < 0, 0D, exp(-0.5D * t * t) * {series})) as mass"),
+        *[F.expr(f"{f}(if(point < 0, {c}, null)) as {c}")
+          for f, c in (("min", "lo"), ("max", "hi"), ("sum", "outliers"))])
+
+
+def density_curve(
+    df: DataFrame, columns: Iterable[str] | None = None, points: int = 200,
+    known: Numbers | None = None,
+) -> DataFrame:
+    """Gaussian density estimate of the finite values on an even grid: x, density.
+
+    Scott's bandwidth, three bandwidths beyond the data on each side. One read for all columns, in
+    bins with power sums; what that leaves out is far below the last digit (see ``_POWERS``).
+    """
+    grids = _grids(df, _wanted(df, columns), known, points)
+    met = _on_grid(df, [g[0] for g in grids], grids, points, {})
+    return _densities(met, grids)
+
+
+def _densities(met: DataFrame, grids: list[tuple]) -> DataFrame:
+    spark = met.sparkSession
+    if not grids:
+        return local_rows(spark, "column_name string, x double, density double", [])
+    layout = local_rows(
+        spark, "column_name string, total bigint, width double, start double, step double",
+        [(c, n, width, start, step) for c, n, width, _, start, step in grids])
+    return met.filter("point >= 0").join(F.broadcast(layout), "column_name").selectExpr(
+        "column_name", "start + point * step as x",
+        f"mass / (total * width * {math.sqrt(2 * math.pi)!r}D) as density")
+
+
+def number_charts(
+    df: DataFrame, known: Numbers, points: int = 200
+) -> tuple[DataFrame, DataFrame]:
+    """(box plot, density curve) of all numeric columns from one read, made now.
+
+    What is held are ``points`` numbers per column.
+    """
+    names = list(known.moments)
+    grids, fences = _grids(df, names, known, points), _fences(df, names, known)
+    met = _on_grid(df, names, grids, points, fences)
+    schema = "column_name string, point int, mass double, lo double, hi double, outliers bigint"
+    held = local_rows(df.sparkSession, schema, [tuple(r) for r in met.collect()])
+    quartiles = local_rows(
+        df.sparkSession, "column_name string, q1 double, median double, q3 double",
+        [(c, *f[:3]) for c, f in fences.items()])
+    boxes = quartiles.join(F.broadcast(held.filter("point < 0")), "column_name").selectExpr(
+        "column_name", "q1", "median", "q3", "lo as whisker_lo", "hi as whisker_hi", "outliers")
+    return boxes, _densities(held, grids)
 
 
 def _fences(

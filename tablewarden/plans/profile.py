@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from ..operators import metadata, profile, rules, visual
 from ..operators.facts import collect_facts
 from ..operators.frequency import top_values
+from ..operators.measures import Measures, measure
 
 
 @dataclass
@@ -19,18 +20,22 @@ class Report:
     facts: DataFrame
 
 
-def build_report(df: DataFrame, *, charts: bool = True, source: str | None = None) -> Report:
-    """Column facts are computed once, here; the tables derived from them are
-    driver-side rows. The other tables run when they are written or shown."""
+def build_report(
+    df: DataFrame, *, charts: bool = True, source: str | None = None, known: Measures | None = None
+) -> Report:
+    """Column facts, measures, quartiles, box plots and density curves are computed once, here; the
+    tables derived from them are driver-side rows. The other tables run when they are written
+    or shown. ``known`` are measures with moments, if the table has been measured."""
     facts = collect_facts(df)
-    numbers = profile.numbers_of(df)
+    known = known or measure(df)
+    numbers = profile.numbers_of(df, known=known)
     tables = {
-        "dataset": profile.dataset_summary(df, source).selectExpr("*", "current_timestamp() as generated_at"),
+        "dataset": profile.dataset_summary(df, source, known).selectExpr("*", "current_timestamp() as generated_at"),
         "columns": metadata.column_profile(facts),
         "metadata": metadata.column_metadata(facts),
         "mixed_types": metadata.mixed_types(df, facts),
-        "missing_per_column": profile.missing_per_column(df),
-        "missing_overall": profile.missing_overall(df),
+        "missing_per_column": profile.missing_per_column(df, known),
+        "missing_overall": profile.missing_overall(df, known),
         "type_consistency": profile.type_consistency(facts),
         "cardinality": profile.cardinality(facts),
         "correlations": profile.correlation_matrix(df, moments=numbers.moments),
@@ -43,10 +48,9 @@ def build_report(df: DataFrame, *, charts: bool = True, source: str | None = Non
         "suspicious_columns": rules.suspicious_columns(facts),
     }
     if charts:
-        tables["missing_patterns"] = visual.missing_patterns(df)
+        tables["missing_patterns"] = visual.missing_patterns(df, known)
         tables["histogram"] = visual.histogram(df, known=numbers)
-        tables["boxplot_stats"] = visual.boxplot_stats(df, known=numbers)
-        tables["density_curve"] = visual.density_curve(df, known=numbers)
+        tables["boxplot_stats"], tables["density_curve"] = visual.number_charts(df, numbers)
     return Report(tables, metadata.profile_of(facts), facts)
 
 
