@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..storage import stage
 from .columns import numeric_columns, present
+from .measures import watch
 from .quantiles import exact_quantiles
 
 # Executors need not have this package: its functions travel with the tasks.
@@ -127,12 +128,13 @@ def fit_forest(
     trees: int = fixed.FOREST_TREES,
     sample: int = fixed.FOREST_SAMPLE,
     seed: int = fixed.FOREST_SEED,
+    rows_known: int | None = None,
 ) -> dict[str, np.ndarray] | None:
     """The forest as arrays of shape (trees, nodes); None without rows."""
     data = complete_rows(df, columns).selectExpr(
         *[f"cast({present(df, c)} as double) as v{i}" for i, c in enumerate(columns)]
     )
-    n = data.count()
+    n = data.count() if rows_known is None else rows_known
     if not n:
         return None
     values = [f"v{i}" for i in range(len(columns))]
@@ -197,8 +199,8 @@ def detect_anomalies(
     """(complete rows with anomaly_score and is_anomaly, threshold).
 
     Rows with a missing number are left out, as they cannot be scored. ``partitions`` spreads the
-    rows before scoring, for a table that is one file. Only the scores are staged to find the
-    threshold; the rows are scored again as the result is read.
+    rows before scoring, for a table that is one file. Rows are scored once and staged with their
+    score, which the threshold and the result read. ``rows_known`` is the number of complete rows.
     """
     columns = columns if columns is not None else numeric_columns(df)
     forest = fit_forest(df, columns, **forest_options) if columns else None
@@ -208,9 +210,10 @@ def detect_anomalies(
     rows = complete_rows(df, columns)
     if partitions:
         rows = rows.repartition(partitions)
-    scored = score_rows(rows, columns, forest)
-    scores = stage(scored.select(SCORE), "scores")
-    threshold = exact_quantiles(scores, [SCORE], (1.0 - contamination,))[SCORE][0]
+    writing = watch(score_rows(rows, columns, forest), columns=[SCORE])
+    scored = stage(writing.table, "scored")
+    threshold = exact_quantiles(
+        scored, [SCORE], (1.0 - contamination,), writing.seen().extents)[SCORE][0]
     return scored.withColumn("is_anomaly", F.col(SCORE) > F.lit(threshold)), threshold
 
 

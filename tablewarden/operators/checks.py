@@ -23,6 +23,7 @@ CHECK_PATTERNS = {
     "phone": fixed.PHONE_STRICT,
     "postcode": fixed.POSTCODE,
 }
+RESULT_COLUMNS = ("column_name", "check", "checked", "valid", "invalid")
 RESULT_SCHEMA = "column_name string, check string, checked bigint, valid bigint, invalid bigint"
 
 
@@ -169,9 +170,10 @@ def allowed_values(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return cells(df, columns, "string").filter("value is not null").distinct()
 
 
-def membership_checks(allowed: DataFrame) -> list[Check]:
-    """One check per column of an allowed-value table, which stays a table."""
-    names = [r[0] for r in allowed.select("column_name").distinct().orderBy("column_name").collect()]
+def membership_checks(allowed: DataFrame, columns: list[str] | None = None) -> list[Check]:
+    """One check per column of an allowed-value table, which stays a table; ``columns`` are those it
+    has, if known."""
+    names = sorted(columns) if columns is not None else [r[0] for r in allowed.select("column_name").distinct().orderBy("column_name").collect()]
     return [Check(c, "membership", allowed=allowed) for c in names]
 
 

@@ -1,6 +1,7 @@
 """Filling missing values: median for numbers, most frequent value otherwise."""
 from __future__ import annotations
 
+from collections.abc import Iterable
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from ..functions.text import literal, quoted
 from .columns import kinds, local_rows, present
 from .facts import present_counts
 from .frequency import modes
+from .measures import Measures
 from .quantiles import exact_quantiles
 
 LOG_SCHEMA = "column_name string, missing bigint, action string, fill_value string"
@@ -21,7 +23,8 @@ def _shown(value) -> str:
 
 
 def impute(
-    df: DataFrame, profile: dict | None = None, skip_semantic: tuple[str, ...] = ()
+    df: DataFrame, profile: dict | None = None, skip_semantic: tuple[str, ...] = (),
+    known: Measures | None = None, changed: Iterable[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """(filled table, log of column_name, missing, action, fill_value).
 
@@ -29,12 +32,17 @@ def impute(
     Dates stay missing. A filled numeric column becomes double, as its median
     need not be whole. ``skip_semantic`` leaves columns of those meanings alone:
     the most frequent value of a nearly unique column is rarely a good fill.
+    ``known`` are measures of the table before its ``changed`` columns were changed; only those are
+    counted again.
     """
     profile = profile or {}
     own = kinds(df)
-    gaps = {
+    changed = set(changed)
+    again = [c for c in df.columns if known is None or c in changed]
+    gaps = {c: n for c, n in known.gaps.items() if c not in changed} if known else {}
+    gaps |= {
         r["column_name"]: r["n_rows"] - r["n_present"]
-        for r in present_counts(df).collect()
+        for r in (present_counts(df, again).collect() if again else ())
         if r["n_present"] < r["n_rows"]
     }
     inferred = {c: profile.get(c, {}).get("inferred_type") for c in gaps}
@@ -51,7 +59,8 @@ def impute(
     ]
     by_mode = [c for c in rest if c not in by_median]
 
-    medians = exact_quantiles(df, by_median, (0.5,)) if by_median else {}
+    extents = known.extents if known and not changed.intersection(by_median) else None
+    medians = exact_quantiles(df, by_median, (0.5,), extents) if by_median else {}
     frequent = modes(df, by_mode) if by_mode else {}
 
     log, fills = [], {}

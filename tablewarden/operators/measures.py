@@ -62,9 +62,12 @@ def _metrics(df: DataFrame, columns: list[str], moments: bool) -> list[str]:
     return out
 
 
-def _measures(df: DataFrame, found: dict, extra: dict) -> Measures:
+def _measures(df: DataFrame, found: dict, extra: dict, columns: list[str] | None = None) -> Measures:
+    names = df.columns if columns is None else columns
     moments = {}
     for c in numeric_columns(df):
+        if c not in names:
+            continue
         i = df.columns.index(c)
         if found[f"n{i}"]:
             moments[c] = {
@@ -72,37 +75,51 @@ def _measures(df: DataFrame, found: dict, extra: dict) -> Measures:
                 "negatives": found[f"neg{i}"], "mean": found.get(f"mean{i}"),
                 "std": found.get(f"std{i}"), "skew": found.get(f"skew{i}")}
     rows = found["n_rows"]
-    return Measures(rows, {c: found[f"n{i}"] for i, c in enumerate(df.columns)}, moments, extra)
+    return Measures(rows, {c: found[f"n{df.columns.index(c)}"] for c in names}, moments, extra)
 
 
-def measure(df: DataFrame, moments: bool = True) -> Measures:
-    """Counts of a table by aggregation: each read takes a dozen of its columns."""
+def measure(
+    df: DataFrame, moments: bool = True, extra: dict[str, str] | None = None
+) -> Measures:
+    """Counts of a table by aggregation, with further aggregates by name: each read takes a dozen of
+    its columns."""
+    extra = dict(extra or {})
+    named = [f"{sql} as x{i}" for i, sql in enumerate(extra.values())]
     found: dict = {}
-    for start in range(0, max(1, len(df.columns)), _CHUNK):
+    width = max(len(df.columns), -(-len(named) // 3), 1)
+    for start in range(0, width, _CHUNK):
         parts = _metrics(df, df.columns[start:start + _CHUNK], moments)
+        parts += named[3 * start:3 * (start + _CHUNK)]
         found |= df.selectExpr(*parts).first().asDict()
-    return _measures(df, found, {})
+    return _measures(df, found, {n: found[f"x{i}"] for i, n in enumerate(extra)})
 
 
 class Watch:
     """A table to be written, and what was counted on the way once it is."""
 
-    def __init__(self, df: DataFrame, extra: dict[str, str] | None = None) -> None:
+    def __init__(
+        self, df: DataFrame, extra: dict[str, str] | None = None, columns: list[str] | None = None
+    ) -> None:
         self._df, self._extra = df, dict(extra or {})
+        self._columns = df.columns if columns is None else columns
         self._found = Observation()
         more = [f"{sql} as x{i}" for i, sql in enumerate(self._extra.values())]
         self.table = df.observe(
-            self._found, *map(F.expr, [*_metrics(df, df.columns, moments=False), *more]))
+            self._found, *map(F.expr, [*_metrics(df, self._columns, moments=False), *more]))
 
     def seen(self) -> Measures:
         """Call it after the write; it waits for the counts otherwise."""
         found = self._found.get
-        return _measures(self._df, found, {n: found[f"x{i}"] for i, n in enumerate(self._extra)})
+        extra = {n: found[f"x{i}"] for i, n in enumerate(self._extra)}
+        return _measures(self._df, found, extra, self._columns)
 
 
-def watch(df: DataFrame, extra: dict[str, str] | None = None) -> Watch:
-    """Count while ``watch(df).table`` is written as it is, with further aggregates by name.
+def watch(
+    df: DataFrame, extra: dict[str, str] | None = None, columns: list[str] | None = None
+) -> Watch:
+    """Count ``columns`` (all) while ``watch(df).table`` is written as it is, with further aggregates by
+    name.
 
     Moments are left to :func:`measure`: they need as many additions as a read of their own.
     """
-    return Watch(df, extra)
+    return Watch(df, extra, columns)

@@ -5,14 +5,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.dates import clean_date
 from ..functions.text import literal, matches, one_of, quoted, strip_if_word, to_number, unify_yes_no
-from .columns import cells, kinds, local_rows
+from .columns import cells, kinds, local_rows, present
 from .facts import LONGEST_WORD, only_words, word_bits
 from .frequency import first_values, text_frequencies
+from .measures import Measures, measure
 
 LOG_SCHEMA = "column_name string, action string, affected bigint"
 
@@ -68,49 +68,61 @@ def change_samples(df: DataFrame, changes: list[Change], count: int = fixed.TOP_
     return picked.selectExpr("column_name", "rank", "value as before", f"case {cases} end as after")
 
 
-def changes_of(df: DataFrame, profile: dict | None = None) -> list[Change]:
+def _text_columns(df: DataFrame) -> list[str]:
+    return [c for c, k in kinds(df).items() if k == "text"]
+
+
+def _phones(df: DataFrame, profile: dict) -> list[str]:
+    return [c for c in _text_columns(df) if profile.get(c, {}).get("semantic_type") == "phone"]
+
+
+def change_tests(df: DataFrame, profile: dict | None = None) -> dict[str, str]:
+    """The aggregates that tell which changes apply, by name; for any pass over the table."""
+    tests, phones = {}, _phones(df, profile or {})
+    for c in _text_columns(df):
+        value = f"cast({present(df, c)} as string)"
+        word = word_bits(strip_if_word(value, LONGEST_WORD))
+        tests[f"words {c}"] = f"bit_or({word})"
+        tests[f"respelt {c}"] = (
+            f"count_if(octet_length({strip_if_word(value, LONGEST_WORD)}) <= {LONGEST_WORD}"
+            f" and {unify_yes_no(value)} != {value})")
+        if c in phones:  # only these are tested against the phone pattern
+            tests[f"phones {c}"] = f"count_if({invalid_phone(value)})"
+    return tests
+
+
+def changes_of(
+    df: DataFrame, profile: dict | None = None, known: Measures | None = None
+) -> list[Change]:
     """Per column the first rule that applies: currency text to number, mixed dates
     to timestamps, yes/no spellings to one label, invalid phones flagged. One
-    aggregation finds what applies.
+    aggregation finds what applies, unless the table is ``known`` with its :func:`change_tests`.
     """
     profile = profile or {}
-    text = [c for c, k in kinds(df).items() if k == "text"]
+    text = _text_columns(df)
     if not text:
         return []
-    phones = [c for c in text if profile.get(c, {}).get("semantic_type") == "phone"]
-    # Only the phone columns are tested against the phone pattern.
-    is_phone = one_of("column_name", phones) if phones else "false"
-    respelt = f"octet_length(text) <= {LONGEST_WORD} and {unify_yes_no('value')} != value"
-    found = {
-        r["column_name"]: r
-        for r in cells(df, text, "string")
-        .selectExpr("*", f"{strip_if_word('value', LONGEST_WORD)} as text")
-        .groupBy("column_name")
-        .agg(
-            F.count("value").alias("present"),
-            F.expr(f"bit_or({word_bits('text')}) as words"),
-            F.expr(f"count_if({is_phone} and {invalid_phone('value')}) as bad_phones"),
-            F.expr(f"count_if({respelt}) as respelt"),
-        )
-        .selectExpr(
-            "*",
-            f"{only_words('words', fixed.YES_SPELLINGS + fixed.NO_SPELLINGS)} as yes_no",
-        )
-        .collect()
-    }
+    phones = _phones(df, profile)
+    if known is None:
+        known = measure(df.select(*[quoted(c) for c in text]), moments=False,
+                        extra=change_tests(df, profile))
+    yes_no = only_words("words", fixed.YES_SPELLINGS + fixed.NO_SPELLINGS)
+    spelt = local_rows(
+        df.sparkSession, "column_name string, words bigint",
+        [(c, known.extra[f"words {c}"]) for c in text]).filter(yes_no)
+    spelt_yes_no = {r["column_name"] for r in spelt.collect()}
 
     changes = []
     for name in text:
-        seen, known = found.get(name), profile.get(name, {})
-        if seen is None:
-            continue
-        if known.get("inferred_type") == "numeric_as_text" and known.get("semantic_type") == "numeric":
-            changes.append(Change(name, "number_from_text", seen["present"], numbers_from_text))
-        elif known.get("expected_type") == "date" and len(known.get("date_formats") or ()) > 1:
-            changes.append(Change(name, "date_from_text", seen["present"], clean_date))
-        elif seen["yes_no"]:
-            changes.append(Change(name, "yes_no_spelling", seen["respelt"], unify_yes_no))
-        elif name in phones and seen["bad_phones"]:
+        column, n = profile.get(name, {}), known.present[name]
+        if column.get("inferred_type") == "numeric_as_text" and column.get("semantic_type") == "numeric":
+            changes.append(Change(name, "number_from_text", n, numbers_from_text))
+        elif column.get("expected_type") == "date" and len(column.get("date_formats") or ()) > 1:
+            changes.append(Change(name, "date_from_text", n, clean_date))
+        elif name in spelt_yes_no:
             changes.append(
-                Change(name, "invalid_phone_flag", seen["bad_phones"], flag_invalid_phone))
+                Change(name, "yes_no_spelling", known.extra[f"respelt {name}"], unify_yes_no))
+        elif name in phones and known.extra[f"phones {name}"]:
+            changes.append(Change(
+                name, "invalid_phone_flag", known.extra[f"phones {name}"], flag_invalid_phone))
     return changes

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from ..functions import fixed
 from ..functions.numbers import half_up
 from ..functions.text import matches, quoted
-from .columns import kinds, present
+from .columns import kinds, local_rows, present
 from .frequency import HEAD
+from .measures import Measures
 
 SCORED_PATTERNS = {"email": fixed.EMAIL, "phone": fixed.PHONE_STRICT}
 
@@ -39,32 +40,57 @@ def _row_groups(df: DataFrame, extra: list[str]) -> DataFrame:
     return keyed.groupBy(*keyed.columns).count().withColumnRenamed("count", "n")
 
 
+def _scored(df: DataFrame, profile: dict | None) -> dict[str, str]:
+    """Column -> pattern test, for the columns whose format counts."""
+    scored = {}
+    for name, column in (profile or {}).items():
+        pattern = SCORED_PATTERNS.get(column["semantic_type"])
+        if pattern and name in df.columns:
+            scored[name] = matches(f"cast({quoted(name)} as string)", pattern)
+    return scored
+
+
+def score_tests(df: DataFrame, profile: dict | None) -> dict[str, str]:
+    """The aggregates that a score needs beside the gaps, by name; for any pass over the table."""
+    tests = {}
+    for name, test in _scored(df, profile).items():
+        tests[f"fits {name}"] = f"count_if({test})"
+        tests[f"tested {name}"] = f"count({test})"
+    return tests
+
+
 def quality_score(
-    df: DataFrame, profile: dict | None = None, distinct_rows: int | None = None
+    df: DataFrame, profile: dict | None = None, distinct_rows: int | None = None,
+    known: Measures | None = None,
 ) -> DataFrame:
     """0-100 score of completeness and uniqueness and, given the column profile,
     of format validity of the email and phone columns.
 
-    With the number of distinct rows known, nothing is grouped or shuffled.
+    With the number of distinct rows known, nothing is grouped or shuffled; with the table ``known``
+    by its measures and :func:`score_tests` too, nothing is read.
     """
-    scored = []
-    for name, column in (profile or {}).items():
-        pattern = SCORED_PATTERNS.get(column["semantic_type"])
-        if pattern and name in df.columns:
-            scored.append(matches(f"cast({quoted(name)} as string)", pattern))
-    tests = [f"{test} as m{i}" for i, test in enumerate(scored)]
-    if distinct_rows is None:
-        groups, distinct = _row_groups(df, tests), "count(*)"
+    scored = list(_scored(df, profile).items())
+    if known is not None and distinct_rows is not None:
+        row = (known.rows, sum(known.gaps.values()), distinct_rows,
+               *[known.extra[f"{k} {c}"] for c, _ in scored for k in ("fits", "tested")])
+        fields = "".join(f", f{i} bigint, t{i} bigint" for i in range(len(scored)))
+        sums = local_rows(
+            df.sparkSession, f"n bigint, nulls bigint, distinct_n bigint{fields}", [row])
     else:
-        groups = df.selectExpr(f"{_null_cells(df)} as null_cells", *tests, "1L as n")
-        distinct = f"{distinct_rows}L"
-    shares = [
-        f"try_divide(sum(if(m{i}, n, 0L)), sum(if(m{i} is null, 0L, n)))"
-        for i in range(len(scored))
-    ]
-    total = groups.selectExpr(
-        f"1 - try_divide(sum(null_cells * n), sum(n) * {len(df.columns)}) as completeness",
-        f"1 - try_divide(sum(n) - {distinct}, sum(n)) as uniqueness",
+        tests = [f"{test} as m{i}" for i, (_, test) in enumerate(scored)]
+        if distinct_rows is None:
+            groups, distinct = _row_groups(df, tests), "count(*)"
+        else:
+            groups = df.selectExpr(f"{_null_cells(df)} as null_cells", *tests, "1L as n")
+            distinct = f"{distinct_rows}L"
+        sums = groups.selectExpr(
+            "sum(n) as n", "sum(null_cells * n) as nulls", f"{distinct} as distinct_n",
+            *[e for i in range(len(scored)) for e in (
+                f"sum(if(m{i}, n, 0L)) as f{i}", f"sum(if(m{i} is null, 0L, n)) as t{i}")])
+    shares = [f"try_divide(f{i}, t{i})" for i in range(len(scored))]
+    total = sums.selectExpr(
+        f"1 - try_divide(nulls, n * {len(df.columns)}) as completeness",
+        "1 - try_divide(n - distinct_n, n) as uniqueness",
         f"array_compact(array({', '.join(shares)})) as shares" if shares
         else "cast(array() as array<double>) as shares",
     ).selectExpr(
@@ -93,8 +119,15 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return nan_to_null(df).dropDuplicates()
 
 
-def dedup_log(df: DataFrame, unique: DataFrame | None = None) -> DataFrame:
-    """Removed, before and after; only counts where the distinct rows are at hand."""
+def dedup_log(
+    df: DataFrame, unique: DataFrame | None = None, counts: tuple[int, int] | None = None
+) -> DataFrame:
+    """Removed, before and after; only counts where the distinct rows are at hand, and nothing where
+    ``counts`` (before, after) are."""
+    if counts is not None:
+        return local_rows(
+            df.sparkSession, "exact_duplicates_removed bigint, rows_before bigint, rows_after bigint",
+            [(counts[0] - counts[1], *counts)])
     if unique is not None:
         before = df.selectExpr("count(*) as before", "0L as after")
         after = unique.selectExpr("0L", "count(*)")

@@ -3,13 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.checks import numeric_bounds
+from ..operators.columns import local_rows
 from ..operators.facts import collect_facts
 from ..operators.metadata import profile_of
-from ..operators.profile import missing_overall
-from ..storage import stage
-from .clean import clean_scores, clean_table
-from .validate import validate_table
+from .clean import Cleaned, clean_scores, clean_table, stage_cleaned
+from .validate import Validation, validate_table
 
 
 def gate_summary(df: DataFrame) -> DataFrame:
@@ -17,14 +15,15 @@ def gate_summary(df: DataFrame) -> DataFrame:
     profile = profile_of(collect_facts(df))
     cleaned = clean_table(df, profile)
     # Read by every later step; the steps up to here are projections on one read.
-    cleaned.table = stage(cleaned.table, "cleaned")
-    validation = validate_table(cleaned.table, profile, numeric_bounds(df))
+    stage_cleaned(cleaned, profile)
+    validation = validate_table(cleaned.table, profile, cleaned.raw.bounds, cleaned.result)
     return summarise(df, cleaned, validation, profile)
 
 
-def summarise(df: DataFrame, cleaned, validation, profile: dict) -> DataFrame:
-    before = missing_overall(df).selectExpr("total_missing_cells as missing_before")
-    after = missing_overall(cleaned.table).selectExpr("total_missing_cells as missing_after")
+def summarise(df: DataFrame, cleaned: Cleaned, validation: Validation, profile: dict) -> DataFrame:
+    spark = df.sparkSession
+    before = local_rows(spark, "missing_before bigint", [(sum(cleaned.raw.gaps.values()),)])
+    after = local_rows(spark, "missing_after bigint", [(sum(cleaned.result.gaps.values()),)])
     scores = clean_scores(df, cleaned, profile)
     health = validation.health
     # Five relations of exactly one row each.

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import metadata
 from ..operators.checks import allowed_of, contract_table
+from ..operators.measures import Measures
 from ..sources.csv import read_csv, write_csv
 from ..sources.reports import read_report, write_report
 from ..storage import discard, stage
-from .clean import clean_scores, clean_table
+from .clean import clean_scores, clean_table, stage_cleaned
 from .profile import build_report
 from .validate import validate_table
 
@@ -50,9 +51,10 @@ def profile_job(
     _profile(read_input(spark, path, kind, multiline), path, output, charts)
 
 
-def _profile(df: DataFrame, path: str, output: str, charts: bool) -> None:
+def _profile(df: DataFrame, path: str, output: str, charts: bool) -> Measures:
     report = build_report(df, charts=charts, source=path)
     write_report(report.tables, f"{output}/profile")
+    return report.known
 
 
 def stored_profile(spark: SparkSession, output: str) -> dict[str, dict]:
@@ -71,12 +73,16 @@ def clean_job(
     _clean(read_input(spark, path, kind, multiline), output, as_csv)
 
 
-def _clean(df: DataFrame, output: str, as_csv: bool) -> None:
+def _clean(df: DataFrame, output: str, as_csv: bool, raw: Measures | None = None) -> Measures:
     spark = df.sparkSession
     known = stored_profile(spark, output)
-    cleaned = clean_table(df, known)
-    cleaned.table.write.mode("overwrite").parquet(f"{output}/cleaned")
-    cleaned.table = spark.read.parquet(f"{output}/cleaned")
+    cleaned = clean_table(df, known, raw)
+
+    def write(table: DataFrame) -> DataFrame:
+        table.write.mode("overwrite").parquet(f"{output}/cleaned")
+        return spark.read.schema(table.schema).parquet(f"{output}/cleaned")
+
+    stage_cleaned(cleaned, known, write)
     if as_csv:
         write_csv(cleaned.table, f"{output}/cleaned_csv")
     write_report(
@@ -90,13 +96,14 @@ def _clean(df: DataFrame, output: str, as_csv: bool) -> None:
         },
         f"{output}/cleaning",
     )
+    return cleaned.result
 
 
-def validate_job(spark: SparkSession, output: str) -> None:
+def validate_job(spark: SparkSession, output: str, known: Measures | None = None) -> None:
+    """``known`` are the measures of the cleaned table, where the same application has written it."""
     cleaned = spark.read.parquet(f"{output}/cleaned")
     validation = validate_table(
-        cleaned, stored_profile(spark, output), stored_bounds(spark, output)
-    )
+        cleaned, stored_profile(spark, output), stored_bounds(spark, output), known)
     write_report(
         {
             "checks": validation.results,
@@ -113,9 +120,11 @@ def gate_job(
     spark: SparkSession, path: str, output: str, kind: str | None = None, as_csv: bool = False,
     charts: bool = True, multiline: bool = False,
 ) -> None:
-    """All three stages on one input, which is read into the application once."""
-    df = read_input(spark, path, kind, multiline)
-    _profile(df, path, output, charts)
-    _clean(df, output, as_csv)
-    validate_job(spark, output)
-    discard(spark)
+    """All three stages on one input, which is read into the application once. Staged copies go when it
+    ends, also when it fails."""
+    try:
+        df = read_input(spark, path, kind, multiline)
+        raw = _profile(df, path, output, charts)
+        validate_job(spark, output, _clean(df, output, as_csv, raw))
+    finally:
+        discard(spark)

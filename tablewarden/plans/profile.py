@@ -9,15 +9,17 @@ from ..operators import metadata, profile, rules, visual
 from ..operators.facts import collect_facts
 from ..operators.frequency import top_values
 from ..operators.measures import Measures, measure
+from ..operators.quality import score_tests
 
 
 @dataclass
 class Report:
-    """Report tables by name, and the column profile the later stages take."""
+    """Report tables by name, and what the later stages take: column profile and measures."""
 
     tables: dict[str, DataFrame]
     columns: dict[str, dict]
     facts: DataFrame
+    known: Measures
 
 
 def build_report(
@@ -27,7 +29,8 @@ def build_report(
     tables derived from them are driver-side rows. The other tables run when they are written
     or shown. ``known`` are measures with moments, if the table has been measured."""
     facts = collect_facts(df)
-    known = known or measure(df)
+    columns = metadata.profile_of(facts)
+    known = known or measure(df, extra=score_tests(df, columns))
     numbers = profile.numbers_of(df, known=known)
     tables = {
         "dataset": profile.dataset_summary(df, source, known).selectExpr("*", "current_timestamp() as generated_at"),
@@ -51,7 +54,7 @@ def build_report(
         tables["missing_patterns"] = visual.missing_patterns(df, known)
         tables["histogram"] = visual.histogram(df, known=numbers)
         tables["boxplot_stats"], tables["density_curve"] = visual.number_charts(df, numbers)
-    return Report(tables, metadata.profile_of(facts), facts)
+    return Report(tables, columns, facts, known)
 
 
 def report_digest(facts: DataFrame, inferences: int = 4) -> DataFrame:
