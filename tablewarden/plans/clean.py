@@ -10,7 +10,7 @@ from ..operators.columns import local_rows, numeric_columns, present
 from ..operators.impute import impute
 from ..operators.measures import Measures, measure, watch
 from ..operators.normalise import (
-    apply_changes, change_log, change_samples, change_tests, changes_of,
+    Change, apply_changes, change_log, change_samples, change_tests, changes_of,
 )
 from ..operators.quality import dedup_log, drop_duplicates, quality_score, score_tests
 from ..storage import stage
@@ -26,12 +26,17 @@ class Cleaned:
     dedup_log: DataFrame
     normalise_log: DataFrame
     impute_log: DataFrame
-    samples: DataFrame
+    changes: list[Change]
     flags: DataFrame
     raw: Measures
     distinct: Measures
     result: Measures | None = None
 
+    @property
+    def samples(self) -> DataFrame:
+        """Changed values before and after; read when asked for."""
+        return change_samples(self.unique, self.changes)
+
 
 def clean_table(df: DataFrame, profile: dict, raw: Measures | None = None) -> Cleaned:
     """Deduplicate, normalise, impute, as the profile of ``df`` says.
@@ -51,7 +56,7 @@ def clean_table(df: DataFrame, profile: dict, raw: Measures | None = None) -> Cl
         apply_changes(unique, changes), profile, known=distinct, changed=emptied)
     return Cleaned(
         filled, unique, dedup_log(df, counts=(raw.rows, distinct.rows)), change_log(unique, changes),
-        impute_log, change_samples(unique, changes), profile_flags(df, profile), raw, distinct)
+        impute_log, changes, profile_flags(df, profile), raw, distinct)
 
 
 def stage_cleaned(

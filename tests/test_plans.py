@@ -1,7 +1,7 @@
 """What the physical plans must and must not contain."""
 from pyspark.sql import functions as F
 
-from tablewarden.operators import checks, frequency, profile, quality
+from tablewarden.operators import checks, columns, frequency, profile, quality
 from tablewarden.operators.facts import column_facts, present_counts
 from tablewarden.sources.tables import read_table
 
@@ -28,7 +28,9 @@ def test_checks_read_only_their_columns(spark, small):
 
 
 def test_top_values_are_cut_before_the_shuffle(spark, small):
-    text = plan(frequency.top_values(read_table(spark, small, "orders")))
+    cells = columns.cells(read_table(spark, small, "orders"), ["o_orderstatus"], "string")
+    counted = frequency.text_frequencies(cells)
+    text = plan(frequency.first_per_column(counted, 5, F.desc("n"), F.asc("head")))
     assert "row_number(), 5, Partial" in text
 
 
