@@ -143,8 +143,10 @@ def _refined(text_cells: DataFrame, tied: list[_Tied]) -> list[list[_Tied]]:
     parts = counted.groupBy("g", "wanted", "part", "prefix").agg(
         F.count("*").alias("size"), F.max("digest").alias("digest"))
     window = W.partitionBy("g").orderBy("part", "prefix")
+    # A fixed limit is what Spark applies in every task before the shuffle.
+    most = max(2, *(t.wanted for t in tied))
     first = parts.withColumn("place", F.row_number().over(window)).filter(
-        "place <= greatest(wanted, 2)")
+        F.col("place") <= most).filter("place <= greatest(wanted, 2)")
     out: list[list[_Tied]] = [[] for _ in tied]
     for r in first.orderBy("g", "place").collect():
         out[r["g"]].append(r)
