@@ -76,6 +76,7 @@ HIGH_MISSING_PCT = 50.0
 CATEGORICAL_MIN = 20
 CATEGORICAL_SHARE = 0.05
 TOP_VALUES = 5
+SAMPLE_VALUES = 500
 MAX_EXAMPLES = 5
 NEGATIVE_MINORITY = 0.05
 WHISKER = 1.5

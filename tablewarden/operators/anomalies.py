@@ -14,7 +14,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -66,26 +66,61 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator) -> list[tupl
     return nodes
 
 
+_BUCKET_BITS = 21
+
+
+def _possible(data: DataFrame, gap: Column, seed: int) -> DataFrame:
+    """The rows that can be drawn: those whose gap is below a bound on the number of their copies.
+
+    The bound is the number of rows in the tuple's hash bucket, rounded up to a power of two: one byte
+    for each of 2^21 buckets, however large the table. Both depend on the values alone, so a tuple stays
+    with all its copies or goes, before anything is shuffled.
+    """
+    spark, values = data.sparkSession, data.columns
+    bucket = F.pmod(F.xxhash64(*values, F.lit(seed + 7)), F.lit(1 << _BUCKET_BITS)).cast("int")
+    counts = data.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).select(
+        "bucket", F.ceil(F.log2("n")).cast("byte").alias("power")).toArrow()
+    powers = np.zeros(1 << _BUCKET_BITS, np.int8)
+    powers[counts["bucket"].to_numpy()] = counts["power"].to_numpy()
+    shared = spark.sparkContext.broadcast(powers)
+
+    def below(gaps: pd.Series, buckets: pd.Series) -> pd.Series:
+        return gaps < np.left_shift(1, shared.value[buckets.to_numpy()].astype(np.int64))
+
+    return data.filter(F.pandas_udf(below, "boolean")(gap, bucket))
+
+
+def _gap(values: list[str], share: float, seed: int) -> Column:
+    """Copies of a tuple passed over before the first one kept: geometric, from the values' hash."""
+    key = F.xxhash64(*values, F.lit(seed))
+    return F.floor(F.log1p(-F.shiftrightunsigned(key, 11) / F.lit(2.0**53))
+                   / F.lit(float(np.log1p(-share))))
+
+
 def _copies(data: DataFrame, share: float, seed: int) -> DataFrame:
     """Each row of ``data`` with probability ``share``, as the values and ``copy``, which numbers
     equal rows.
 
-    Equal rows are counted first, and the number of copies kept is a binomial draw from the hash of
+    Equal rows are counted, and the number of copies kept is a binomial draw from the hash of
     the values: the gap before the first copy kept is geometric, what follows it is drawn in Python.
+    Rows that cannot be drawn stay where they are, so about the rows of the result move.
     """
     values = data.columns
+    # As grouping has it: no negative zero.
+    data = data.selectExpr(*[f"{v} + 0D as {v}" for v in values])
+    if share < 1:
+        gap = _gap(values, share, seed)
+        data = _possible(data, gap, seed)
     tuples = data.groupBy(*values).agg(F.count("*").alias("n_equal"))
     if share < 1:
-        key = F.xxhash64(*values, F.lit(seed))
-        gap = F.floor(F.log1p(-F.shiftrightunsigned(key, 11) / F.lit(2.0**53))
-                      / F.lit(float(np.log1p(-share))))
 
         def draw(rest: pd.Series, keys: pd.Series) -> pd.Series:
             return pd.Series([
                 1 + int(np.random.default_rng([seed, k & (2**64 - 1)]).binomial(r, share)) if r else 1
                 for r, k in zip(rest.tolist(), keys.tolist(), strict=True)], dtype="int64")
 
-        tuples = tuples.withColumns({"rest": F.col("n_equal") - 1 - gap, "key": key})
+        tuples = tuples.withColumns({
+            "rest": F.col("n_equal") - 1 - gap, "key": F.xxhash64(*values, F.lit(seed))})
         tuples = tuples.filter(F.col("rest") >= 0).withColumn(
             "n_equal", F.pandas_udf(draw, "long")("rest", "key"))
     return tuples.select(

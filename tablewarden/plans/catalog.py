@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from ..functions.dates import clean_date
 from ..functions.text import unify_yes_no
 from ..operators import (
-    anomalies, checks, frequency, health, impute, metadata, normalise, profile, quality, rules,
-    visual,
+    anomalies, checks, frequency, health, impute, metadata, missing_map, normalise, profile, quality,
+    rules, sketches, visual,
 )
+from ..operators.columns import numeric_columns
 from ..operators.facts import collect_facts, column_facts
+from ..operators.quantiles import numeric_cells
 from ..sources.arrivals import deliveries, replay
 from ..sources.csv import mark_missing, promote_types, read_csv, write_csv
 from ..sources.dirty import dirty_customers, plant_faults
@@ -232,6 +234,33 @@ def _approx_within(df: DataFrame) -> DataFrame:
         "column_name", "abs(unique_values - exact) <= 1 + 0.06 * exact as within")
 
 
+def _sketched_within(df: DataFrame) -> DataFrame:
+    """Quantiles of sketches of three batches, merged: whether their ranks are within the bound."""
+    batches = [
+        sketches.quantile_sketches(df.filter(f"pmod(xxhash64(l_orderkey), 3) = {i}")) for i in range(3)]
+    merged = sketches.merge_sketches(batches[0].union(batches[1]).union(batches[2]))
+    asked = sketches.sketch_quantiles(merged, (0.01, 0.25, 0.5, 0.75, 0.99))
+    values = numeric_cells(df, numeric_columns(df))
+    ranks = values.join(F.broadcast(asked), "column_name").groupBy("column_name", "probability").agg(
+        F.expr("count_if(v < value) / count(*)").alias("below"),
+        F.expr("count_if(v <= value) / count(*)").alias("upto"))
+    error = sketches.RANK_ERROR
+    return ranks.selectExpr(
+        "column_name", "probability",
+        f"below - {error}D <= probability and probability <= upto + {error}D as within")
+
+
+def _sampled_ratios(df: DataFrame) -> DataFrame:
+    return sketches.sampled_ratios(sketches.value_sample(df))
+
+
+def _with_gaps(df: DataFrame) -> DataFrame:
+    return df.selectExpr(
+        "l_orderkey", "l_linenumber", "if(l_quantity > 45, null, l_quantity) as l_quantity",
+        "if(l_orderkey % 7 = 0, null, l_returnflag) as l_returnflag",
+        "if(l_linenumber = 3, double('NaN'), l_tax) as l_tax")
+
+
 def _density(df: DataFrame) -> DataFrame:
     """Digits beyond the twelfth are the order of summation."""
     return visual.density_curve(df).selectExpr(
@@ -294,6 +323,9 @@ QUERIES: dict[str, Query] = {
     "numeric_distribution": _of("lineitem", profile.numeric_distribution),
     "numeric_distribution_dirty": _of("dirty", profile.numeric_distribution),
     "numeric_distribution_events": _of("events", profile.numeric_distribution),
+    "sketched_quantiles_bounded": _of("lineitem", _sketched_within),
+    "sampled_ratios": _of("dirty", _sampled_ratios),
+    "sampled_ratios_documents": _of("documents", _sampled_ratios),
     "top_values": _of("dirty", frequency.top_values),
     "top_values_lineitem": _of("lineitem", frequency.top_values),
     "top_values_documents": _of("documents", frequency.top_values),
@@ -308,6 +340,8 @@ QUERIES: dict[str, Query] = {
     "report_digest": _of("dirty", _from_facts(report_digest)),
     # chart data
     "missing_patterns": _of("dirty", visual.missing_patterns),
+    "missing_map": _of("lineitem", lambda df: missing_map.missing_map(
+        _with_gaps(df), ["l_orderkey", "l_linenumber"])),
     "histogram": _of("lineitem", visual.histogram),
     "boxplot_stats": _of("lineitem", visual.boxplot_stats),
     "boxplot_stats_dirty": _of("dirty", visual.boxplot_stats),

@@ -809,3 +809,38 @@ told as (
     f"select strftime(day, '%Y-%m-%d') as day, '{c}' as column_name, count(*) as n_rows,"
     f" count(*) - count({c}) as missing, count(*) filter ({c} is not null and ({test})) as invalid"
     f" from told group by day" for c, test in _BROKEN_EVENTS.items())
+
+
+def sampled(table: str, columns: list[str]) -> str:
+    patterns = {"email": EMAIL, "phone": PHONE, "postcode": POSTCODE, "person_name": PERSON,
+                "numeric_like": NUMERIC}
+    shares = ", ".join(
+        f"round(coalesce(sum(n) filter ({rx('t', p)}), 0) / sum(n), 4) as {c}"
+        for c, p in patterns.items())
+    every = union(f"select '{c}' as column_name, {c} as v from {table}" for c in columns)
+    counted = ctes(table, f"""cells as ({every}),
+values_of as (select column_name, v, count(*) as n, sha256(v) as mark from cells
+  where v is not null group by column_name, v),
+sample as (select *, {trimmed('v')} as t from values_of
+  qualify row_number() over (partition by column_name order by mark) <= 500)""")
+    return counted + f"select column_name, {shares} from sample group by column_name"
+
+
+ORACLES["sampled_ratios"] = sampled("dirty", [c for c, k, _ in COLUMNS["dirty"] if k == "text"])
+ORACLES["sampled_ratios_documents"] = sampled("documents", ["text", "lang", "source"])
+ORACLES["sketched_quantiles_bounded"] = (
+    "select column_name, probability::double as probability, true as within from (values "
+    + ", ".join(f"('{c}')" for c in LINEITEM_NUMERIC)
+    + ") c(column_name), (values (0.01), (0.25), (0.5), (0.75), (0.99)) p(probability)")
+_GAPS = {
+    "l_orderkey": "false", "l_linenumber": "false", "l_quantity": "l_quantity > 45",
+    "l_returnflag": "l_orderkey % 7 = 0", "l_tax": "l_linenumber = 3",
+}
+ORACLES["missing_map"] = """
+with placed as (
+  select *, (row_number() over (order by l_orderkey, l_linenumber, l_quantity > 45) - 1) * 50
+            // count(*) over () as bucket
+  from lineitem)
+""" + union(
+    f"select bucket::int as bucket, '{c}' as column_name, count(*) as n_rows,"
+    f" count(*) filter ({gap}) as missing from placed group by bucket" for c, gap in _GAPS.items())
