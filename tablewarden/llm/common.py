@@ -1,10 +1,12 @@
 """Shared pieces of the training-data operators: staged tables, row keys, lookups, components."""
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from functools import cache
 
 import numpy as np
@@ -35,13 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps reread instead of recompute.
 
-    Lost executors then cost a reread. The folder is deleted when the Python process ends, or
-    by :func:`release`.
+    Lost executors then cost a reread. :func:`release` deletes the folder, :func:`owning` tells which.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _STAGED.append(path)
+    _STAGED[-1].append((path, None))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,26 +53,48 @@ def staged_buckets(df: DataFrame, label: str, key: str, buckets: int) -> DataFra
     path = f"{shared_folder(spark)}/llm/{name}"
     df.write.option("compression", "zstd").option("path", path).bucketBy(
         buckets, key).saveAsTable(name)
-    _STAGED.append(path)
+    _STAGED[-1].append((path, name))
     return spark.table(name)
 
 
-_STAGED: list[str] = []
+#: Lists of (path, table name) of what is staged; the innermost owner's is last.
+_STAGED: list[list[tuple[str, str | None]]] = [[]]
 
 
-def staged_so_far() -> int:
-    return len(_STAGED)
+@contextmanager
+def owning() -> Iterator[list[tuple[str, str | None]]]:
+    """What is staged inside belongs to the list this gives, and to no one else."""
+    owned: list[tuple[str, str | None]] = []
+    _STAGED.append(owned)
+    try:
+        yield owned
+    finally:
+        _STAGED.pop()
 
 
-def release(spark: SparkSession, start: int = 0, stop: int | None = None) -> None:
-    """Delete staged tables, all or the start-th to the stop-th; call it once the results built on them
-    are written."""
+def release(spark: SparkSession, owned: list[tuple[str, str | None]] | None = None) -> None:
+    """Delete staged tables, those of an owner or those without one; call it once the results built on
+    them are written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for i in range(start, len(_STAGED) if stop is None else stop):
-        if _STAGED[i]:
-            path = jvm.org.apache.hadoop.fs.Path(_STAGED[i])
-            path.getFileSystem(conf).delete(path, True)
-            _STAGED[i] = ""
+    owned = _STAGED[0] if owned is None else owned
+    while owned:
+        place, name = owned.pop()
+        if name:
+            spark.sql(f"drop table if exists `{name}`")
+        path = jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with as many underscores as it takes to be none of the columns, in any case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def with_row(df: DataFrame) -> DataFrame:
@@ -92,34 +115,62 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         text.alias("text"))
 
 
+def looked_up(
+    df: DataFrame, keys: DataFrame, id_col: str, text_col: str, names: tuple[str, str],
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be among the keys (doc_id, text_key), rows that surely are not).
+
+    Both have the columns of ``df``, the first also its keys under ``names``. A filter of bounded size
+    decides, where the rows are; more keys only let more rows pass.
+    """
+    place = hash64("doc_id", "text_key").alias("place")
+    bits = df.sparkSession.sparkContext.broadcast(key_filter(keys.select(place), "place"))
+    maybe = F.arrow_udf(lambda places: pa.array(may_hold(bits.value, places.to_numpy())), "boolean")
+    (mark,) = unused([*df.columns, *names], "maybe")
+    rows = df.withColumns({
+        names[0]: F.col(id_col).cast("long"),
+        names[1]: hash64(F.coalesce(F.col(text_col), F.lit("")))})
+    rows = rows.withColumn(mark, maybe(hash64(*names)))
+    return rows.filter(F.col(mark)).drop(mark), rows.filter(~F.col(mark)).select(*map(quoted, df.columns))
+
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def keep_rows(
     df: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``df`` that ``marked`` (doc_id, text_key, kept) keeps, with all their columns.
 
-    ``marked`` has one row per document. Rows that repeat both id and text are one document: one of
-    them stays. Only rows that a filter of bounded size takes for dropped or repeated ones move to be
-    looked up exactly; all others stay where they are.
+    ``marked`` has one row per document. Rows that repeat both id and text are one document: of them
+    the one stays whose whole row, as JSON, has the least hash. Only rows that a filter of bounded
+    size takes for dropped or repeated ones move to be looked up exactly; all others stay where they
+    are. Every task passes on one row of a document.
     """
     marked = staged(marked.select("doc_id", "text_key", "kept"), "marked")
-    place = hash64("doc_id", "text_key").alias("place")
     unsure = marked.groupBy("doc_id", "text_key").agg(
         F.min("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1")
-    bits = df.sparkSession.sparkContext.broadcast(key_filter(unsure.select(place), "place"))
-    maybe = F.arrow_udf(lambda places: pa.array(may_hold(bits.value, places.to_numpy())), "boolean")
-    rows = df.withColumns({
-        "_row_id": F.col(id_col).cast("long"),
-        "_row_key": hash64(F.coalesce(F.col(text_col), F.lit("")))})
-    rows = rows.withColumn("_maybe", maybe(hash64("_row_id", "_row_key")))
+    row_id, row_key, kept_id, kept_key, whole, nth = unused(
+        df.columns, "row_id", "row_key", "kept_id", "kept_key", "whole", "nth")
+    rows, sure = looked_up(df, unsure, id_col, text_col, (row_id, row_key))
     keys = marked.filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
-    same = F.col("_row_id").eqNullSafe(F.col("_kept_id")) & (
-        F.col("_row_key") == F.col("_kept_key"))
-    first = F.row_number().over(
-        Window.partitionBy("_row_id", "_row_key").orderBy("_row_key"))
-    looked_up = rows.filter("_maybe").join(keys, same, "left_semi")
-    looked_up = looked_up.withColumn("_nth", first).filter("_nth = 1")
-    return rows.filter("not _maybe").select(*df.columns).union(looked_up.select(*df.columns))
+        F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key)).distinct()
+    same = F.col(row_id).eqNullSafe(F.col(kept_id)) & (F.col(row_key) == F.col(kept_key))
+    own = list(map(quoted, df.columns))
+    as_json = F.to_json(F.struct(*own))
+    found = rows.join(keys, same, "left_semi").withColumn(whole, hash64(as_json))
+    first = F.row_number().over(Window.partitionBy(row_id, row_key).orderBy(whole))
+    found = found.withColumn(nth, first).filter(F.col(nth) == 1)
+    return sure.union(found.select(*own))
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a task; at its end the worker, which lives on, gives back what it no longer needs."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
@@ -132,7 +183,7 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: trimmed(run(batches)), schema)
 
 
 def slices(

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, hash64, lookup, staged, with_row
+from .common import arrow_map, hash64, looked_up, lookup, quoted, staged, unused, with_row
 
 #: Values held by so many owners are examples.
 EXAMPLE_OWNERS = 3
@@ -207,23 +207,23 @@ def redact_secrets(
 ) -> DataFrame:
     """``df`` with the live-looking secrets of its texts replaced; same rows and columns.
 
-    Examples stay, and so does a null text. Rows that share id and text share their spans.
+    Examples stay, and so does a null text. Rows that share id and text share their spans. Only rows
+    that a filter of bounded size takes for those with spans move.
     """
+    row_id, row_key, span_id, span_key, cuts = unused(
+        df.columns, "row_id", "row_key", "span_id", "span_key", "cuts")
     found = find_secrets(df, id_col, text_col, repo, owner, example_owners)
-    found = found.filter("n_live > 0").select(
-        F.col("doc_id").alias("_span_id"), F.col("text_key").alias("_span_key"),
-        F.transform("secrets", lambda s: F.array(s["start"], s["end"])).alias("_spans"),
-    ).dropDuplicates(["_span_id", "_span_key"])
-    rows = df.withColumns({
-        "_row_id": F.col(id_col).cast("long"),
-        "_row_key": hash64(F.coalesce(F.col(text_col), F.lit("")))})
-    same = F.col("_row_id").eqNullSafe(F.col("_span_id")) & (
-        F.col("_row_key") == F.col("_span_key"))
+    found = staged(found.filter("n_live > 0").select(
+        "doc_id", "text_key", F.transform("secrets", lambda s: F.array(s["start"], s["end"])).alias("cuts"),
+    ).dropDuplicates(["doc_id", "text_key"]), "cuts")
+    rows, sure = looked_up(df, found, id_col, text_col, (row_id, row_key))
+    spans = found.toDF(span_id, span_key, cuts)
+    same = F.col(row_id).eqNullSafe(F.col(span_id)) & (F.col(row_key) == F.col(span_key))
     cut = F.pandas_udf(_redact_all, "string")
-    hit = rows.join(found, same, "left")
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(
-        cut(F.when(F.col("_spans").isNotNull(), F.col(text_col)), "_spans"))
-    return hit.withColumn(text_col, text).select(*df.columns)
+    hit = rows.join(spans, same, "left")
+    text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(
+        cut(F.when(F.col(cuts).isNotNull(), F.col(text_col)), cuts))
+    return sure.union(hit.withColumn(text_col, text).select(*map(quoted, df.columns)))
 
 
 def _redact_all(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -242,6 +242,40 @@ def test_pipeline_keeps_what_it_should(spark):
     common.release(spark)
 
 
+def test_pipeline_twice_before_reading(spark):
+    """A run leaves another one's copies alone; both give what stages called one by one give."""
+    folder = "/root/testdata/sf0.001"
+    first, second = (corpus_pipeline.run(spark, folder) for _ in range(2))
+    rows = sorted(map(tuple, first.drop("row").collect()))
+    assert rows and rows == sorted(map(tuple, second.drop("row").collect()))
+
+
+def test_stages_on_odd_rows(spark):
+    """Clashing names, a third of all rows equal, null ids, an empty table: through all stages."""
+    names = "row_id row_key span_id span_key cuts maybe kept_id nth whole _row_id _maybe _spans place".split()
+    texts = ["", None, "A good text with quite ordinary words in it, told once. " * 4,
+             "password = hunter2hunter2hunter2 and more"] + ["the same third of all rows"] * 30
+    texts += [f"Another text number {i} of its own kind, with some words more." for i in range(60)]
+    rows = [(None if i % 9 == 0 else i, t, "en", f"src{i % 7}", 1, *[f"{n}-{i % 3}" for n in names])
+            for i, t in enumerate(texts + texts[:3])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+        f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for given in (docs, docs.limit(0)):
+        kept = given
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            kept = common.staged(stage(spark, kept, "/root/testdata/sf0.001"), name)
+            if name != "packing":
+                assert kept.columns == given.columns
+                own = {tuple(r)[5:] for r in given.collect()}
+                assert {tuple(r)[5:] for r in kept.collect()} <= own
+        assert (kept.count() > 0) == (given is docs)
+    again = [sorted(map(repr, near_dup.drop_near_duplicates(docs.repartition(n)).collect()))
+             for n in (1, 6)]
+    assert again[0] == again[1]
+    common.release(spark)
+
+
 def test_similar_small_sets_share_keys():
     assert near_dup.boundary({n: 100 for n in range(1, 25)}) >= 5
     assert near_dup.subset_count(4) == 2  # the set itself, for partners of four and of five
