@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from public_tokenizers import path as tokenizer_path  # noqa: E402
 
-from tablewarden.llm.common import release, staged, staged_so_far  # noqa: E402
+from tablewarden.llm.common import owning, release, staged  # noqa: E402
 from tablewarden.llm.exact_dedup import drop_exact_duplicates  # noqa: E402
 from tablewarden.llm.near_dup import drop_near_duplicates  # noqa: E402
 from tablewarden.llm.packing import pack  # noqa: E402
@@ -24,17 +24,23 @@ from tablewarden.llm.quality import keep_quality  # noqa: E402
 from tablewarden.llm.secrets import redact_secrets  # noqa: E402
 
 
-_LAST = [0, 0]
+#: What stages called one by one have staged and is not deleted yet, but for the last stage's.
+_LEFT: list[list] = []
 
 
 def _stage(function):
-    """A stage first deletes what the stage before it had staged: that one's result is written."""
+    """A stage called on its own first deletes what the stage before it had staged: its documents are
+    that stage's result, written. Nobody knows when the last stage's result is, so its copies stay."""
     @functools.wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, *_LAST)
-        _LAST[0] = staged_so_far()
-        out = function(spark, docs, sf_dir)
-        _LAST[1] = staged_so_far()
+        if function.__name__ != STAGES[0][0]:
+            while _LEFT:
+                release(spark, _LEFT.pop())
+        if function.__name__ == STAGES[-1][0]:
+            return function(spark, docs, sf_dir)
+        with owning() as owned:
+            out = function(spark, docs, sf_dir)
+        _LEFT.append(owned)
         return out
 
     return run_stage
@@ -81,7 +87,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in a row. A run owns what it stages and deletes it as soon as the stage's result is
+    written; what the returned rows are read from stays."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with owning() as inner:
+            out = stage.__wrapped__(spark, docs, sf_dir)
+            with owning() as written:
+                docs = staged(out, name)
+        release(spark, inner)
+        release(spark, before)
+        before = written
+    packed = STAGES[-1][1].__wrapped__(spark, docs, sf_dir)
+    release(spark, before)  # its tokens are staged
+    return packed
