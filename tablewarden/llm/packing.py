@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import zlib
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -18,20 +20,21 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, slices, staged, text_bytes, with_row
+from .common import documents, slices, staged, text_bytes, trimmed, with_row
 
 WINDOW = 2048
 END = 1
 #: Tails in one inverted index: bounds the memory of a task, not the number of tails.
 SHARD_DOCS = 2048
 #: Bytes of ids that one task packs, shard after shard.
-TASK_BYTES = 64_000_000
+TASK_BYTES = 16_000_000
 #: A seed is looked up by so many of its heaviest terms, and so many of the best are tried in turn.
 QUERY_TERMS = 32
 TRIED = 64
 _K1, _B = 1.2, 0.75
 _VOCABULARY = 1 << 16
-_CACHE = 700_000
+#: Words and chunks that a Python worker keeps, from task to task.
+_CACHE = 400_000
 _NAMES = ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -99,11 +102,23 @@ class Encoder:
             return b"".join(map(self.known.__getitem__, chunks))
 
 
+def _encoder(path: str) -> Encoder:
+    """The worker's encoder of a tokenizer file: its cache outlives the task that filled it.
+
+    Functions come to a worker anew with every task, so it is kept in a module of its own.
+    """
+    kept = sys.modules.setdefault("tablewarden_kept", ModuleType("tablewarden_kept"))
+    encoders = kept.__dict__.setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
+
+
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
     """(row, doc_id, tokens): 16-bit ids with the end id, staged once for all later steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         end = np.array([END], "<u2").tobytes()
         for batch in batches:
             for part in slices(batch):
@@ -116,7 +131,8 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
                     ["row", "doc_id", "tokens"])
 
     rows = with_row(docs.select("doc_id", "text"))
-    return staged(rows.mapInArrow(run, "row long, doc_id long, tokens binary"), "tokens")
+    ids = rows.mapInArrow(lambda b: trimmed(run(b)), "row long, doc_id long, tokens binary")
+    return staged(ids, "tokens")
 
 
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -128,14 +144,12 @@ def document_frequency(tokens: DataFrame) -> DataFrame:
     """(token, n): the number of documents that hold each token, of the whole corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held = np.zeros(_VOCABULARY, np.int64), np.zeros(_VOCABULARY, bool)
+        total = np.zeros(_VOCABULARY, np.int64)
         for batch in batches:
             for part in slices(batch, "tokens"):
                 ids, offsets = _ids(part.column("tokens"))
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    held[ids[a:b]] = True
-                    total += held
-                    held[ids[a:b]] = False
+                    total[np.unique(ids[a:b])] += 1
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["token", "n"])
 
@@ -178,7 +192,7 @@ def _tails(tokens: DataFrame, shared: Broadcast, mean: float, window: int) -> Da
                     ["row", "doc_id", "doc_tokens", "whole", "tail", "term1", "term2"])
 
     return tokens.mapInArrow(
-        run, "row long, doc_id long, doc_tokens long, whole array<long>, tail binary, term1 int,"
+        lambda b: trimmed(run(b)), "row long, doc_id long, doc_tokens long, whole array<long>, tail binary, term1 int,"
         " term2 int")
 
 
@@ -312,8 +326,8 @@ def pack(
     mean = max(1.0, min(window, (size or 0) / 2 / max(1, n or 0)))
     shared = spark.sparkContext.broadcast(idf)
     tails = _tails(tokens, shared, mean, window)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, math.ceil((size or 0) / TASK_BYTES))
+    # By the size of the corpus alone: a small one is one shard, whatever the session's settings.
+    parts = max(1, math.ceil((size or 0) / TASK_BYTES))
     near = tails.repartitionByRange(parts, "term1", "term2", "row")
     near = near.sortWithinPartitions("term1", "term2", "row")
 
@@ -356,4 +370,4 @@ def pack(
         if out:
             yield flush()
 
-    return near.mapInArrow(run, ", ".join(f"{c} long" for c in _NAMES))
+    return near.mapInArrow(lambda b: trimmed(run(b)), ", ".join(f"{c} long" for c in _NAMES))
