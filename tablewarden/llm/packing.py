@@ -325,7 +325,8 @@ def pack(
     idf = np.log(1 + ((n or 0) - df_of + 0.5) / (df_of + 0.5))
     mean = max(1.0, min(window, (size or 0) / 2 / max(1, n or 0)))
     shared = spark.sparkContext.broadcast(idf)
-    tails = _tails(tokens, shared, mean, window)
+    # Written, as dealing by ranges reads it twice.
+    tails = staged(_tails(tokens, shared, mean, window), "tails")
     # By the size of the corpus alone: a small one is one shard, whatever the session's settings.
     parts = max(1, math.ceil((size or 0) / TASK_BYTES))
     near = tails.repartitionByRange(parts, "term1", "term2", "row")
