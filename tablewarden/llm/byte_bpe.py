@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, slices, staged_buckets, text_bytes
+from .common import documents, give_back, slices, staged_buckets, text_bytes, trimmed
 from .token_counts import load_ranks
 
 #: Text bytes of a batch, and of texts per range of word hashes.
@@ -142,7 +142,7 @@ def batches_of(docs: DataFrame, pattern: str, ranges: int, size: int = BATCH_BYT
             yield pa.RecordBatch.from_pylist([own.row(number, ranges)], _BATCH_TYPE)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "batch long, doc_ids array<long>, sizes array<long>, numbers binary,"
+        lambda parts: trimmed(run(parts)), "batch long, doc_ids array<long>, sizes array<long>, numbers binary,"
         f" blocks {_BLOCKS}")
 
 
@@ -165,14 +165,18 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def merge_words(word: Column, ranks: Column) -> Column:
+def single_literal(ranks: dict[bytes, int]) -> Column:
+    """The ranks of the 256 bytes as a literal."""
+    return F.from_json(F.lit(json.dumps([ranks.get(bytes([b])) for b in range(256)])), "array<int>")
+
+
+def merge_words(word: Column, ranks: Column, singles: Column) -> Column:
     """Ids of a word (one character per byte): ranked merges folded over its bytes.
 
-    The state holds the pieces, the ranks of their neighbouring pairs and, at the end, the ids. The
-    first step looks up all pairs, each further one joins the leftmost pair of the lowest rank and
-    looks up the two new pairs, and the last one looks up the pieces. A word that is in the
-    vocabulary as a whole is its own id. All look-ups are one expression, so that the literal stands
-    in the plan once.
+    The state holds the pieces, their ids and the ranks of their neighbouring pairs. The first step looks
+    up all pairs and the whole word, which is its own id if it is in the vocabulary; each further one
+    joins the leftmost pair of the lowest rank, which is the new piece's id, and looks up the two new
+    pairs. All look-ups are one expression, so that the literal stands in the plan once.
     """
     none = F.array().cast("array<int>")
 
@@ -181,42 +185,45 @@ def merge_words(word: Column, ranks: Column) -> Column:
         return F.element_at(F.get(ranks, place), key)
 
     def step(state: Column, _: Column) -> Column:
-        pieces, pairs = state["pieces"], state["pairs"]
+        pieces, pairs, ids = state["pieces"], state["pairs"], state["ids"]
         size = F.size(pieces)
 
         def looked_up(p: Column) -> Column:
-            """``p``: place of the pair to join; 0 without any, null at the first step."""
+            """``p``: place of the pair to join; null at the first step."""
             new = F.concat(F.get(pieces, p - 1), F.get(pieces, p))
             before = F.when(p > 1, F.concat(F.get(pieces, p - 2), new))
             behind = F.when(p < size - 1, F.concat(new, F.get(pieces, p + 1)))
             every = F.transform(
                 F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(none),
                 lambda i: F.concat(F.get(pieces, i), F.get(pieces, i + 1)))
-            keys = F.when(p.isNull(), every).when(p == 0, F.concat(pieces, F.array(word)))
-            found = F.transform(keys.otherwise(F.array(before, behind)), rank)
-            return _let(found, lambda r: F.when(p.isNull(), F.struct(
-                pieces.alias("pieces"), r.alias("pairs"), state["ids"].alias("ids"),
-            )).when(p == 0, F.struct(
-                pieces.alias("pieces"), pairs.alias("pairs"),
-                F.when(F.get(r, size).isNotNull(), F.slice(r, -1, 1))
-                .otherwise(F.slice(r, F.lit(1), size)).alias("ids"),
-            )).otherwise(F.struct(
-                F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(new),
-                         F.slice(pieces, p + 2, size)).alias("pieces"),
-                F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))),
-                         F.when(p > 1, F.slice(r, 1, 1)).otherwise(none),
-                         F.when(p < size - 1, F.slice(r, 2, 1)).otherwise(none),
-                         F.slice(pairs, p + 2, size)).alias("pairs"),
-                state["ids"].alias("ids"))))
+            found = F.transform(
+                F.when(p.isNull(), F.concat(every, F.array(word)))
+                .otherwise(F.array(before, behind)), rank)
+            return _let(found, lambda r: F.when(p.isNull(), F.when(
+                F.get(r, size - 1).isNotNull(), F.struct(
+                    pieces.alias("pieces"), none.alias("pairs"), F.slice(r, -1, 1).alias("ids"),
+                )).otherwise(F.struct(
+                    pieces.alias("pieces"), F.slice(r, F.lit(1), size - 1).alias("pairs"),
+                    ids.alias("ids"),
+                ))).otherwise(F.struct(
+                    F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(new),
+                             F.slice(pieces, p + 2, size)).alias("pieces"),
+                    F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))),
+                             F.when(p > 1, F.slice(r, 1, 1)).otherwise(none),
+                             F.when(p < size - 1, F.slice(r, 2, 1)).otherwise(none),
+                             F.slice(pairs, p + 2, size)).alias("pairs"),
+                    F.concat(F.slice(ids, F.lit(1), p - 1), F.slice(pairs, p, F.lit(1)),
+                             F.slice(ids, p + 2, size)).alias("ids"))))
 
         place = F.when(pairs.isNotNull(), F.coalesce(
             F.array_position(pairs, F.array_min(pairs)).cast("int"), F.lit(0)))
-        return F.when(state["ids"].isNotNull(), state).otherwise(_let(place, looked_up))
+        return _let(place, lambda p: F.when(p == 0, state).otherwise(looked_up(p)))
 
+    pieces = F.split(word, "")
     start = F.struct(
-        F.split(word, "").alias("pieces"), F.lit(None).cast("array<int>").alias("pairs"),
-        F.lit(None).cast("array<int>").alias("ids"))
-    steps = F.sequence(F.lit(0), F.char_length(word))
+        pieces.alias("pieces"), F.lit(None).cast("array<int>").alias("pairs"),
+        F.transform(pieces, lambda c: F.get(singles, F.ascii(c))).alias("ids"))
+    steps = F.sequence(F.lit(1), F.char_length(word))
     return F.aggregate(steps, start, step, lambda state: state["ids"])
 
 
@@ -231,6 +238,7 @@ def word_ids(batches: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     whole = batches.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary, nothing of the data
 
     def distinct(table: pa.Table) -> pa.Table:
+        give_back()  # what the range before left
         known: dict[bytes, int] = {}
         refs = []
         for lengths, words in zip(table.column("lengths").to_pylist(),
@@ -261,7 +269,8 @@ def word_ids(batches: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     rows = blocks.groupBy("range").applyInArrow(
         distinct, "batch long, range long, word string, heap_ids array<int>, refs binary")
     # A range's words come first, then its blocks, in one task and in this order.
-    ids = F.when(F.col("word").isNotNull(), merge_words(F.col("word"), rank_literal(ranks)))
+    ids = F.when(F.col("word").isNotNull(), merge_words(
+        F.col("word"), rank_literal(ranks), single_literal(ranks)))
     rows = rows.select("batch", "range", F.coalesce("heap_ids", ids).alias("ids"), "refs")
 
     def answer(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +304,7 @@ def word_ids(batches: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                     [some.column("batch"), some.column("range"), pa.array(sizes, pa.binary()),
                      pa.array(ids, pa.binary())], ["batch", "range", "sizes", "ids"])
 
-    return rows.mapInArrow(answer, "batch long, range long, sizes binary, ids binary")
+    return rows.mapInArrow(lambda parts: trimmed(answer(parts)), "batch long, range long, sizes binary, ids binary")
 
 
 def encode(
@@ -322,6 +331,7 @@ def encode(
     pieces = spark.sparkContext.broadcast(_pieces(ranks)) if decoded else None
 
     def look_up(texts: pa.Table, words: pa.Table) -> pa.Table:
+        give_back()  # what the batch before left
         order = np.argsort(words.column("range").to_numpy())
         sizes, ids = (words.column(c).to_pylist() for c in ("sizes", "ids"))
         none = np.empty(0, np.uint32)
@@ -376,4 +386,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                      pa.array(out, pa.binary())], ["doc_id", "n_tokens", "ids", "decoded"])
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary, decoded binary")
+        lambda parts: trimmed(run(parts)), "doc_id long, n_tokens long, ids binary, decoded binary")

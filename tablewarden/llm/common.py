@@ -168,6 +168,11 @@ def keep_rows(
 def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of a task; at its end the worker, which lives on, gives back what it no longer needs."""
     yield from batches
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory of this process goes back to the system."""
     pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
