@@ -11,7 +11,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 
 from ..functions import fixed
@@ -165,14 +165,23 @@ def numeric_distribution(
     )
 
 
+#: Columns of a tile: a task holds ten sums of a tile's pairs with another, 21 MB, however wide the table.
+TILE = 512
+#: Values that a task turns into products at once, and bytes of a tile pair's rows for one task.
+_CHUNK_VALUES, _UNIT_BYTES = 1_000_000, 512_000_000
+
+
 def correlation_matrix(
-    df: DataFrame, columns: Iterable[str] | None = None, moments: dict | None = None
+    df: DataFrame, columns: Iterable[str] | None = None, moments: dict | None = None,
+    tile: int = TILE,
 ) -> DataFrame:
     """Pearson correlation of each ordered pair of numeric columns, over the rows
     where both are present; NULL where either does not vary there or is infinite.
 
-    Values are centred on the column mean first, so plain sums are accurate. One read: every task
-    adds up products of whole column blocks, and passes on one row per column.
+    Values are centred on the column mean first, so plain sums are accurate. One read. Up to ``tile``
+    columns every task adds up products of the whole column block, and passes on one row per column.
+    Wider tables are cut into column tiles, and the rows of each pair of tiles meet in tasks of their
+    own: sums of all pairs would be larger than the rows they come from.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     schema = "column_name string, column_y string, corr double"
@@ -181,79 +190,179 @@ def correlation_matrix(
     known = moments or {m["column_name"]: m for m in numeric_moments(df, names)}
     used = [c for c in names if c in known and math.isfinite(known[c]["mean"])
             and math.isfinite(known[c]["lo"]) and math.isfinite(known[c]["hi"])]
-    result = _pairwise(df, used, [known[c]["mean"] for c in used]) if used else {}
-    rows = []
-    for x in names:
-        for y in names:
-            if x == y:
-                varies = x in used and known[x]["lo"] < known[x]["hi"]
-                rows.append((x, y, 1.0 if varies else None))
-            else:
-                rows.append((x, y, result.get((x, y), result.get((y, x)))))
-    return local_rows(df.sparkSession, schema, rows).selectExpr(
-        "column_name", "column_y", "round(corr, 3) as corr"
-    )
+    means = [known[c]["mean"] for c in used]
+    if len(used) > tile:
+        rows = max(known[c]["n"] for c in used)
+        found = _tiled(df, used, means, tile, max(1, math.ceil(rows * 16 * tile / _UNIT_BYTES)))
+        def listed(some: list[str]) -> str:
+            return f"array({', '.join(map(literal, some))})"
+
+        turned = ("inline(array(struct(x as column_name, y as column_y, corr),"
+                  " struct(y as column_name, x as column_y, corr)))")
+        result = found.selectExpr(
+            f"{listed(used)}[x] as x", f"{listed(used)}[y] as y", "corr").selectExpr(turned)
+        rest = [(c, c, 1.0 if known[c]["lo"] < known[c]["hi"] else None) for c in used]
+        result = result.unionByName(local_rows(df.sparkSession, schema, rest))
+        spare = [c for c in names if c not in set(used)]  # nothing correlates with these
+        if spare:
+            here = df.sparkSession.range(len(spare)).selectExpr(
+                f"{listed(spare)}[cast(id as int)] as x", "cast(null as double) as corr")
+            result = result.union(
+                here.selectExpr("*", f"explode({listed(used)}) as y").selectExpr(turned)
+            ).union(here.selectExpr("x", f"explode({listed(spare)}) as y", "corr"))
+    else:
+        pairs = _pairwise(df, used, means) if used else {}
+        rows = []
+        for x in names:
+            for y in names:
+                if x == y:
+                    varies = x in used and known[x]["lo"] < known[x]["hi"]
+                    rows.append((x, y, 1.0 if varies else None))
+                else:
+                    rows.append((x, y, pairs.get((x, y), pairs.get((y, x)))))
+        result = local_rows(df.sparkSession, schema, rows)
+    return result.selectExpr("column_name", "column_y", "round(corr, 3) as corr")
+
+
+class Products:
+    """For each pair of a column of one block and one of another, over the rows where both are present:
+    n, sx, sy, sxx, syy, sxy and the bounds lox, hix, loy, hiy."""
+
+    def __init__(self, left: int, right: int):
+        self.sums = np.zeros((6, left, right))
+        self.bounds = np.full((4, left, right), np.inf)  # maxima are kept negated
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Rows of both blocks, centred, NaN where missing."""
+        own, other = ~np.isnan(x), ~np.isnan(y)
+        self._bound(self.bounds[:2], x, other)
+        self._bound(self.bounds[2:].transpose(0, 2, 1), y, own)
+        x, y = np.where(own, x, 0.0), np.where(other, y, 0.0)
+        own, other = own.astype(float), other.astype(float)
+        for i, (a, b) in enumerate((
+                (own, other), (x, other), (own, y), (x * x, other), (own, y * y), (x, y))):
+            self.sums[i] += a.T @ b
+
+    @staticmethod
+    def _bound(bounds: np.ndarray, x: np.ndarray, other: np.ndarray) -> None:
+        """Bounds of the columns of ``x`` where the other columns are present: those without a gap
+        share them, the others take a pass each."""
+        low, high = np.where(np.isnan(x), np.inf, x), np.where(np.isnan(x), np.inf, -x)
+        gaps = ~other.all(axis=0)
+        for at, values in enumerate((low, high)):
+            whole = values.min(axis=0, initial=np.inf)[:, None]
+            bounds[at][:, ~gaps] = np.minimum(bounds[at][:, ~gaps], whole)
+            for j in np.flatnonzero(gaps).tolist():
+                some = values[other[:, j]].min(axis=0, initial=np.inf)
+                bounds[at][:, j] = np.minimum(bounds[at][:, j], some)
+
+    def rows(self) -> list[np.ndarray]:
+        """Per column of the left block all ten numbers, flat."""
+        both = np.concatenate([self.sums, self.bounds])
+        return list(both.transpose(1, 0, 2).reshape(self.sums.shape[1], -1))
+
+
+def _merged(parts: Iterator[np.ndarray]) -> np.ndarray:
+    whole = None
+    for row in parts:
+        row = row.reshape(10, -1)
+        if whole is None:
+            whole = row.copy()
+        else:
+            whole[:6] += row[:6]
+            whole[6:] = np.minimum(whole[6:], row[6:])
+    return whole
+
+
+def _coefficients(sums: np.ndarray) -> list[float | None]:
+    n, sx, sy, sxx, syy, sxy, lox, hix, loy, hiy = sums
+    with np.errstate(all="ignore"):
+        spread = (sxx - sx * sx / n) * (syy - sy * sy / n)
+        value = np.clip((sxy - sx * sy / n) / np.sqrt(spread), -1.0, 1.0)
+        there = (n > 0) & (lox < -hix) & (loy < -hiy) & (spread > 0)
+    return [v if ok else None for v, ok in zip(value.tolist(), there.tolist(), strict=True)]
+
+
+def _values(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.selectExpr(
+        *[f"cast({present(df, c)} as double) as v{i}" for i, c in enumerate(names)])
 
 
-_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy", "lox", "hix", "loy", "hiy")
+def _chunks(batches: Iterator[pa.RecordBatch], means: list[float]) -> Iterator[np.ndarray]:
+    """Centred rows, a bounded number of values at a time."""
+    step = max(1, _CHUNK_VALUES // len(means))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            some = batch.slice(start, step)
+            yield np.column_stack([
+                c.to_numpy(zero_copy_only=False).astype(float) for c in some.columns]) - means
 
 
 def _pairwise(df: DataFrame, names: list[str], means: list[float]) -> dict:
-    """(x, y) -> correlation over the rows where both are present."""
+    """(x, y) -> correlation over the rows where both are present, of one block of columns."""
     k = len(names)
-    data = df.selectExpr(
-        *[f"cast({present(df, c)} as double) as v{i}" for i, c in enumerate(names)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((6, k, k))
-        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
-        for batch in batches:
-            x = np.column_stack([
-                batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(k)])
-            here = ~np.isnan(x)
-            mask = here.astype(float)
-            x = np.where(here, x - np.array(means), 0.0)
-            square = x * x
-            sums += np.stack([mask.T @ mask, x.T @ mask, mask.T @ x, square.T @ mask,
-                              mask.T @ square, x.T @ x])
-            for i in range(k):
-                both = here & here[:, [i]]  # column i where column j is present, for every j
-                own = x[:, [i]]
-                low[i] = np.minimum(low[i], np.where(both, own, np.inf).min(axis=0, initial=np.inf))
-                high[i] = np.maximum(
-                    high[i], np.where(both, own, -np.inf).max(axis=0, initial=-np.inf))
-        rows = np.concatenate([sums, low[None], high[None], low.T[None], high.T[None]])
-        rows = rows.transpose(1, 0, 2).reshape(k, -1)
+        products = Products(k, k)
+        for x in _chunks(batches, means):
+            products.add(x, x)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(k), pa.int32()), pa.array(list(rows), pa.list_(pa.float64()))],
+            [pa.array(range(k), pa.int32()), pa.array(products.rows(), pa.list_(pa.float64()))],
             ["x", "sums"])
 
     def total(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        whole = None
-        for part in parts:
-            for row in part["sums"]:
-                row = row.reshape(len(_SUMS), k)
-                if whole is None:
-                    whole = row.copy()
-                    continue
-                whole[:6] += row[:6]
-                whole[[6, 8]] = np.minimum(whole[[6, 8]], row[[6, 8]])
-                whole[[7, 9]] = np.maximum(whole[[7, 9]], row[[7, 9]])
+        whole = _merged(row for part in parts for row in part["sums"])
         yield pd.DataFrame({"x": [key[0]], "sums": [whole.ravel()]})
 
-    added = data.mapInArrow(add, "x int, sums array<double>").groupBy("x").applyInPandas(
-        total, "x int, sums array<double>")
+    added = _values(df, names).mapInArrow(add, "x int, sums array<double>").groupBy(
+        "x").applyInPandas(total, "x int, sums array<double>")
     # One row of numbers per column, as the result has one number per pair.
-    held = {r["x"]: np.array(r["sums"]).reshape(len(_SUMS), k) for r in added.collect()}
-    out = {}
-    for i, j in combinations(range(k), 2):
-        if i not in held:
-            continue
-        n, sx, sy, sxx, syy, sxy, lox, hix, loy, hiy = held[i][:, j]
-        value = None
-        if n and lox < hix and loy < hiy:
-            spread = (sxx - sx * sx / n) * (syy - sy * sy / n)
-            if spread > 0:
-                value = max(-1.0, min(1.0, float((sxy - sx * sy / n) / math.sqrt(spread))))
-        out[names[i], names[j]] = value
-    return out
+    held = {r["x"]: _coefficients(np.array(r["sums"]).reshape(10, k)) for r in added.collect()}
+    return {(names[i], names[j]): held[i][j] for i, j in combinations(range(k), 2) if i in held}
+
+
+def _tiled(
+    df: DataFrame, names: list[str], means: list[float], tile: int, slots: int,
+) -> DataFrame:
+    """(x, y, corr) for all x < y, as places in ``names``.
+
+    Every chunk of rows goes to each pair of tiles, in ``slots`` parts; their sums meet by column.
+    """
+    k = len(names)
+    ends = [(a, min(k, a + tile)) for a in range(0, k, tile)]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId()
+        for x in _chunks(batches, means):
+            blocks = [np.ascontiguousarray(x[:, a:b]).tobytes() for a, b in ends]
+            for i, own in enumerate(blocks):
+                for j in range(i, len(blocks)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), pa.array([j], pa.int32()),
+                         pa.array([at % slots], pa.int32()), pa.array([own], pa.binary()),
+                         pa.array([blocks[j] if i != j else b""], pa.binary())],
+                        ["a", "b", "slot", "xs", "ys"])
+            at += 1
+
+    def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        i, j = int(key[0]), int(key[1])
+        widths = [b - a for a, b in (ends[i], ends[j])]
+        products = Products(*widths)
+        for part in parts:
+            for xs, ys in zip(part["xs"], part["ys"], strict=True):
+                x = np.frombuffer(xs).reshape(-1, widths[0])
+                products.add(x, np.frombuffer(ys).reshape(-1, widths[1]) if i != j else x)
+        for at, row in enumerate(products.rows()):
+            yield pd.DataFrame({"x": [ends[i][0] + at], "b": [j], "sums": [row]})
+
+    def total(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        x, first = int(key[0]), ends[int(key[1])][0]
+        found = _coefficients(_merged(row for part in parts for row in part["sums"]))
+        pairs = [(x, first + j, c) for j, c in enumerate(found) if x < first + j]
+        out = pd.DataFrame(pairs, columns=["x", "y", "corr"])
+        yield out.astype({"x": "int32", "y": "int32", "corr": "float64"})
+
+    rows = _values(df, names).mapInArrow(cut, "a int, b int, slot int, xs binary, ys binary")
+    sums = rows.groupBy("a", "b", "slot").applyInPandas(add, "x int, b int, sums array<double>")
+    found = sums.groupBy("x", "b").applyInPandas(total, "x int, y int, corr double")
+    return found.selectExpr("x", "y", "nanvl(corr, null) as corr")

@@ -320,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "cardinality_approx": _of("lineitem", profile.cardinality_approx),
     "correlation_matrix": _of("lineitem", profile.correlation_matrix),
     "correlation_matrix_dirty": _of("dirty", profile.correlation_matrix),
+    "correlation_tiled": _of("lineitem", lambda df: profile.correlation_matrix(df, tile=3)),
     "numeric_distribution": _of("lineitem", profile.numeric_distribution),
     "numeric_distribution_dirty": _of("dirty", profile.numeric_distribution),
     "numeric_distribution_events": _of("events", profile.numeric_distribution),

@@ -649,6 +649,7 @@ from (select *, case when inferred_type = 'numeric_as_text' then numbers
     "cardinality_documents": from_facts("documents", CARDINALITY),
     "correlation_matrix": correlations("lineitem", LINEITEM_NUMERIC),
     "correlation_matrix_dirty": correlations("dirty", DIRTY_NUMERIC),
+    "correlation_tiled": correlations("lineitem", LINEITEM_NUMERIC),
     "numeric_distribution": distribution("lineitem", LINEITEM_NUMERIC),
     "numeric_distribution_dirty": distribution("dirty", DIRTY_NUMERIC),
     "numeric_distribution_events": distribution("events", ["event_id", "user_id", "value"]),

@@ -106,6 +106,35 @@ def test_correlation_matches_pandas(frame):
             assert row["corr"] == pytest.approx(expected, abs=1.1e-3)
 
 
+@pytest.mark.parametrize("tile", [1, 3, 4])
+def test_correlation_in_tiles_equals_one_block(frame, tile, monkeypatch):
+    rng = random.Random(7)
+    base = [rng.gauss(0, 1) for _ in range(300)]
+    data = {f"c{i}": [x * i + rng.gauss(0, 2) if (n + i) % (i + 2) else None
+                      for n, x in enumerate(base)] for i in range(5)}
+    data |= {"whole": base, "still": [4.0] * 300, "none": [None] * 300,
+             "inf": [float("inf"), *base[1:]], "it's": [-x for x in base]}
+    df = frame(data, ", ".join(f"`{c}` double" for c in data)).repartition(3)
+    want = {(r[0], r[1]): r[2] for r in profile.correlation_matrix(df).collect()}
+    assert len(want) == len(data) ** 2 and want["whole", "it's"] == -1.0
+    monkeypatch.setattr(profile, "_CHUNK_VALUES", 200)  # some chunks in each task
+    monkeypatch.setattr(profile, "_UNIT_BYTES", 1000)  # some slots for each pair of tiles
+    got = [tuple(r) for r in profile.correlation_matrix(df, tile=tile).collect()]
+    assert len(got) == len(want)
+    for x, y, corr in got:
+        assert corr == (pytest.approx(want[x, y], abs=1.1e-3) if want[x, y] is not None else None)
+
+
+def test_correlation_of_a_wide_table_keeps_to_tiles(spark):
+    """More columns than a tile: each task holds one pair of tiles."""
+    df = spark.range(60).selectExpr(*[f"cast(hash(id, {i % 40}) as double) as c{i}" for i in range(90)])
+    got = profile.correlation_matrix(df, tile=32)
+    assert got.count() == 90 * 90
+    same = got.filter("cast(substring(column_name, 2) as int) % 40"
+                      " = cast(substring(column_y, 2) as int) % 40")
+    assert {r["corr"] for r in same.collect()} == {1.0}
+
+
 def test_correlation_needs_two_columns(frame):
     assert profile.correlation_matrix(frame({"a": [1, 2]}, "a int")).count() == 0
 
