@@ -178,6 +178,53 @@ ORACLES: dict[str, str] = {
         select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = min(doc_id) over same as kept, sha256(t) as text_sha256
         from texts window same as (partition by t)""",
+    # All pairs of a label; components are the closure of the links.
+    "op6_vectors": r"""
+        with recursive usable as (
+          select vec_id, label, embedding::double[] as v from embeddings
+          where label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        pairs as (
+          select a.vec_id as a, b.vec_id as b
+          from usable a join usable b
+            on a.label = b.label and len(a.v) = len(b.v) and a.vec_id < b.vec_id
+          where list_cosine_similarity(a.v, b.v) >= 0.98),
+        links as (select a, b from pairs union all select b, a from pairs),
+        reach(vec_id, node) as (
+          select vec_id, vec_id from embeddings
+          union select r.vec_id, l.b from reach r join links l on r.node = l.a),
+        lowest as (select vec_id, min(node) as component_id from reach group by vec_id),
+        counted as (select a as vec_id, count(*) as n from links group by a)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from lowest left join counted using (vec_id)""",
+    "op7_near_dup": r"""
+        with recursive worded as (
+          select doc_id, list_filter(string_split_regex(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+          from documents),
+        sets as (
+          select doc_id, case when len(w) = 0 then []::varchar[]
+                              when len(w) < 5 then [array_to_string(w, ' ')]
+                              else list_distinct(list_transform(
+                                range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')))
+                         end as s
+          from worded),
+        shingles as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+        common as (
+          select a.doc_id as a, b.doc_id as b, any_value(a.n) as n, any_value(b.n) as m,
+                 count(*) as c
+          from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+          group by a.doc_id, b.doc_id),
+        pairs as (select a, b from common where 100 * c >= 80 * (n + m - c)),
+        links as (select a, b from pairs union all select b, a from pairs),
+        reach(doc_id, node) as (
+          select doc_id, doc_id from documents
+          union select r.doc_id, l.b from reach r join links l on r.node = l.a)
+        select doc_id, any_value(len(s)) as n_shingles, min(node) as component_id
+        from reach join sets using (doc_id) group by doc_id""",
     "op9_line_dedup": r"""
         with lines as (
           select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,

@@ -46,7 +46,8 @@ def rows_of(df, *columns):
 def test_query_equals_sql(spark, small, name):
     df = QUERIES[name](spark, small)
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{small}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from '{small}/{table}.parquet'")
     found = con.execute(ORACLES[name])
     columns = [c[0] for c in found.description]
     assert rows_of(df, *columns) == sorted(found.fetchall(), key=repr)
