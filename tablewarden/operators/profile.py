@@ -168,7 +168,7 @@ def numeric_distribution(
 #: Columns of a tile: a task holds ten sums of a tile's pairs with another, 21 MB, however wide the table.
 TILE = 512
 #: Values that a task turns into products at once, and bytes of a tile pair's rows for one task.
-_CHUNK_VALUES, _UNIT_BYTES = 1_000_000, 512_000_000
+_CHUNK_VALUES, _UNIT_BYTES = 1_000_000, 128_000_000
 
 
 def correlation_matrix(
