@@ -2,10 +2,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.functions import broadcast
 
 from ..functions import fixed
 from ..functions.numbers import half_up
 from ..functions.text import matches, quoted
+from ..storage import stage
 from .columns import kinds, local_rows, present
 from .frequency import HEAD
 from .measures import Measures
@@ -119,6 +121,36 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return nan_to_null(df).dropDuplicates()
 
 
+#: Repeated digests that are broadcast, some 24 MB; beyond it most of the table moves anyway.
+DIGESTS_MOST = 1_000_000
+
+
+def drop_duplicates_in_place(df: DataFrame, digests_most: int = DIGESTS_MOST) -> DataFrame:
+    """As :func:`drop_duplicates`, but only rows that may have an equal move.
+
+    A 64-bit digest of every row is counted first. Rows whose digest stands alone have no equal and stay
+    where they are; the others are compared exactly, so a collision moves two rows and loses none. The
+    table is read three times instead of being shuffled once: worth it for wide rows with few copies.
+    With more than ``digests_most`` repeated digests, or a map in a row, all rows move.
+    """
+    rows = nan_to_null(df)
+    if not df.columns or "map<" in df.schema.simpleString():
+        return rows.dropDuplicates()
+    digest = "digest"
+    while digest.lower() in {c.lower() for c in df.columns}:
+        digest += "_"
+    columns = ", ".join(map(quoted, df.columns))
+    marked = rows.selectExpr("*", f"xxhash64({columns}) as {digest}")
+    repeated = stage(
+        marked.groupBy(digest).count().filter("count > 1").select(digest), "repeated")
+    if repeated.count() > digests_most:
+        return rows.dropDuplicates()
+    own = list(map(quoted, df.columns))
+    alone = marked.join(broadcast(repeated), digest, "left_anti").select(*own)
+    others = marked.join(broadcast(repeated), digest, "left_semi").select(*own)
+    return alone.union(others.dropDuplicates())
+
+
 def dedup_log(
     df: DataFrame, unique: DataFrame | None = None, counts: tuple[int, int] | None = None
 ) -> DataFrame:

@@ -280,7 +280,7 @@ QUERIES: dict[str, Query] = {
     "dataset_summary": _of("dirty", lambda df: profile.dataset_summary(df, "customer")),
     "dataset_summary_lineitem": _of("lineitem", profile.dataset_summary),
     "dataset_summary_supplier": _of("supplier", lambda df: profile.dataset_summary(df, "supplier")),
-    "top_values_pages": _of("pages", lambda df: frequency.top_values(df, ["url"])),
+    "top_values_pages": _of("pages", lambda df: frequency.top_values(df, ["url", "html"])),
     "top_values_conversations": _of("conversations", frequency.top_values),
     "top_values_nation": _of("nation", frequency.top_values),
     "top_values_region": _of("region", frequency.top_values),
@@ -355,6 +355,9 @@ QUERIES: dict[str, Query] = {
     "quality_score_documents": _of("documents", lambda df: quality.quality_score(_documents(df))),
     "dedup_exact": _of("dirty", quality.drop_duplicates),
     "dedup_documents": _of("documents", lambda df: quality.drop_duplicates(_documents(df))),
+    "dedup_in_place": _of("dirty", quality.drop_duplicates_in_place),
+    "dedup_in_place_documents": _of(
+        "documents", lambda df: quality.drop_duplicates_in_place(_documents(df))),
     "dedup_log": _of("dirty", quality.dedup_log),
     "dedup_log_documents": _of("documents", lambda df: quality.dedup_log(_documents(df))),
     "fix_numeric_text": _of(

@@ -685,7 +685,7 @@ union all select 'inference', column_name, inferred_type || ' (' || semantic_typ
     "density_curve_lineitem": density("lineitem", LINEITEM_NUMERIC),
     "dataset_summary_supplier": "select 'supplier' as source, count(*) as rows, 4 as columns,"
     " 's_suppkey|s_name|s_nationkey|s_acctbal' as column_names from supplier",
-    "top_values_pages": top_texts("pages", ["url"]),
+    "top_values_pages": top_texts("pages", ["url", "html"]),
     "top_values_conversations": top_texts("conversations", ["role", "text"]),
     "top_values_nation": top_texts("nation", ["n_name"]),
     "top_values_region": top_texts("region", ["r_name"]),
@@ -714,6 +714,8 @@ select value, row_number() over (order by value) as rank from (select distinct
     "quality_score_validity": ctes("dirty", scored("dirty", "total")) + "select * from total",
     "dedup_exact": ctes("dirty") + "select distinct * from dirty",
     "dedup_documents": "select distinct text, lang, source from documents",
+    "dedup_in_place": ctes("dirty") + "select distinct * from dirty",
+    "dedup_in_place_documents": "select distinct text, lang, source from documents",
     "dedup_log": ctes("dirty", UNIQUE) + """
 select (select count(*) from dirty) - (select count(*) from uniq) as exact_duplicates_removed,
   (select count(*) from dirty) as rows_before, (select count(*) from uniq) as rows_after""",

@@ -12,7 +12,9 @@ from tablewarden.operators.metadata import profile_of
 from tablewarden.operators.normalise import (
     change_samples, changes_of, normalise, numbers_from_text,
 )
-from tablewarden.operators.quality import dedup_log, drop_duplicates, quality_score
+from tablewarden.operators.quality import (
+    dedup_log, drop_duplicates, drop_duplicates_in_place, quality_score,
+)
 from tablewarden.plans.clean import clean_scores, clean_table
 
 
@@ -53,6 +55,35 @@ def test_exact_duplicates(frame):
     assert tuple(dedup_log(once).first()) == (0, 3, 3)
 
 
+def test_duplicates_in_place_equal_the_plain_ones(frame):
+    nan, long = float("nan"), "y" * 3000
+    df = frame({"digest": [1.5, 1.5, nan, None, -0.0, 0.0, 7.0, 8.0, 8.0, 8.0],
+                "text": ["p", "p", None, None, "z", "z", long, long, long, ""],
+                "list": [[1], [1], None, None, [2], [2], [3], [], [], [None]]},
+               "digest double, text string, list array<int>").repartition(3)
+
+    def rows(table):
+        return sorted((tuple(r) for r in table.collect()), key=repr)
+
+    want = rows(drop_duplicates(df))
+    for most in (0, 3, 1000):
+        found = drop_duplicates_in_place(df, most)
+        assert found.columns == df.columns and len(want) == 6
+        assert [str(r).replace("-0.0", "0.0") for r in rows(found)] == [
+            str(r).replace("-0.0", "0.0") for r in want]
+    assert drop_duplicates_in_place(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_equal_stay_in_place(spark):
+    """A third of the rows are one row; of 2,001 others none moves."""
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as id", "repeat('w', 100) as w")
+    found = drop_duplicates_in_place(df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    alone, others = plan.index("LeftAnti"), plan.index("LeftSemi")
+    assert plan.count("Aggregate") == 1 and alone < plan.index("Aggregate") < others
+    assert found.count() == 2001 and found.filter("id = -1").count() == 1
+
+
 def test_rows_that_differ_only_in_where_nulls_are(frame):
     df = frame({"a": [None, "x"], "b": ["x", None]}, "a string, b string")
     assert tuple(dedup_log(df).first()) == (0, 2, 2)
