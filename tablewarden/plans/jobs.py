@@ -10,6 +10,8 @@ application or apart:
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import metadata
@@ -30,15 +32,38 @@ COLUMNS_SCHEMA = (
 BOUNDS_SCHEMA = "column_name string, min double, max double"
 
 
+def find_input(spark: SparkSession, path: str) -> tuple[str, str]:
+    """(what to read, its format) of a file, a glob or a folder.
+
+    A folder of part files is one table, as are the files of a glob; of other CSV files in a folder the
+    first by name is taken.
+    """
+    if path.endswith((".csv", ".parquet")) and "*" not in path:
+        return path, path.rpartition(".")[2]
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = list(fs.globStatus(place) or [])
+    folder = len(found) == 1 and found[0].isDirectory()
+    inside = [f.getPath() for f in (fs.listStatus(found[0].getPath()) if folder else found)]
+    files = sorted((f.getName(), f.toString()) for f in inside if not f.getName().startswith(("_", ".")))
+    texts = [(name, whole) for name, whole in files if re.search(r"\.csv(\.\w+)?$", name)]
+    if not texts or any(name.endswith(".parquet") for name, _ in files):
+        return path, "parquet"
+    if folder and not all(name.startswith("part-") for name, _ in texts):
+        return texts[0][1], "csv"
+    return path, "csv"
+
+
 def read_input(
     spark: SparkSession, path: str, kind: str | None = None, multiline: bool = False
 ) -> DataFrame:
-    """A Parquet or CSV table; ``kind`` is taken from the name unless given.
+    """A Parquet or CSV table, found by :func:`find_input` unless its ``kind`` is given.
 
     A CSV file is parsed once: later steps read the columns they need from the
     staged copy. ``multiline`` keeps quoted line breaks of a CSV file, see ``read_csv``.
     """
-    kind = kind or ("csv" if path.endswith(".csv") else "parquet")
+    if kind is None:
+        path, kind = find_input(spark, path)
     if kind == "csv":
         return stage(read_csv(spark, path, multiline=multiline), "input")
     return spark.read.format(kind).load(path)

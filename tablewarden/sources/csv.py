@@ -6,12 +6,14 @@ the columns whose values all do.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
-from ..functions.text import matches, null_if_na, one_of, quoted
+from ..functions.text import literal, matches, null_if_na, one_of, quoted
 from ..operators.columns import cells
 
 _INTEGER = r"^[+-]?\d+$"
@@ -24,15 +26,34 @@ def read_csv(
     """Read CSV files (a path, a glob or a list).
 
     A large file is read by many tasks. ``multiline`` keeps quoted line breaks; a file then cannot
-    be split and is read by one task.
+    be split and is read by one task. Without it such a line break would tear its record in two, so
+    the read fails and says so.
     """
     settings = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multiline}
     settings.update(options)
     raw = spark.read.options(**settings).csv(path)
     df = mark_missing(raw)
+    if not settings["multiLine"]:
+        _refuse_torn(spark, path, settings)
     return promote_types(df) if promote else df
 
 
+def _refuse_torn(spark: SparkSession, path, settings: dict) -> None:
+    """Fail if a line ends within a quoted field. The parsed values do not show it, so the lines with
+    quotes are read once more, as text."""
+    if settings.get("quote", '"') != '"' or settings["escape"] != '"':
+        return
+    start = f"(^|{re.escape(settings.get('sep') or settings.get('delimiter') or ',')})\""
+    # Doubled quotes belong to the text; whole quoted fields go, then an opening quote has no end.
+    rest = (f"regexp_replace(replace(value, '\"\"', ''), {literal(start + '[^\"]*+\"')},"
+            f" {literal('$1')})")
+    torn = spark.read.text(path).filter("contains(value, '\"')").filter(
+        f"{rest} rlike {literal(start)}").selectExpr("min(substring(value, 1, 80))").first()[0]
+    if torn is not None:
+        raise ValueError(
+            f"a quoted field goes on behind the end of its line, read with multiline=True: {torn!r}")
+
+
 def _text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 

@@ -3,7 +3,9 @@ import sys
 import pytest
 
 from tablewarden import __main__ as command
-from tablewarden.plans.jobs import clean_job, gate_job, profile_job, read_input, stored_profile
+from tablewarden.plans.jobs import (
+    clean_job, find_input, gate_job, profile_job, read_input, stored_profile,
+)
 from tablewarden.sources.csv import write_csv
 
 
@@ -47,3 +49,20 @@ def test_jobs_keep_quoted_line_breaks(spark, tmp_path, monkeypatch, way):
     assert set(map(tuple, cleaned.select("id", "note").collect())) == want
     again = read_input(spark, f"{output}/cleaned_csv", "csv", multiline=True)
     assert set(map(tuple, again.select("id", "note").collect())) == want
+
+
+def test_inputs_are_found(spark, tmp_path):
+    for name, row in (("b.csv", "2,two"), ("a.csv", "1,one"), ("notes.txt", "no table")):
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / name).write_text(f"id,word\n{row}\n")
+    table = spark.createDataFrame([(3, "three"), (4, "four")], "id long, word string").repartition(2)
+    write_csv(table, str(tmp_path / "parts"))
+    table.write.parquet(str(tmp_path / "stored"))
+    table.write.partitionBy("id").parquet(str(tmp_path / "by_id"))
+
+    def ids(path):
+        return sorted(r["id"] for r in read_input(spark, str(tmp_path / path)).collect())
+
+    assert ids("raw") == [1] and ids("raw/b.csv") == [2] and ids("raw/*.csv") == [1, 2]
+    assert ids("parts") == [3, 4] and ids("stored") == [3, 4] and ids("by_id") == [3, 4]
+    assert find_input(spark, str(tmp_path / "nothing")) == (str(tmp_path / "nothing"), "parquet")

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablewarden import storage
@@ -30,6 +31,24 @@ def test_csv_types_and_missing_tokens(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("line", ['1,"first', '"first', '"a ""b"",c', '1,"x,y","', '1,"'])
+def test_torn_records_are_refused(spark, tmp_path, line):
+    path = tmp_path / "torn.csv"
+    path.write_text(f'a,b,c\n5,6,7\n{line}\nsecond",4\n')
+    with pytest.raises(ValueError, match="multiline=True"):
+        read_csv(spark, str(path))
+    assert read_csv(spark, str(path), multiline=True).count() == 2
+
+
+def test_quotes_within_lines_are_no_torn_records(spark, tmp_path):
+    path = tmp_path / "whole.csv"
+    path.write_text('a,b\n"""said""",5" pipe\n"x, ""y""",""\n"","z"\n"""","p"\n')
+    assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [
+        ('"said"', '5" pipe'), ('x, "y"', None), (None, "z"), ('"', "p")]
+    (tmp_path / "semi.csv").write_text('a;b\n"""q"";"""; 1,"\n')
+    assert read_csv(spark, str(tmp_path / "semi.csv"), sep=";").count() == 1
+
+
 def test_csv_roundtrip(spark, dirty, tmp_path):
     path = str(tmp_path / "out")
     write_csv(dirty, path)
