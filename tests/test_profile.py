@@ -44,8 +44,8 @@ def test_signed_zero_is_one_value(frame):
 
 
 def test_report_has_all_sections(frame):
-    df = frame({"x": [1, 2, 3], "y": [4, 5, 6], "email": ["a@b.c", "bad", None]},
-               "x int, y int, email string")
+    df = frame({"size": [2, 9, 4], "cost": [7, 1, 8], "email": ["q@r.se", "wrong", None]},
+               "size int, cost int, email string")
     report = build_report(df)
     assert {"dataset", "metadata", "missing_per_column", "type_consistency", "cardinality",
             "correlations", "numeric_distribution", "potential_pii", "invalid_formats",
