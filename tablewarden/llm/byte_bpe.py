@@ -33,6 +33,8 @@ from .token_counts import load_ranks
 BATCH_BYTES, RANGE_BYTES = 8_000_000, 16_000_000
 #: The fold takes time with the square of a word's length; longer words are merged with a heap.
 FOLD_BYTES = 128
+#: Chunks of text whose words a batch keeps.
+CHUNKS = 100_000
 #: The literal's outer array; about one word in each place.
 _PLACES = 1 << 16
 
@@ -42,14 +44,31 @@ class Splitter:
 
     _LATIN = re.compile(
         r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+    _RAGGED = re.compile(r" (?:\s|\Z)")
 
     def __init__(self, pattern: str, latin: bool):
         self.pattern, self.latin = regex.compile(pattern), latin
 
-    def words(self, text: str, raw: np.ndarray) -> list[str]:
-        plain = self.latin and (len(raw) == 0 or not (
+    def _plain(self, raw: np.ndarray) -> bool:
+        return self.latin and (len(raw) == 0 or not (
             raw.max() >= 0xC9 or (raw == 0xC2).any() or ((raw >= 0x1C) & (raw <= 0x1F)).any()))
-        return (self._LATIN if plain else self.pattern).findall(text)
+
+    def words(self, text: str, raw: np.ndarray) -> list[str]:
+        return (self._LATIN if self._plain(raw) else self.pattern).findall(text)
+
+    def chunks(self, text: str, raw: np.ndarray) -> list[str] | None:
+        """What stands between the spaces of a text, or None.
+
+        A space before a character other than white space begins a match, whatever is around it. So
+        where all spaces are such, the words are those of the first chunk, and of each other one with
+        a space before it (:meth:`chunk_words`).
+        """
+        if not self._plain(raw) or self._RAGGED.search(text):
+            return None
+        return text.split(" ")
+
+    def chunk_words(self, chunk: str) -> list[str]:
+        return self._LATIN.findall(chunk)
 
 
 #: The pattern that :class:`Splitter` knows to equal its own one on plain Latin text.
@@ -76,24 +95,54 @@ def _numbers(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(flat.T).view("<u4").ravel()
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class _Chunks(dict):
+    """The numbers of the words of chunks that have a space before them, as bytes."""
+
+    def __init__(self, splitter: Splitter, known: _Numbers):
+        self.splitter, self.known = splitter, known
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self[chunk] = self.numbers(" " + chunk)
+        return found
+
+    def numbers(self, chunk: str) -> bytes:
+        known = self.known
+        return b"".join([known[w].to_bytes(4, "little") for w in self.splitter.chunk_words(chunk)])
+
+
 class Batch:
     """Texts as numbers of distinct words."""
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
+    def __init__(self, splitter: Splitter):
+        self.splitter = splitter
+        self.known = _Numbers()
+        self.chunks = _Chunks(splitter, self.known)
         self.ids: list = []
         self.texts: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, doc_id, words: list[str], size: int) -> None:
-        known = self.known
-        try:
-            numbers = list(map(known.__getitem__, words))
-        except KeyError:
-            numbers = [known.setdefault(w, len(known)) for w in words]
+    def add(self, doc_id, text: str, raw: np.ndarray) -> None:
+        chunks = self.splitter.chunks(text, raw)
+        if chunks is None:
+            words = self.splitter.words(text, raw)
+            numbers = np.fromiter(map(self.known.__getitem__, words), np.uint32, len(words))
+        else:
+            if len(self.chunks) > CHUNKS:
+                self.chunks.clear()
+            first = self.chunks.numbers(chunks[0])
+            numbers = np.frombuffer(
+                first + b"".join(map(self.chunks.__getitem__, chunks[1:])), "<u4")
         self.ids.append(doc_id)
-        self.texts.append(np.array(numbers, np.uint32))
-        self.size += size
+        self.texts.append(numbers)
+        self.size += len(raw)
 
     def row(self, number: int, ranges: int) -> dict:
         words = [w.encode() for w in self.known]
@@ -127,17 +176,16 @@ def batches_of(docs: DataFrame, pattern: str, ranges: int, size: int = BATCH_BYT
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(pattern, pattern == GPT2_PATTERN)
-        number, own = TaskContext.get().partitionId() << 32, Batch()
+        number, own = TaskContext.get().partitionId() << 32, Batch(splitter)
         for batch in parts:
             for part in slices(batch):
                 data, offsets = text_bytes(part.column("text"))
                 texts = part.column("text").to_pylist()
                 for i, doc_id in enumerate(part.column("doc_id").to_pylist()):
-                    raw = data[offsets[i]:offsets[i + 1]]
-                    own.add(doc_id, splitter.words(texts[i], raw), len(raw))
+                    own.add(doc_id, texts[i], data[offsets[i]:offsets[i + 1]])
                     if own.size >= size:
                         yield pa.RecordBatch.from_pylist([own.row(number, ranges)], _BATCH_TYPE)
-                        number, own = number + 1, Batch()
+                        number, own = number + 1, Batch(splitter)
         if own.ids:
             yield pa.RecordBatch.from_pylist([own.row(number, ranges)], _BATCH_TYPE)
 
@@ -150,7 +198,7 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
     """The ranks as a literal: an array of maps, a word in the map at the place of its CRC-32.
 
     Words are strings of one character per byte. The literal is written once in an expression and
-    folded to a constant before tasks start.
+    folded to a constant before tasks start. Its places are a power of two.
     """
     places: list = [None] * _PLACES
     for word, rank in ranks.items():
@@ -170,61 +218,75 @@ def single_literal(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps([ranks.get(bytes([b])) for b in range(256)])), "array<int>")
 
 
+#: A piece of a word as a long: the rank of its pair with the next piece, its start, its end, its id.
+_RANK, _START, _END = 40, 32, 24
+_NO_RANK = 1 << 62
+_BYTE = 0xFF
+
+
 def merge_words(word: Column, ranks: Column, singles: Column) -> Column:
     """Ids of a word (one character per byte): ranked merges folded over its bytes.
 
-    The state holds the pieces, their ids and the ranks of their neighbouring pairs. The first step looks
-    up all pairs and the whole word, which is its own id if it is in the vocabulary; each further one
-    joins the leftmost pair of the lowest rank, which is the new piece's id, and looks up the two new
-    pairs. All look-ups are one expression, so that the literal stands in the plan once.
+    A word in the vocabulary is its own id. Else the state is the array of the word's pieces as longs,
+    the rank of their pair in front: the least of them is the leftmost pair of the lowest rank. Each
+    step joins it, its rank is the new piece's id, and looks up the two new pairs.
     """
-    none = F.array().cast("array<int>")
-
-    def rank(key: Column) -> Column:
-        place = F.pmod(F.crc32(key.cast("binary")), F.lit(_PLACES)).cast("int")
-        return F.element_at(F.get(ranks, place), key)
-
-    def step(state: Column, _: Column) -> Column:
-        pieces, pairs, ids = state["pieces"], state["pairs"], state["ids"]
-        size = F.size(pieces)
-
-        def looked_up(p: Column) -> Column:
-            """``p``: place of the pair to join; null at the first step."""
-            new = F.concat(F.get(pieces, p - 1), F.get(pieces, p))
-            before = F.when(p > 1, F.concat(F.get(pieces, p - 2), new))
-            behind = F.when(p < size - 1, F.concat(new, F.get(pieces, p + 1)))
-            every = F.transform(
-                F.when(size > 1, F.sequence(F.lit(0), size - 2)).otherwise(none),
-                lambda i: F.concat(F.get(pieces, i), F.get(pieces, i + 1)))
-            found = F.transform(
-                F.when(p.isNull(), F.concat(every, F.array(word)))
-                .otherwise(F.array(before, behind)), rank)
-            return _let(found, lambda r: F.when(p.isNull(), F.when(
-                F.get(r, size - 1).isNotNull(), F.struct(
-                    pieces.alias("pieces"), none.alias("pairs"), F.slice(r, -1, 1).alias("ids"),
-                )).otherwise(F.struct(
-                    pieces.alias("pieces"), F.slice(r, F.lit(1), size - 1).alias("pairs"),
-                    ids.alias("ids"),
-                ))).otherwise(F.struct(
-                    F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(new),
-                             F.slice(pieces, p + 2, size)).alias("pieces"),
-                    F.concat(F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))),
-                             F.when(p > 1, F.slice(r, 1, 1)).otherwise(none),
-                             F.when(p < size - 1, F.slice(r, 2, 1)).otherwise(none),
-                             F.slice(pairs, p + 2, size)).alias("pairs"),
-                    F.concat(F.slice(ids, F.lit(1), p - 1), F.slice(pairs, p, F.lit(1)),
-                             F.slice(ids, p + 2, size)).alias("ids"))))
-
-        place = F.when(pairs.isNotNull(), F.coalesce(
-            F.array_position(pairs, F.array_min(pairs)).cast("int"), F.lit(0)))
-        return _let(place, lambda p: F.when(p == 0, state).otherwise(looked_up(p)))
-
-    pieces = F.split(word, "")
-    start = F.struct(
-        pieces.alias("pieces"), F.lit(None).cast("array<int>").alias("pairs"),
-        F.transform(pieces, lambda c: F.get(singles, F.ascii(c))).alias("ids"))
-    steps = F.sequence(F.lit(1), F.char_length(word))
-    return F.aggregate(steps, start, step, lambda state: state["ids"])
+
+    def wide(value: int) -> Column:
+        return F.lit(value).cast("long")
+
+    def start_of(piece: Column) -> Column:
+        return F.shiftright(piece, _START).bitwiseAND(wide(_BYTE)).cast("int")
+
+    def end_of(piece: Column) -> Column:
+        return F.shiftright(piece, _END).bitwiseAND(wide(_BYTE)).cast("int")
+
+    def ranked(rank: Column) -> Column:
+        return F.coalesce(F.shiftleft(rank.cast("long"), _RANK), wide(_NO_RANK))
+
+    def ids(known: Column) -> Column:
+        size = F.char_length(word)
+
+        def rank(start: Column, end: Column) -> Column:
+            key = F.substring(word, start + 1, end - start)
+            place = F.crc32(key.cast("binary")).bitwiseAND(wide(_PLACES - 1)).cast("int")
+            return F.element_at(F.get(known, place), key)
+
+        def first(i: Column) -> Column:
+            pair = F.when(i < size - 1, rank(i, i + 2))
+            byte = F.ascii(F.substring(word, i + 1, F.lit(1)))
+            return (ranked(pair).bitwiseOR(F.shiftleft(i.cast("long"), _START))
+                    .bitwiseOR(F.shiftleft((i + 1).cast("long"), _END))
+                    .bitwiseOR(F.get(singles, byte).cast("long")))
+
+        def joined(state: Column, least: Column) -> Column:
+            def at(p: Column) -> Column:
+                before, right, behind = F.get(state, p - 2), F.get(state, p), F.get(state, p + 1)
+                new = (ranked(rank(start_of(least), end_of(behind)))
+                       .bitwiseOR(least.bitwiseAND(wide(_BYTE << _START)))
+                       .bitwiseOR(right.bitwiseAND(wide(_BYTE << _END)))
+                       .bitwiseOR(F.shiftright(least, _RANK)))
+                changed = ranked(rank(start_of(before), end_of(right))).bitwiseOR(
+                    before.bitwiseAND(wide((1 << _RANK) - 1)))
+                rest = F.slice(state, p + 2, size)
+                return F.flatten(F.when(p == 1, F.array(F.array(new), rest)).otherwise(
+                    F.array(F.slice(state, F.lit(1), p - 2), F.array(changed, new), rest)))
+
+            return _let(F.array_position(state, least).cast("int"), at)
+
+        def step(state: Column, _: Column) -> Column:
+            return _let(F.array_min(state), lambda least: F.when(
+                least >= wide(_NO_RANK), state).otherwise(joined(state, least)))
+
+        start = F.transform(F.sequence(F.lit(0), size - 1), first)
+        merged = F.aggregate(
+            F.sequence(F.lit(1), size), start, step,
+            lambda state: F.transform(state, lambda piece: piece.bitwiseAND(
+                wide((1 << _END) - 1)).cast("int")))
+        return _let(rank(F.lit(0), size), lambda whole: F.when(
+            whole.isNotNull(), F.array(whole)).otherwise(merged))
+
+    return _let(ranks, ids)
 
 
 def _gather(start: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:

@@ -7,7 +7,9 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablewarden.llm import byte_bpe, exact_dedup, line_dedup, near_dup, packing, secrets, words
@@ -313,6 +315,37 @@ def test_byte_bpe(odd, empty):
     assert byte_bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("text", [
+    "", " ", "  ", "\n", " a", "a ", "a b", " a  b", "a\nb c\n d \ne", "it's 's don't 'Sx 12ab_c", "\ta \tb",
+    "naïve été, \"où\"... x", "x\n\n y\n\n", "日本 a b", "a\x85b c", "\x1c a b",
+])
+def test_byte_bpe_numbers_words_by_chunks(text, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CHUNKS", 1)
+    batch = byte_bpe.Batch(byte_bpe.Splitter(byte_bpe.GPT2_PATTERN, True))
+    raw = np.frombuffer(text.encode(), np.uint8)
+    for i in range(2):
+        batch.add(i, text, raw)
+    words = list(batch.known)
+    want = regex.findall(byte_bpe.GPT2_PATTERN, text)
+    assert [[words[n] for n in numbers.tolist()] for numbers in batch.texts] == [want, want]
+    plain = text.isascii() and "\x1c" not in text and not re.search(r" (\s|$)", text)
+    assert not plain or batch.splitter.chunks(text, raw) == text.split(" ")
+
+
+def test_byte_bpe_fold(spark):
+    rng = np.random.default_rng(10)
+    parts = ["the", "ing", " a", "er", "\xe9", "1", "!!", "x", "on"]
+    words = ["".join(rng.choice(parts, n)).encode() for n in rng.integers(1, 40, 150)]
+    words += [bytes([b]) for b in range(256)] + [b"a" * 128, b" " * 128, bytes(range(128, 256)), b"ab" * 64]
+    words = [w[:128] for w in words]
+    ranks = token_counts.load_ranks(RANKS)
+    df = spark.createDataFrame([(w.decode("latin-1"),) for w in words], "word string")
+    ids = byte_bpe.merge_words(F.col("word"), byte_bpe.rank_literal(ranks), byte_bpe.single_literal(ranks))
+    got = {r.word: r.ids for r in df.select("word", ids.alias("ids")).collect()}
+    encoding = tiktoken_encoding()
+    assert got == {w.decode("latin-1"): encoding._encode_single_piece(w) for w in words}
+
+
 def test_edited_counts(odd, empty, monkeypatch):
     encoding = tiktoken_encoding()
     got = token_counts.edited_counts(odd, RANKS, public_tokenizers.PATTERN)
