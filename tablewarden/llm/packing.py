@@ -63,43 +63,42 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.pairs = [n.to_bytes(2, "little") for n in range(_VOCABULARY)]
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self)
 
     def _plain(self, raw: np.ndarray, text: str) -> bool:
         return len(raw) == 0 or not (
             raw.max() >= 0xC9 or (raw == 0xC2).any() or ((raw >= 0x1C) & (raw <= 0x1F)).any()
             or "<|" in text)
 
-    def _word(self, word: str) -> bytes:
-        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._LETTERS)
+    def learn(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not known yet."""
+        if not chunk.isalpha():
+            words = self._WORDS.findall(chunk)
+            if words != [chunk]:
+                return b"".join([self.known[w] for w in words])
+        shown = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self._LETTERS)
         pair = self.pairs
-        ids = self.known[word] = b"".join([pair[t.id] for t in self.merge(shown)])
-        return ids
-
-    def _learn(self, chunks: set[str]) -> None:
-        known, word = self.known, self._word
-        for chunk in chunks:
-            if chunk.isalpha():
-                word(chunk)
-            else:
-                known[chunk] = b"".join(
-                    [known.get(w) or word(w) for w in self._WORDS.findall(chunk)])
+        return b"".join([pair[t.id] for t in self.merge(shown)])
 
     def ids(self, text: str, raw: np.ndarray) -> bytes:
         """Little-endian 16-bit ids."""
         if not self._plain(raw, text):
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(found, "<u2").tobytes()
-        chunks = text.lower().split()
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            new = {c for c in chunks if c not in self.known}
-            if len(self.known) + len(new) > _CACHE:
-                self.known.clear()
-                new = set(chunks)
-            self._learn(new)
-            return b"".join(map(self.known.__getitem__, chunks))
+        if len(self.known) > _CACHE:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, text.lower().split()))
+
+
+class _Known(dict):
+    """Ids of chunks and words; what is asked for and missing is learnt on the way."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.encoder.learn(chunk)
+        return ids
 
 
 def _encoder(path: str) -> Encoder:
@@ -140,6 +139,15 @@ def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), "<u2"), offsets // 2
 
 
+def _terms(ids: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, count) of stretches of ids that stand one behind the other, in this order."""
+    keys = np.repeat(np.arange(len(length)), length) * _VOCABULARY + ids
+    keys.sort()
+    start = np.flatnonzero(np.diff(keys, prepend=-1))
+    keys, count = keys[start], np.diff(start, append=len(keys))
+    return keys // _VOCABULARY, keys % _VOCABULARY, count
+
+
 def document_frequency(tokens: DataFrame) -> DataFrame:
     """(token, n): the number of documents that hold each token, of the whole corpus."""
 
@@ -148,8 +156,7 @@ def document_frequency(tokens: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "tokens"):
                 ids, offsets = _ids(part.column("tokens"))
-                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    total[np.unique(ids[a:b])] += 1
+                total += np.bincount(_terms(ids, np.diff(offsets))[1], minlength=_VOCABULARY)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["token", "n"])
 
@@ -161,6 +168,27 @@ def bm25(tf: np.ndarray, idf: np.ndarray, length: np.ndarray, mean: float) -> np
     return idf * tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * length / mean))
 
 
+def _heaviest(
+    ids: np.ndarray, length: np.ndarray, idf: np.ndarray, mean: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The two heaviest terms of each of many tails, ties by term; 0 where there are fewer."""
+    doc, term, count = _terms(ids, length)
+    weight = bm25(count, idf[term], length[doc], mean)
+    start = np.flatnonzero(np.diff(doc, prepend=-1))
+    out = []
+    for _ in range(2):
+        best = np.zeros(len(length), np.int64)
+        if len(doc):
+            most = np.zeros(len(length))
+            most[doc[start]] = np.maximum.reduceat(weight, start)
+            at = np.flatnonzero((weight == most[doc]) & (weight > -np.inf))
+            at = at[np.flatnonzero(np.diff(doc[at], prepend=-1))]
+            best[doc[at]] = term[at]
+            weight[at] = -np.inf
+        out.append(best)
+    return out[0], out[1]
+
+
 def _tails(tokens: DataFrame, shared: Broadcast, mean: float, window: int) -> DataFrame:
     """Per document: checksums of its whole windows, its tail, and the tail's heaviest terms."""
 
@@ -169,21 +197,15 @@ def _tails(tokens: DataFrame, shared: Broadcast, mean: float, window: int) -> Da
         for batch in batches:
             for part in slices(batch, "tokens"):
                 ids, offsets = _ids(part.column("tokens"))
-                whole, tail, first, second = [], [], [], []
+                whole, tail = [], []
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                     full = (b - a) // window
                     whole.append([zlib.crc32(ids[a + i * window:a + (i + 1) * window]
                                              .astype("<u4").tobytes()) for i in range(full)])
-                    rest = ids[a + full * window:b]
-                    tail.append(rest.tobytes())
-                    best = [0, 0]
-                    if len(rest):
-                        terms, tf = np.unique(rest, return_counts=True)
-                        weight = bm25(tf, idf[terms], len(rest), mean)
-                        order = np.lexsort((terms, -weight))[:2]
-                        best = terms[order].tolist() + [0] * (2 - len(order))
-                    first.append(best[0])
-                    second.append(best[1])
+                    tail.append(ids[a + full * window:b].tobytes())
+                length = np.diff(offsets) % window
+                first, second = _heaviest(
+                    np.frombuffer(b"".join(tail), "<u2"), length, idf, mean)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"),
                      pa.array(np.diff(offsets), pa.int64()),

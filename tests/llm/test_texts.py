@@ -299,6 +299,35 @@ def test_neighbours_are_lexically_close():
     assert set(shard.neighbours(0, unused)[:7].tolist()) == set(range(1, 8))
 
 
+def test_packing_encoder_learns_what_is_missing(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE", 3)
+    encoder, tokenizer = packing.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    texts = [t or "" for _, t in ODD] + ["Don't, DON'T 12ab_c ... été\nx", "!!", "don't !! été"]
+    for text in texts * 2:
+        ids = encoder.ids(text, np.frombuffer(text.encode(), np.uint8))
+        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert all(encoder.known[c] == encoder.learn(c) for c in ["x", "don't", "12ab_c"])
+
+
+def test_packing_terms_of_many_tails():
+    rng = np.random.default_rng(2)
+    tails = [rng.integers(0, 40, n).astype("<u2") for n in (0, 1, 300, 0, 2, 2047, 5, 0)]
+    tails += [np.array([7, 7, 7], "<u2"), np.array([9, 8], "<u2"), np.array([65535], "<u2")]
+    idf = np.round(rng.random(1 << 16), 1) + 0.1  # ties
+    length = np.array([len(t) for t in tails])
+    first, second = packing._heaviest(np.concatenate(tails), length, idf, 50.0)
+    docs, terms, counts = packing._terms(np.concatenate(tails), length)
+    for i, tail in enumerate(tails):
+        want, tf = np.unique(tail, return_counts=True)
+        assert terms[docs == i].tolist() == want.tolist()
+        assert counts[docs == i].tolist() == tf.tolist()
+        weight = packing.bm25(tf, idf[want], len(tail), 50.0)
+        best = want[np.lexsort((want, -weight))[:2]].tolist()
+        assert [first[i], second[i]] == best + [0] * (2 - len(best))
+    none = np.empty(0, "<u2")
+    assert packing._heaviest(none, np.zeros(2, int), idf, 50.0)[0].tolist() == [0, 0]
+
+
 def tiktoken_encoding():
     return tiktoken.Encoding(
         "t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=token_counts.load_ranks(RANKS),
