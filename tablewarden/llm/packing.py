@@ -7,6 +7,7 @@ in the shard, so windows are full but for the last one of a task.
 """
 from __future__ import annotations
 
+import json
 import math
 import re
 import sys
@@ -16,11 +17,12 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, slices, staged, text_bytes, trimmed, with_row
+from .common import documents, slices, staged, text_bytes, text_lengths, trimmed, with_row
 
 WINDOW = 2048
 END = 1
@@ -33,8 +35,11 @@ QUERY_TERMS = 32
 TRIED = 64
 _K1, _B = 1.2, 0.75
 _VOCABULARY = 1 << 16
-#: Words and chunks that a Python worker keeps, from task to task.
-_CACHE = 400_000
+#: Chunks that a Python worker keeps, from task to task; beyond, only those of the last texts stay.
+_CACHE = 200_000
+#: Bytes of text whose chunks are numbered together, and of a word that is merged with the others.
+_ENCODER_BYTES = 8_000_000
+_LONG = 64
 _NAMES = ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -46,15 +51,77 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + n) for n, b in enumerate(hidden)}
 
 
+class Merges:
+    """Byte-pair merges of many words at once, by the ranks of a tokenizer's model: a step joins in
+    every word the leftmost pair of its least rank, until no word has a pair with a rank."""
+
+    _NONE = np.iinfo(np.int32).max
+
+    def __init__(self, model: dict):
+        vocab, letters = model["vocab"], _byte_letters()
+        closing = model.get("end_of_word_suffix") or ""
+        self.inner = np.array([vocab[letters[b]] for b in range(256)], np.uint32)
+        self.last = np.array([vocab[letters[b] + closing] for b in range(256)], np.uint32)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.uint32)
+        key = np.array([vocab[a] << 16 | vocab[b] for a, b in pairs], np.uint32)
+        order = np.argsort(key, kind="stable")
+        self.key, self.rank = np.append(key[order], np.uint32(0xFFFFFFFF)), np.append(
+            order.astype(np.int32), np.int32(self._NONE))
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << np.uint32(16) | right
+        at = np.searchsorted(self.key, key)
+        return np.where(self.key[at] == key, self.rank[at], self._NONE)
+
+    def ids(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of the words data[first[i]:first[i + 1]], none empty."""
+        ids, last = self.inner[data], first[1:] - 1
+        ids[last] = self.last[data[last]]
+        rank = np.full(len(ids), self._NONE, np.int32)
+        rank[:-1] = self._ranks(ids[:-1], ids[1:])
+        rank[last] = self._NONE
+        word, length = np.arange(len(last)), np.diff(first)
+        done, sizes, words = [], [], []
+        while len(word):
+            start = np.cumsum(length) - length
+            best = np.minimum.reduceat(rank, start)
+            more = best < self._NONE
+            if not more.all():
+                inside = np.repeat(more, length)
+                done.append(ids[~inside].astype("<u2"))
+                sizes.append(length[~more])
+                words.append(word[~more])
+                ids, rank, word, length, best = (
+                    ids[inside], rank[inside], word[more], length[more], best[more])
+                start = np.cumsum(length) - length
+            owner = np.repeat(np.arange(len(word)), length)
+            at = np.flatnonzero(rank == best[owner])
+            at = at[np.flatnonzero(np.diff(owner[at], prepend=-1))]
+            ids[at] = self.made[best]
+            left, right = at[at > start], at[at + 2 < start + length]
+            rank[at] = self._NONE
+            rank[right] = self._ranks(ids[right], ids[right + 2])
+            rank[left - 1] = self._ranks(ids[left - 1], ids[left])
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, rank, length = ids[stay], rank[stay], length - 1
+        none = np.empty(0, np.int64)
+        size, place = np.concatenate([none, *sizes]), np.argsort(np.concatenate([none, *words]))
+        flat, _ = _gathered(np.concatenate([np.empty(0, "<u2"), *done]), size, place)
+        return flat, size[place]
+
+
 class Encoder:
     """Ids of texts by a lower-casing word tokenizer whose words never cross white space.
 
-    Plain Latin texts are encoded from a cache of what stands between white space, and of the words,
-    numbers and signs in it. Any text with other characters, control characters or marks of special
+    Plain Latin texts are encoded many at once: what stands between white space is numbered, and only
+    the words, numbers and signs in chunks that are not known are merged, all of them together; very
+    long ones by the tokenizer's model. Any text with other characters, separators or marks of special
     tokens is left to the tokenizer as a whole.
     """
 
-    _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+    _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+|\n")
     _LETTERS = _byte_letters()
 
     def __init__(self, path: str):
@@ -62,7 +129,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
-        self.pairs = [n.to_bytes(2, "little") for n in range(_VOCABULARY)]
+        self.merges = Merges(json.loads(self.tokenizer.to_str())["model"])
         self.known = _Known(self)
 
     def _plain(self, raw: np.ndarray, text: str) -> bool:
@@ -72,26 +139,97 @@ class Encoder:
 
     def learn(self, chunk: str) -> bytes:
         """Ids of a chunk that is not known yet."""
-        if not chunk.isalpha():
-            words = self._WORDS.findall(chunk)
-            if words != [chunk]:
-                return b"".join([self.known[w] for w in words])
-        shown = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self._LETTERS)
-        pair = self.pairs
-        return b"".join([pair[t.id] for t in self.merge(shown)])
+        return self.learn_all([chunk])[0]
+
+    def learn_all(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, each different word in them encoded once."""
+        if not chunks:
+            return []
+        parts = pa.array(self._PARTS.findall("\n".join([*chunks, ""]))).dictionary_encode()
+        words, place = parts.dictionary, parts.indices.to_numpy()
+        line_end = words.index("\n").as_py()
+        lengths = text_lengths(words)
+        known, size = [], np.zeros(len(words), np.int64)
+        short = (lengths <= _LONG) & (np.arange(len(words)) != line_end)
+        order = [np.flatnonzero(short)]
+        flat, size[order[0]] = self.merges.ids(*_some(words, short))
+        known.append(flat)
+        for n in np.flatnonzero(lengths > _LONG).tolist():
+            shown = words[n].as_py().encode().decode("latin-1").translate(self._LETTERS)
+            known.append(np.array([t.id for t in self.merge(shown)], "<u2"))
+            size[n] = len(known[-1])
+            order.append(np.array([n]))
+        order = np.concatenate(order)
+        spot = np.empty(len(words), np.int64)  # of the line's end, any: it has no ids
+        spot[order], spot[line_end] = np.arange(len(order)), 0
+        real = place != line_end
+        ids, end = _gathered(np.concatenate(known), size[order], spot[place[real]])
+        end = np.append(0, 2 * end)[np.cumsum(real)[~real]].tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *end[:-1]], end, strict=True)]
 
     def ids(self, text: str, raw: np.ndarray) -> bytes:
         """Little-endian 16-bit ids."""
-        if not self._plain(raw, text):
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(found, "<u2").tobytes()
-        if len(self.known) > _CACHE:
+        return self.many([text], raw, np.array([0, len(raw)]), b"")[0].tobytes()
+
+    def many(
+        self, texts: list[str], data: np.ndarray, offsets: np.ndarray, end: bytes,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with ``end`` behind it, and the places where texts end)."""
+        bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+        plain = [self._plain(data[a:b], t) for t, (a, b) in zip(texts, bounds, strict=True)]
+        split = pc.ascii_split_whitespace(pa.array(
+            [t.lower() if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        chunks = _strings(coded.dictionary)
+        known = list(map(self.known.get, chunks))
+        new = [c for c, i in zip(chunks, known, strict=True) if i is None]
+        learnt = iter(self.learn_all(new))
+        known = [next(learnt) if i is None else i for i in known]
+        if len(self.known) + len(new) > _CACHE:
             self.known.clear()
-        return b"".join(map(self.known.__getitem__, text.lower().split()))
+        self.known.update(zip(chunks, known, strict=True))
+        # Behind the chunks of a text: its ids as a whole where it is not plain, then the end.
+        known.append(end)
+        more, codes = [], []
+        for n, (text, p) in enumerate(zip(texts, plain, strict=True)):
+            if not p:
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+                more.append(n)
+                codes.append(len(known))
+                known.append(np.array(found, "<u2").tobytes())
+            more.append(n)
+            codes.append(len(chunks))
+        stop = split.offsets.to_numpy()[1:].astype(np.int64)
+        place = np.insert(coded.indices.to_numpy(), stop[more], codes)
+        inserted = np.cumsum(np.bincount(more, minlength=len(texts)))
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 2
+        flat, after = _gathered(np.frombuffer(b"".join(known), "<u2"), size, place)
+        return flat, after[stop + inserted - 1]
+
+
+def _some(words: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return text_bytes(words.filter(pa.array(chosen)))
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _gathered(
+    flat: np.ndarray, size: np.ndarray, place: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``flat``, of the given sizes, in the order of ``place``; and where each ends."""
+    count = size[place]
+    after = np.cumsum(count)
+    shift = (np.cumsum(size) - size)[place] - (after - count)
+    at = np.repeat(shift.astype(np.int32), count)
+    at += np.arange(len(at), dtype=np.int32)
+    return flat[at], after
 
 
 class _Known(dict):
-    """Ids of chunks and words; what is asked for and missing is learnt on the way."""
+    """Ids of chunks; what is asked for by itself and missing is learnt."""
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
@@ -120,13 +258,14 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         encoder = _encoder(path)
         end = np.array([END], "<u2").tobytes()
         for batch in batches:
-            for part in slices(batch):
-                data, offsets = text_bytes(part.column("text"))
-                texts = part.column("text").to_pylist()
-                ids = [encoder.ids(t, data[a:b]) + end for t, a, b in zip(
-                    texts, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            for part in slices(batch, limit=_ENCODER_BYTES):
+                ids, stop = encoder.many(
+                    _strings(part.column("text")), *text_bytes(part.column("text")), end)
+                places = np.concatenate([[0], 2 * stop]).astype(np.int32)
+                tokens = pa.Array.from_buffers(
+                    pa.binary(), len(stop), [None, pa.py_buffer(places), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), pa.array(ids, pa.binary())],
+                    [part.column("row"), part.column("doc_id"), tokens],
                     ["row", "doc_id", "tokens"])
 
     rows = with_row(docs.select("doc_id", "text"))
@@ -141,10 +280,11 @@ def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _terms(ids: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term, count) of stretches of ids that stand one behind the other, in this order."""
-    keys = np.repeat(np.arange(len(length)), length) * _VOCABULARY + ids
+    kind = np.uint32 if len(length) <= _VOCABULARY else np.int64  # the narrow ones sort faster
+    keys = np.repeat(np.arange(len(length), dtype=kind), length) * kind(_VOCABULARY) + ids
     keys.sort()
-    start = np.flatnonzero(np.diff(keys, prepend=-1))
-    keys, count = keys[start], np.diff(start, append=len(keys))
+    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    keys, count = keys[start].astype(np.int64), np.diff(start, append=len(keys))
     return keys // _VOCABULARY, keys % _VOCABULARY, count
 
 

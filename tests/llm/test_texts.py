@@ -309,6 +309,30 @@ def test_packing_encoder_learns_what_is_missing(monkeypatch):
     assert all(encoder.known[c] == encoder.learn(c) for c in ["x", "don't", "12ab_c"])
 
 
+def test_packing_encoder_merges_words_together():
+    encoder, tokenizer = packing.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    encoder.merge = None  # the model is asked for very long words alone
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdeinorst'._-09\u00c9\u00e9\u00d7\u0130 "))
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 400, 60)]
+    texts += ["a" * 64, "ab" * 32, "...!!!", "", " ", "\u65e5\u672c", "it's IT'S ''s"]
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([0, *map(len, raw)])
+    for _ in range(2):  # learnt, then known
+        ids, stop = encoder.many(
+            texts, np.frombuffer(b"".join(raw), np.uint8), ends, np.array([1], "<u2").tobytes())
+        found = [ids[a:b].tolist() for a, b in zip([0, *stop[:-1]], stop, strict=True)]
+        assert found == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_packing_encoder_on_control_characters_and_long_words():
+    encoder, tokenizer = packing.Encoder(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    long = ["a" * 65, "ab" * 900 + "!" * 70 + " x", "\u00e9" * 33]
+    for text in ["a\x01b c", "\x00", "x \x7f y\x0by\x0c", *long]:
+        ids = encoder.ids(text, np.frombuffer(text.encode(), np.uint8))
+        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_terms_of_many_tails():
     rng = np.random.default_rng(2)
     tails = [rng.integers(0, 40, n).astype("<u2") for n in (0, 1, 300, 0, 2, 2047, 5, 0)]
