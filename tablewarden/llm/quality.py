@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hash64, slices, text_bytes
+from .common import documents, give_back, hash64, slices, text_bytes
 from .words import mix, word_hashes
 
 #: Labelled rows that the space is fitted on, at most, per label: the lowest hashes of all of them.
@@ -151,21 +151,29 @@ def _lexical_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate([words, text[:-2][inside] * LEXICAL + WORD_COLUMNS + columns])
 
 
-def _times(first, column, weight, right: np.ndarray, block: int = 1 << 18) -> np.ndarray:
-    """Sparse rows times a matrix."""
+def _times(
+    first, column, weight, right: np.ndarray, block: int = 1 << 18, held: int = 1 << 14,
+) -> np.ndarray:
+    """Sparse rows times a matrix, of a block's rows as many at once as hold some ``held`` terms."""
     out = np.zeros((len(first) - 1, right.shape[1]), np.float32)
-    owner = np.repeat(np.arange(len(out)), np.diff(first))
+    owner = np.repeat(np.arange(len(out), dtype=np.int32), np.diff(first))
     for at in range(0, len(column), block):
-        some = slice(at, at + block)
-        rows, begin = np.unique(owner[some], return_index=True)
-        out[rows] += np.add.reduceat(
-            right[column[some]] * weight[some, None].astype(np.float32), begin, axis=0)
+        rows, begin = np.unique(owner[at:at + block], return_index=True)
+        begin = np.append(begin, len(owner[at:at + block]))
+        i = 0
+        while i < len(rows):
+            j = max(i + 1, int(np.searchsorted(begin, begin[i] + held, side="right")) - 1)
+            some = slice(at + begin[i], at + begin[j])
+            out[rows[i:j]] += np.add.reduceat(
+                right[column[some]] * weight[some, None].astype(np.float32),
+                begin[i:j] - begin[i], axis=0)
+            i = j
     return out
 
 
 def _transposed(first, column, weight, n_columns: int):
-    order = np.argsort(column, kind="stable")
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.argsort(column, kind="stable").astype(np.int32)
+    owner = np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
     return np.searchsorted(column[order], np.arange(n_columns + 1)), owner[order], weight[order]
 
 
@@ -271,6 +279,7 @@ def fit_space(terms: Terms, labels: np.ndarray, latent: int = LATENT) -> Space:
     weights = (np.log((1 + len(counts)) / (1 + seen)) + 1).astype(np.float32)
     dense = (_weighted(counts) * weights).astype(np.float64)
     values, axes = np.linalg.eigh(dense.T @ dense)
+    del dense
     top = np.argsort(values)[::-1][:min(latent, len(counts))]
     space = Space(weights, axes[:, top].astype(np.float32), _word_axes(terms, latent),
                   np.zeros((0, 1), np.float32), labels)
@@ -326,9 +335,15 @@ def train(
     lexical = [np.frombuffer(r.terms, np.uint16, offset=4 * TERMS).reshape(2, -1) for r in found]
     first = np.cumsum([0, *(x.shape[1] for x in lexical)])
     column, weight = np.concatenate([np.empty((2, 0), np.uint16), *lexical], axis=1)
-    terms = Terms(np.array(counts, np.float32).reshape(-1, TERMS), first, column.astype(np.int64),
+    terms = Terms(np.array(counts, np.float32).reshape(-1, TERMS), first, column.astype(np.int32),
                   weight.view(np.float16))
-    return fit_space(terms, np.array([r.label for r in found], float))
+    known_labels = np.array([r.label for r in found], float)
+    # The driver holds the sample once while it fits, and gives back what the fit needed.
+    del found, counts, lexical, column, weight
+    space = fit_space(terms, known_labels)
+    del terms
+    give_back()
+    return space
 
 
 def scorer(space: Space, spark: SparkSession) -> Callable[[Column], Column]:

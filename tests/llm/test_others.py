@@ -1,4 +1,5 @@
 """Quality, chat, vectors and the pipeline against brute force, held-out rows and odd rows."""
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -281,6 +282,25 @@ def test_similar_small_sets_share_keys():
     assert near_dup.subset_count(4) == 2  # the set itself, for partners of four and of five
 
 
+def test_quality_fit_holds_few_terms_at_once():
+    rng = np.random.default_rng(3)
+    first = np.append(0, np.cumsum(rng.integers(0, 900, 900)))
+    column = rng.integers(0, quality.LEXICAL, first[-1]).astype(np.int32)
+    weight = rng.random(first[-1]).astype(np.float16)
+    right = rng.standard_normal((quality.LEXICAL, 60)).astype(np.float32)
+    tracemalloc.start()
+    try:
+        out = quality._times(first, column, weight, right)
+        assert tracemalloc.get_traced_memory()[1] < 30_000_000  # 130 MB when a block stands at once
+    finally:
+        tracemalloc.stop()
+    for i in (0, 1, 450, 899):
+        own = slice(first[i], first[i + 1])
+        want = (right[column[own]] * weight[own, None].astype(float)).sum(axis=0)
+        assert np.allclose(out[i], want, rtol=1e-4, atol=1e-4)
+    assert quality._times(np.zeros(3, int), column[:0], weight[:0], right).tolist() == [[0] * 60] * 2
+
+
 def test_quality_by_words_alone(spark):
     """Both labels have the same shape: words of equal lengths between the same signs."""
     rng = np.random.default_rng(5)
